@@ -1,0 +1,205 @@
+"""Keyed stream state: incidents, sustained breaches and repeat suppression.
+
+State is kept per key in the state store and leaves it by event-time timers.
+Spark brings each key's rows of a batch to one task and hands them over in
+pieces; the handlers keep only key, time, order and action of a row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+INCIDENT_OUTPUT = (
+    "dedup_key string, opened_ms long, resolved_ms long, triggers long, state string"
+)
+FIRING_OUTPUT = "series string, active_since_ms long, firing_ms long"
+NOTIFY_OUTPUT = "group_key string, notified_ms long"
+
+
+def _in_order(rows: Iterator[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
+    """A key's rows of this batch by time; the batch size is bounded at the source."""
+    parts = [p[columns] for p in rows]
+    frame = pd.concat(parts) if parts else pd.DataFrame(columns=columns)
+    order = [c for c in ("ts_ms", "seq") if c in columns]
+    return frame.sort_values(order, kind="stable")
+
+
+class IncidentProcessor(StatefulProcessor):
+    """Trigger opens or adds to an incident, resolve closes it, silence expires it."""
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "opened_ms long, triggers long, last_ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        current = self.open.get() if self.open.exists() else None
+        done = []
+        for row in _in_order(rows, ["ts_ms", "seq", "event_action"]).itertuples(index=False):
+            if row.event_action == "trigger":
+                current = (
+                    (row.ts_ms, 1, row.ts_ms)
+                    if current is None
+                    else (current[0], current[1] + 1, max(current[2], row.ts_ms))
+                )
+            elif current is not None:
+                done.append((key[0], current[0], row.ts_ms, current[1], "resolved"))
+                current = None
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if current is None:
+            self.open.clear()
+        else:
+            self.open.update(tuple(int(v) for v in current))
+            self.handle.registerTimer(int(current[2]) + self.ttl_ms)
+        yield _frame(done, INCIDENT_OUTPUT)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        current = self.open.get() if self.open.exists() else None
+        self.open.clear()
+        rows = [] if current is None else [(key[0], current[0], None, current[1], "expired")]
+        yield _frame(rows, INCIDENT_OUTPUT)
+
+    def close(self) -> None:
+        pass
+
+
+class SustainedProcessor(StatefulProcessor):
+    """Reports a breach once when it has held for `hold_ms`."""
+
+    def __init__(self, hold_ms: int, ttl_ms: int):
+        self.hold_ms, self.ttl_ms = hold_ms, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "since_ms long, fired boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        current = self.run.get() if self.run.exists() else None
+        fired, last = [], 0
+        for row in _in_order(rows, ["ts_ms", "breach"]).itertuples(index=False):
+            last = row.ts_ms
+            if not row.breach:
+                current = None
+                continue
+            since, done = current or (row.ts_ms, False)
+            if not done and row.ts_ms - since >= self.hold_ms:
+                fired.append((key[0], since, row.ts_ms))
+                done = True
+            current = (since, done)
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if current is None:
+            self.run.clear()
+        else:
+            self.run.update((int(current[0]), bool(current[1])))
+            self.handle.registerTimer(int(last) + self.ttl_ms)
+        yield _frame(fired, FIRING_OUTPUT)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.run.clear()
+        yield _frame([], FIRING_OUTPUT)
+
+    def close(self) -> None:
+        pass
+
+
+class RepeatProcessor(StatefulProcessor):
+    """Lets a group's event through if none went through within the repeat time."""
+
+    def __init__(self, repeat_ms: int):
+        self.repeat_ms = repeat_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "sent_ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = self.last.get()[0] if self.last.exists() else None
+        sent = []
+        for row in _in_order(rows, ["ts_ms"]).itertuples(index=False):
+            if last is None or row.ts_ms - last >= self.repeat_ms:
+                last = row.ts_ms
+                sent.append((key[0], last))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        self.last.update((int(last),))
+        # Once the repeat time is over the next event goes through anyway.
+        self.handle.registerTimer(int(last) + self.repeat_ms)
+        yield _frame(sent, NOTIFY_OUTPUT)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield _frame([], NOTIFY_OUTPUT)
+
+    def close(self) -> None:
+        pass
+
+
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    names = [c.split()[0] for c in schema.split(", ")]
+    types = [c.split()[1] for c in schema.split(", ")]
+    frame = pd.DataFrame(rows, columns=names)
+    return frame.astype({n: "Int64" for n, t in zip(names, types) if t == "long"})
+
+
+def _timed(events: DataFrame, delay: str) -> DataFrame:
+    return events.withColumn("_ts", F.timestamp_millis("ts_ms")).withWatermark("_ts", delay)
+
+
+def incident_stream(events: DataFrame, ttl_ms: int = 7 * 86_400_000, delay: str = "10 minutes") -> DataFrame:
+    """Closed and expired incidents of an event stream (dedup_key, event_action, ts_ms, seq)."""
+    rows = events.where(F.col("event_action").isin("trigger", "resolve")).select(
+        "dedup_key", "event_action", "ts_ms", "seq"
+    )
+    return (
+        _timed(rows, delay)
+        .groupBy("dedup_key")
+        .transformWithStateInPandas(
+            IncidentProcessor(ttl_ms), outputStructType=INCIDENT_OUTPUT, outputMode="Append",
+            timeMode="EventTime",
+        )
+    )
+
+
+def sustained_stream(
+    samples: DataFrame, hold_ms: int, ttl_ms: int = 86_400_000, delay: str = "10 minutes"
+) -> DataFrame:
+    """Breaches that have held, once each, of a stream (series, ts_ms, breach)."""
+    return (
+        _timed(samples.select("series", "ts_ms", "breach"), delay)
+        .groupBy("series")
+        .transformWithStateInPandas(
+            SustainedProcessor(hold_ms, ttl_ms), outputStructType=FIRING_OUTPUT,
+            outputMode="Append", timeMode="EventTime",
+        )
+    )
+
+
+def repeat_stream(events: DataFrame, repeat_ms: int, delay: str = "10 minutes") -> DataFrame:
+    """Notifications of a stream (group_key, ts_ms) with repeats held back."""
+    return (
+        _timed(events.select("group_key", "ts_ms"), delay)
+        .groupBy("group_key")
+        .transformWithStateInPandas(
+            RepeatProcessor(repeat_ms), outputStructType=NOTIFY_OUTPUT, outputMode="Append",
+            timeMode="EventTime",
+        )
+    )
+
+
+def without_repeats(events: DataFrame, within: str = "4 hours") -> DataFrame:
+    """The simple variant: one event per dedup key within a time, by the built-in operator."""
+    return (
+        events.withColumn("_ts", F.timestamp_millis("ts_ms"))
+        .withWatermark("_ts", within)
+        .dropDuplicatesWithinWatermark(["dedup_key"])
+        .drop("_ts")
+    )
