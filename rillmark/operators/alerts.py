@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from rillmark import fixed_values as fv
 from rillmark.functions import severity as sev
 from rillmark.functions import text
-from rillmark.functions.times import ceil_to, iso_utc
+from rillmark.functions.times import ceil_to, floor_to, iso_utc
 from rillmark.operators.timeline import CHUNK_MS, events_since_last
 
 # Fields of a trigger, a resolve and an infrastructure message.
@@ -339,44 +339,60 @@ def retained(messages: DataFrame, now_ms: int, ts: str = "ts_ms", days: int = fv
 # --- incidents -------------------------------------------------------------
 def incidents(
     events: DataFrame, ts: str = "ts_ms", seq: str = "seq", key: str = "dedup_key",
-    chunk_ms: int = CHUNK_MS,
+    chunk_ms: int = CHUNK_MS, weight: Column | None = None, last: Column | None = None,
 ) -> DataFrame:
     """Trigger and resolve events as incidents.
 
     The first trigger of a closed key opens an incident, further triggers add
     to it, the next resolve closes it, a resolve of a closed key does nothing.
-    An incident's number is the count of resolves before it, a running total
-    that is carried across time chunks, so one busy key is spread over tasks.
-    Order is time, then `seq`.
+    Order is time, then `seq`. An event may stand for several triggers
+    (`weight`), the last of them at `last`.
+
+    A key's events are cut into time chunks and, inside a chunk, into segments
+    that end with a resolve. Only a chunk's first segment and its open end can
+    belong to an incident of a neighbour, so only those (two rows per chunk)
+    come together per key.
     """
     is_resolve = F.col("event_action") == "resolve"
-    cut = events.withColumn("_chunk", F.col(ts) - F.pmod(F.col(ts), F.lit(chunk_ms)))
+    is_trigger = F.col("event_action") == "trigger"
     inside = Window.partitionBy(key, "_chunk").orderBy(ts, seq).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    counted = cut.withColumn(
-        "_inside", F.coalesce(F.sum(is_resolve.cast("long")).over(inside), F.lit(0))
+    triggers = F.lit(1) if weight is None else weight
+    last_at = F.col(ts) if last is None else last
+    segments = (
+        events.withColumn("_chunk", floor_to(F.col(ts), chunk_ms))
+        .withColumn("_no", F.coalesce(F.sum(is_resolve.cast("long")).over(inside), F.lit(0)))
+        .groupBy(key, "_chunk", "_no")
+        .agg(
+            F.min(F.when(is_trigger, F.col(ts))).alias("opened_ms"),
+            F.max(F.when(is_resolve, F.col(ts))).alias("resolved_ms"),
+            F.sum(F.when(is_trigger, triggers).otherwise(0)).alias("triggers"),
+            F.max(F.when(is_trigger, last_at)).alias("last_trigger_ms"),
+        )
     )
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        cut.groupBy(key, "_chunk")
-        .agg(F.sum(is_resolve.cast("long")).alias("_resolves"))
-        .select(key, "_chunk", F.coalesce(F.sum("_resolves").over(before), F.lit(0)).alias("_carry"))
+    outer = (F.col("_no") == 0) | F.col("resolved_ms").isNull()
+    grouped = segments.withColumn(
+        "_group", F.when(~outer, F.col("_chunk"))
     )
-    numbered = counted.join(carry, [key, "_chunk"]).withColumn(
-        "_no", F.col("_inside") + F.col("_carry")
+    earlier = Window.partitionBy(key, "_group").orderBy("_chunk", "_no").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    is_trigger = F.col("event_action") == "trigger"
+    closed_before = F.coalesce(F.count("resolved_ms").over(earlier), F.lit(0))
     return (
-        numbered.groupBy(key, "_no")
+        grouped.withColumn(
+            "_no", F.when(F.col("_group").isNull(), closed_before).otherwise(F.col("_no"))
+        )
+        .groupBy(key, "_group", "_no")
         .agg(
-            F.min(F.when(is_trigger, F.col(ts))).alias("opened_ms"),
-            F.max(F.when(is_resolve, F.col(ts))).alias("resolved_ms"),
-            F.sum(is_trigger.cast("long")).alias("triggers"),
+            F.min("opened_ms").alias("opened_ms"),
+            F.max("resolved_ms").alias("resolved_ms"),
+            F.sum("triggers").cast("long").alias("triggers"),
+            F.max("last_trigger_ms").alias("last_trigger_ms"),
         )
         .where(F.col("opened_ms").isNotNull())
         .select(
-            key, "opened_ms", "resolved_ms", "triggers",
+            key, "opened_ms", "last_trigger_ms", "resolved_ms", "triggers",
             F.when(F.col("resolved_ms").isNull(), "open").otherwise("resolved").alias("state"),
             (F.col("resolved_ms") - F.col("opened_ms")).alias("open_ms"),
         )
@@ -409,18 +425,25 @@ def notifications(
     repeat_ms: int = fv.REPEAT_INTERVAL_MS,
     tick_ms: int = fv.RULE_STEP_MS,
     wait_ms: int = 0,
+    last_sent: DataFrame | None = None,
 ) -> DataFrame:
     """Notifications of a group: the first one, then none until the repeat time is over.
 
     Alerts are evaluated at ticks, so events are first brought to their tick
-    and made distinct there (combined before the shuffle). A group then has at most
-    one row per tick; the chain of sent ticks is followed within that bounded
-    list. `wait_ms` delays the first notification of a group.
+    and made distinct there (combined before the shuffle). A group then has at
+    most one row per tick, however many events it has; the chain of sent ticks
+    is followed within that bounded list. `wait_ms` delays a group's events.
+    `last_sent` (keys, sent_ms) continues from earlier notifications.
     """
     ticks = events.select(*keys, ceil_to(F.col(ts) + wait_ms, tick_ms).alias("tick_ms")).distinct()
     per_group = ticks.groupBy(*keys).agg(F.array_sort(F.collect_list("tick_ms")).alias("_ticks"))
     never = F.lit(-(2**62)).cast("long")
-    start = F.struct(never.alias("last"), F.array().cast("array<bigint>").alias("sent"))
+    if last_sent is None:
+        known = never
+    else:
+        per_group = per_group.join(last_sent.select(*keys, "sent_ms"), list(keys), "left")
+        known = F.coalesce("sent_ms", never)
+    start = F.struct(known.alias("last"), F.array().cast("array<bigint>").alias("sent"))
 
     def follow(state: Column, tick: Column) -> Column:
         due = tick - state["last"] >= repeat_ms
@@ -431,4 +454,3 @@ def notifications(
 
     sent = F.aggregate("_ticks", start, follow, lambda s: s["sent"])
     return per_group.select(*keys, F.explode(sent).alias("notified_ms"))
-

@@ -38,29 +38,37 @@ def running_total(
 ) -> DataFrame:
     """(keys, ts, out): the sum of `amount` over a key up to and including each time.
 
-    Amounts are first added up per key and millisecond. Both uses of that
-    aggregate read one shuffle.
+    Amounts are first added up per key and millisecond; rows and chunk sums
+    both read that shuffle. What earlier chunks add up to enters a chunk as one
+    more row at its start, so nothing is joined.
     """
     steps = (
         df.groupBy(*keys, ts)
         .agg(F.sum(amount).alias("_step"))
         .withColumn("_chunk", floor_to(F.col(ts), chunk_ms))
     )
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(ts).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = (
         steps.groupBy(*keys, "_chunk")
         .agg(F.sum("_step").alias("_sum"))
-        .select(*keys, "_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
+        .select(
+            *keys,
+            F.lit(None).cast("long").alias(ts),
+            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_step"),
+            "_chunk",
+        )
+    )
+    # The carried row has no time of its own and sorts first.
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(F.col(ts).asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
     return (
-        steps.withColumn("_part", F.sum("_step").over(inside))
-        .join(carried, [*keys, "_chunk"])
-        .select(*keys, ts, (F.col("_part") + F.col("_carry")).alias(out))
+        steps.unionByName(carried)
+        .withColumn(out, F.sum("_step").over(inside))
+        .where(F.col(ts).isNotNull())
+        .select(*keys, ts, out)
     )
 
 
@@ -150,39 +158,42 @@ def events_since_last(
 ) -> DataFrame:
     """Adds `out`: hits since the last reset of the key, the row itself included.
 
-    Inside a chunk this counts from the chunk's last reset; before its first
-    reset the key's carry from earlier chunks is added.
+    A chunk is summed up by its hits since its last reset and whether it had
+    one. What a key brings along from earlier chunks enters a chunk as one more
+    row at its start that stands for that many hits.
     """
     cut = df.withColumns(
         {"_chunk": floor_to(F.col(ts), chunk_ms), "_hit": hit.cast("long"), "_reset": reset.cast("long")}
     )
-    w = Window.partitionBy(*keys, "_chunk").orderBy(ts, *ties).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+
+    def counted(rows: DataFrame) -> DataFrame:
+        order = [F.col(c).asc_nulls_first() for c in (ts, *ties)]
+        w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        at_reset = F.max(F.when(F.col("_reset") == 1, F.col("_hits"))).over(w)
+        return rows.withColumn("_hits", F.sum("_hit").over(w)).withColumn(
+            "_count", F.col("_hits") - F.coalesce(at_reset, F.lit(0))
+        )
+
+    tails = counted(cut.select(*keys, ts, *ties, "_chunk", "_hit", "_reset")).groupBy(*keys, "_chunk").agg(
+        F.max_by("_count", F.struct(ts, *ties)).alias("_tail"),
+        (F.max("_reset") == 1).alias("_had_reset"),
     )
-    inner = cut.withColumns(
-        {"_hits": F.sum("_hit").over(w), "_resets": F.sum("_reset").over(w)}
-    ).withColumn("_base", F.max(F.when(F.col("_reset") == 1, F.col("_hits"))).over(w))
-    inner = inner.withColumn("_count", F.col("_hits") - F.coalesce("_base", F.lit(0)))
-
-    order = F.struct(ts, *ties)
-    last_reset = F.max(F.when(F.col("_reset") == 1, order))
-    sums = inner.groupBy(*keys, "_chunk").agg(
-        F.max_by("_count", order).alias("_tail"), last_reset.isNotNull().alias("_had_reset")
+    along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # Chunks since the last one that had a reset add up on top of its tail.
-    grown = sums.withColumn(
-        "_total", F.sum(F.when(~F.col("_had_reset"), F.col("_tail")).otherwise(0)).over(
-            Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
-        )
+    # Chunks without a reset add up on top of the tail of the last one that had one.
+    grown = tails.withColumn(
+        "_total", F.sum(F.when(~F.col("_had_reset"), F.col("_tail")).otherwise(0)).over(along)
     ).withColumn("_anchor", F.when(F.col("_had_reset"), F.col("_tail") - F.col("_total")))
-    carry = grown.select(
-        *keys,
-        "_chunk",
-        (
-            F.coalesce(F.last("_total", ignorenulls=True).over(before), F.lit(0))
-            + F.coalesce(F.last("_anchor", ignorenulls=True).over(before), F.lit(0))
-        ).alias("_carry"),
+    brought = F.coalesce(F.last("_total", ignorenulls=True).over(before), F.lit(0)) + F.coalesce(
+        F.last("_anchor", ignorenulls=True).over(before), F.lit(0)
+    )
+    carried = grown.select(*keys, "_chunk", brought.alias("_hit"), F.lit(0).cast("long").alias("_reset"))
+    return (
+        counted(cut.unionByName(carried, allowMissingColumns=True))
+        .where(F.col(ts).isNotNull())
+        .select(*df.columns, F.col("_count").alias(out))
     )
-    value = F.col("_count") + F.when(F.col("_resets") == 0, F.col("_carry")).otherwise(0)
-    return inner.join(carry, [*keys, "_chunk"]).select(*df.columns, value.alias(out))

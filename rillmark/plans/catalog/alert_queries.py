@@ -70,7 +70,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incident_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir)
+    return _pairs(spark, sf_dir).drop("last_trigger_ms")
 
 
 def incident_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,7 @@ def incident_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_busy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events under one key: the work is spread by time, not by key."""
     events = user_alerts(spark, sf_dir).withColumn("dedup_key", F.lit("cdc-all-stale_data"))
-    return alerts.incidents(events, chunk_ms=HOUR)
+    return alerts.incidents(events, chunk_ms=HOUR).drop("last_trigger_ms")
 
 
 def repeat_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,7 +255,7 @@ def _level_sql(kind: str, pick: int, default: str) -> str:
     return f"CASE {kind} {cases} ELSE '{default}' END"
 
 
-def _incident_sql(key: str) -> str:
+def incident_sql(key: str) -> str:
     return f"""a AS (SELECT {key} AS dedup_key, event_action, ts_ms, seq FROM alerts),
     n AS (SELECT *, coalesce(sum(CASE WHEN event_action = 'resolve' THEN 1 ELSE 0 END) OVER (
       PARTITION BY dedup_key ORDER BY ts_ms, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM a),
@@ -314,19 +314,19 @@ QUERIES = {
     ),
     "incident_pairs": Query(
         incident_pairs,
-        f"""WITH {ALERTS_SQL}, {_incident_sql('dedup_key')}
+        f"""WITH {ALERTS_SQL}, {incident_sql('dedup_key')}
         SELECT dedup_key, opened_ms, resolved_ms, triggers, state, open_ms FROM pairs""",
     ),
     "incident_summary": Query(
         incident_summary,
-        f"""WITH {ALERTS_SQL}, {_incident_sql('dedup_key')}
+        f"""WITH {ALERTS_SQL}, {incident_sql('dedup_key')}
         SELECT dedup_key, count(*) AS incidents, count(CASE WHEN state = 'open' THEN 1 END) AS open_incidents,
           CAST(sum(triggers) AS BIGINT) AS triggers, round(avg(open_ms / 1000.0), 4) AS mean_seconds_to_resolve,
           max(open_ms) AS longest_ms FROM pairs GROUP BY 1""",
     ),
     "incidents_of_one_key": Query(
         one_busy_key,
-        f"""WITH {ALERTS_SQL}, {_incident_sql("'cdc-all-stale_data'")}
+        f"""WITH {ALERTS_SQL}, {incident_sql("'cdc-all-stale_data'")}
         SELECT dedup_key, opened_ms, resolved_ms, triggers, state, open_ms FROM pairs""",
     ),
     "repeat_policy": Query(

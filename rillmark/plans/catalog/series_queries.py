@@ -315,7 +315,7 @@ BREACH_SQL = f"""b AS (SELECT event_type, {MS_SQL} AS ts_ms, max(value) > 15 AS
   FROM events GROUP BY 1, 2)"""
 
 
-def _island_sql(gap_ms: int | None = None) -> str:
+def island_sql(gap_ms: int | None = None) -> str:
     gap = "" if gap_ms is None else f" OR ts_ms - lag(ts_ms) OVER w > {gap_ms}"
     return f"""{BREACH_SQL},
     t AS (SELECT *, CASE WHEN breach <> lag(breach) OVER w{gap} THEN 1 ELSE 0 END AS turn
@@ -326,7 +326,7 @@ def _island_sql(gap_ms: int | None = None) -> str:
 
 
 def _sustained_sql(hold_ms: int, gap_ms: int | None = None) -> str:
-    return f"""WITH {_island_sql(gap_ms)}
+    return f"""WITH {island_sql(gap_ms)}
     SELECT event_type, start_ms, end_ms, samples, end_ms - start_ms AS held_ms,
       CASE WHEN end_ms - start_ms >= {hold_ms} THEN 'firing' ELSE 'pending' END AS state
     FROM isl WHERE breach"""
@@ -495,7 +495,7 @@ QUERIES = {
     "sustained_with_gaps": Query(sustained_with_gaps, _sustained_sql(HOUR, HOUR // 2)),
     "breach_runs": Query(
         runs,
-        f"""WITH {_island_sql()} SELECT event_type, breach, count(*) AS runs,
+        f"""WITH {island_sql()} SELECT event_type, breach, count(*) AS runs,
           CAST(sum(samples) AS BIGINT) AS samples, max(end_ms - start_ms) AS longest_ms FROM isl GROUP BY 1, 2""",
     ),
     "values_at_steps": Query(

@@ -7,16 +7,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rillmark.functions.text import dedup_key
 from rillmark.functions.times import epoch_ms
-from rillmark.plans.catalog.alert_queries import _incident_sql
+from rillmark.plans.catalog.alert_queries import incident_sql
 from rillmark.plans.catalog.change_queries import QUERIES as CHANGES
-from rillmark.plans.catalog.inputs import ALERTS_SQL, MS_SQL, END_MS, Query, event_op, read
-from rillmark.session import STATE_STORE, shared_dir
+from rillmark.plans.catalog.inputs import ALERTS_SQL, END_MS, MS_SQL, Query, event_op, read
+from rillmark.plans.catalog.series_queries import island_sql
+from rillmark.session import shared_dir
 from rillmark.spec import TableSpec
-from rillmark.streaming import ingest, stateful
+from rillmark.streaming import batched, ingest, stateful
 
 USERS = TableSpec("users", ("user_id",), "user_id BIGINT, event_id BIGINT, value DOUBLE, props STRING")
 HOUR = 3_600_000
@@ -67,37 +67,21 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _collected(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """Runs an append-mode stream to its end and reads its output."""
-    root = shared_dir(spark, purpose)
-    previous = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    try:
-        query = (
-            df.writeStream.format("parquet")
-            .option("path", f"{root}/out")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-        _finish(query)
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", previous)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    return spark.read.schema(schema).parquet(f"{root}/out")
+def _run(feed: DataFrame, write, root: str) -> None:
+    _finish(ingest.keep_bronze(feed, write, f"{root}/checkpoint", once=True))
 
 
 def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents closed by a resolve, from keyed stream state."""
+    """Incidents closed by a resolve, from state carried between micro-batches."""
     kind = F.col("event_type")
     events = _events(spark, sf_dir).where(kind.isin("error", "purchase")).select(
         dedup_key(F.concat(F.lit("user_"), F.col("user_id")), F.lit("stale_data")).alias("dedup_key"),
         F.when(kind == "error", "trigger").otherwise("resolve").alias("event_action"),
         "ts_ms", F.col("event_id").alias("seq"),
     )
-    found = _collected(spark, stateful.incident_stream(events, ttl_ms=365 * 24 * HOUR), "stream-incidents")
-    return found.where("state = 'resolved'")
+    root = shared_dir(spark, "stream-incidents")
+    _run(events, batched.incident_writer(root, ttl_ms=365 * 24 * HOUR, chunk_ms=12 * HOUR), root)
+    return batched.output(spark, root, stateful.INCIDENT_OUTPUT).where("state = 'resolved'")
 
 
 def stream_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,13 +89,17 @@ def stream_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = _events(spark, sf_dir).select(
         F.col("event_type").alias("series"), "ts_ms", (F.col("value") > 15).alias("breach")
     )
-    return _collected(spark, stateful.sustained_stream(samples, 2 * HOUR, 365 * 24 * HOUR), "stream-sustained")
+    root = shared_dir(spark, "stream-sustained")
+    _run(samples, batched.sustained_writer(root, 2 * HOUR, chunk_ms=HOUR), root)
+    return batched.output(spark, root, stateful.FIRING_OUTPUT)
 
 
 def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notifications per user, at most one in four hours."""
     events = _events(spark, sf_dir).select(F.col("user_id").cast("string").alias("group_key"), "ts_ms")
-    return _collected(spark, stateful.repeat_stream(events, 4 * HOUR), "stream-repeats")
+    root = shared_dir(spark, "stream-repeats")
+    _run(events, batched.repeat_writer(root, 4 * HOUR), root)
+    return batched.output(spark, root, stateful.NOTIFY_OUTPUT)
 
 
 QUERIES = {
@@ -124,21 +112,18 @@ QUERIES = {
     ),
     "stream_incidents": Query(
         stream_incidents,
-        f"""WITH {ALERTS_SQL}, {_incident_sql('dedup_key')}
+        f"""WITH {ALERTS_SQL}, {incident_sql('dedup_key')}
         SELECT dedup_key, opened_ms, resolved_ms, triggers, state FROM pairs WHERE state = 'resolved'""",
     ),
     "stream_sustained": Query(
         stream_sustained,
-        f"""WITH b AS (SELECT event_type AS series, {MS_SQL} AS ts_ms, event_id, value > 15 AS breach FROM events),
-          t AS (SELECT *, sum(CASE WHEN breach THEN 0 ELSE 1 END) OVER (PARTITION BY series
-            ORDER BY ts_ms, event_id ROWS UNBOUNDED PRECEDING) AS run FROM b),
-          s AS (SELECT *, min(ts_ms) OVER (PARTITION BY series, run) AS since FROM t WHERE breach)
-        SELECT series, since AS active_since_ms, min(ts_ms) AS firing_ms FROM s
-        WHERE ts_ms - since >= {2 * HOUR} GROUP BY series, run, since""",
+        f"""WITH {island_sql()} SELECT event_type AS series, start_ms AS active_since_ms,
+          start_ms + {2 * HOUR} AS firing_ms FROM isl WHERE breach AND end_ms - start_ms >= {2 * HOUR}""",
     ),
     "stream_repeats": Query(
         stream_repeats,
-        f"""WITH RECURSIVE f AS (SELECT CAST(user_id AS VARCHAR) AS k, {MS_SQL} AS t FROM events),
+        f"""WITH RECURSIVE f AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS k,
+            CAST(ceil(({MS_SQL}) / 60000.0) AS BIGINT) * 60000 AS t FROM events),
           s AS (SELECT k, min(t) AS t FROM f GROUP BY 1
             UNION ALL SELECT s.k, (SELECT min(f.t) FROM f WHERE f.k = s.k AND f.t >= s.t + {4 * HOUR})
             FROM s WHERE s.t IS NOT NULL)

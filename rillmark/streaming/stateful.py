@@ -1,8 +1,10 @@
-"""Keyed stream state: incidents, sustained breaches and repeat suppression.
+"""Keyed stream state in Spark's state store: the low-latency twins of `batched`.
 
-State is kept per key in the state store and leaves it by event-time timers.
-Spark brings each key's rows of a batch to one task and hands them over in
-pieces; the handlers keep only key, time, order and action of a row.
+State is kept per key and leaves it by event-time timers. Spark hands all rows
+of a key in a micro-batch to one task, so these suit feeds at alert rate: a rule
+or a run gives at most one event per key and minute, and the batch size is
+bounded at the source. Feeds in which a key can fill a large part of a batch
+use `batched`, which spreads a key over tasks.
 """
 
 from __future__ import annotations
@@ -91,7 +93,7 @@ class SustainedProcessor(StatefulProcessor):
                 continue
             since, done = current or (row.ts_ms, False)
             if not done and row.ts_ms - since >= self.hold_ms:
-                fired.append((key[0], since, row.ts_ms))
+                fired.append((key[0], since, since + self.hold_ms))
                 done = True
             current = (since, done)
         for timer in self.handle.listTimers():
