@@ -34,10 +34,19 @@ def route_topic(
 
 
 def percent_text(part: Column, total: Column) -> Column:
-    """`12.34%`, or `N/A` without rows."""
-    return F.when(
-        total > 0, F.format_string("%.2f%%", part.cast("double") / total * 100)
-    ).otherwise("N/A")
+    """`12.34%`, or `N/A` without rows; exact halves go to the even digit.
+
+    Worked out in whole hundredths of a percent, so no binary fraction decides
+    the last digit.
+    """
+    total = total.cast("long")
+    scaled = part.cast("long") * 10000
+    rest = F.pmod(scaled, total)
+    lower = F.round((scaled - rest) / total).cast("long")
+    up = (rest * 2 > total) | ((rest * 2 == total) & (lower % 2 == 1))
+    hundredths = lower + up.cast("long")
+    shown = F.format_string("%d.%02d%%", F.floor(hundredths / 100), F.pmod(hundredths, F.lit(100)))
+    return F.when(total > 0, shown).otherwise("N/A")
 
 
 def constraint_name(constraint: Column) -> Column:

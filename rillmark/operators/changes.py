@@ -135,20 +135,40 @@ def high_water_mark(feed: DataFrame) -> DataFrame:
     return feed.agg(F.max("ts_ms").alias("last_processed_ts_ms"))
 
 
+# Largest value of each integer type, narrowest first.
+_INT_LIMITS = {T.ByteType: 2**7 - 1, T.ShortType: 2**15 - 1, T.IntegerType: 2**31 - 1, T.LongType: 2**63 - 1}
+
+
+def _fitted(source: Column, have: T.DataType, want: T.DataType) -> Column:
+    """The value in the wanted type, null where it does not fit."""
+    if have == want:
+        return source
+    top, own = _INT_LIMITS.get(type(want)), _INT_LIMITS.get(type(have))
+    if top is not None and isinstance(have, T.StringType):
+        # Text that is no whole number is sorted out before the cast.
+        return F.when(source.rlike(r"^\s*[+-]?\d+\s*$"), source.try_cast(want))
+    if top is None or own is None:
+        return source.try_cast(want)
+    if own <= top:
+        return source.cast(want)
+    # A range test keeps narrowing in generated code; `try_cast` would build
+    # and drop an exception for each value that does not fit.
+    return F.when(source.between(-top - 1, top), source.cast(want))
+
+
 def conform(df: DataFrame, schema: T.StructType, bad_col: str = "n_bad") -> DataFrame:
     """Cast to the declared types; a value that does not fit becomes null and is counted.
 
-    `try_cast` gives null on overflow instead of wrapping round, so an id of
-    40000 never turns into a negative SMALLINT.
+    Nothing wraps round: an id of 40000 never turns into a negative SMALLINT.
     """
-    have = set(df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
     out, bad = [], []
     for field in schema.fields:
-        if field.name not in have:
+        if field.name not in types:
             out.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         source = F.col(field.name)
-        fitted = source.try_cast(field.dataType)
+        fitted = _fitted(source, types[field.name], field.dataType)
         out.append(fitted.alias(field.name))
         bad.append((source.isNotNull() & fitted.isNull()).cast("int"))
     total = sum(bad[1:], bad[0]) if bad else F.lit(0)

@@ -21,7 +21,7 @@ LABEL_SET = "label_set"
 
 def label_set(labels: Column) -> Column:
     """Labels as sorted entries: equal maps give equal arrays."""
-    return F.array_sort(F.map_entries(labels))
+    return F.sort_array(F.map_entries(labels))
 
 
 def labels_text(labels: Column) -> Column:

@@ -20,6 +20,26 @@ from rillmark.functions.times import floor_to
 CHUNK_MS = 900_000
 
 
+def fitting_chunk(
+    df: DataFrame, keys: Sequence[str], ts: str, rows_per_chunk: int = 1_000_000,
+    least_ms: int = 1_000, most_ms: int = 30 * 86_400_000,
+) -> int:
+    """A chunk width at which the busiest key has about `rows_per_chunk` rows per chunk.
+
+    For feeds that may hold many rows per key and millisecond. One aggregate,
+    combined before the shuffle; one row comes to the driver.
+    """
+    busiest = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), (F.max(ts) - F.min(ts)).alias("span"))
+        .agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1))).alias("per_ms"))
+        .first()["per_ms"]
+    )
+    if not busiest:
+        return most_ms
+    return int(min(max(rows_per_chunk / busiest, least_ms), most_ms))
+
+
 def one_per_ms(
     df: DataFrame, keys: Sequence[str], ts: str, value: str, seq: str | None = None
 ) -> DataFrame:

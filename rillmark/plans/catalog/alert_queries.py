@@ -10,6 +10,7 @@ from rillmark.functions import severity as sev
 from rillmark.functions import text
 from rillmark.functions.times import epoch_ms
 from rillmark.operators import alerts
+from rillmark.operators.timeline import fitting_chunk
 from rillmark.plans.catalog.inputs import (
     ALERTS_SQL, DAY_MS, END_MS, MS_SQL, WEBHOOK_SQL, Query, read, user_alerts, webhook_bodies,
 )
@@ -75,13 +76,14 @@ def incident_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incident_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alerts.incident_summary(_pairs(spark, sf_dir), ["dedup_key"])
-    return found.withColumn("mean_seconds_to_resolve", F.round("mean_seconds_to_resolve", 4))
+    return found.withColumn("mean_seconds_to_resolve", F.round("mean_seconds_to_resolve", 6))
 
 
 def one_busy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events under one key: the work is spread by time, not by key."""
     events = user_alerts(spark, sf_dir).withColumn("dedup_key", F.lit("cdc-all-stale_data"))
-    return alerts.incidents(events, chunk_ms=HOUR).drop("last_trigger_ms")
+    width = fitting_chunk(events, ["dedup_key"], "ts_ms", rows_per_chunk=100_000)
+    return alerts.incidents(events, chunk_ms=width).drop("last_trigger_ms")
 
 
 def repeat_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,7 +323,7 @@ QUERIES = {
         incident_summary,
         f"""WITH {ALERTS_SQL}, {incident_sql('dedup_key')}
         SELECT dedup_key, count(*) AS incidents, count(CASE WHEN state = 'open' THEN 1 END) AS open_incidents,
-          CAST(sum(triggers) AS BIGINT) AS triggers, round(avg(open_ms / 1000.0), 4) AS mean_seconds_to_resolve,
+          CAST(sum(triggers) AS BIGINT) AS triggers, round(avg(open_ms / 1000.0), 6) AS mean_seconds_to_resolve,
           max(open_ms) AS longest_ms FROM pairs GROUP BY 1""",
     ),
     "incidents_of_one_key": Query(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.functions.times import epoch_ms
+from rillmark.session import use_utc
 
 
 class Query(NamedTuple):
@@ -23,6 +24,7 @@ class Query(NamedTuple):
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    use_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -175,13 +175,13 @@ def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 def counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per type as a counter that restarts after 500."""
     events = read(spark, sf_dir, "events").select("event_type", epoch_ms(F.col("ts")).alias("ts_ms"))
-    total = running_total(events, ["event_type"], "ts_ms", F.lit(1), "total", 6 * HOUR)
+    total = running_total(events, ["event_type"], "ts_ms", F.lit(1), "total", HOUR)
     return total.select("event_type", "ts_ms", (F.col("total") % 500).cast("double").alias("value"))
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events").select("event_type", epoch_ms(F.col("ts")).alias("ts_ms"))
-    return running_total(events, ["event_type"], "ts_ms", F.lit(1), "total", 6 * HOUR)
+    return running_total(events, ["event_type"], "ts_ms", F.lit(1), "total", HOUR)
 
 
 def rate(window_ms: int, chunk_ms: int):
@@ -208,12 +208,12 @@ def sustained_for(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sustained_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.sustained(
-        _breaches(spark, sf_dir), ["event_type"], "breach", HOUR, max_gap_ms=HOUR // 2, chunk_ms=3 * HOUR
+        _breaches(spark, sf_dir), ["event_type"], "breach", HOUR, max_gap_ms=HOUR // 2, chunk_ms=HOUR
     )
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = islands(_breaches(spark, sf_dir), ["event_type"], "ts_ms", "breach", chunk_ms=2 * HOUR)
+    found = islands(_breaches(spark, sf_dir), ["event_type"], "ts_ms", "breach", chunk_ms=HOUR)
     return found.groupBy("event_type", "breach").agg(
         F.count(F.lit(1)).alias("runs"), F.sum("samples").cast("long").alias("samples"),
         F.max(F.col("end_ms") - F.col("start_ms")).alias("longest_ms"),
@@ -271,7 +271,7 @@ def humanized(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = (F.col("o_orderkey") * 37 + 60).cast("double")
     return read(spark, sf_dir, "orders").select(
         "o_orderkey", humanize_duration(seconds).alias("duration"),
-        humanize(F.col("o_custkey").cast("double")).alias("number"),
+        humanize((F.col("o_custkey") * 10 + 3).cast("double")).alias("number"),
     )
 
 
@@ -490,7 +490,7 @@ QUERIES = {
         FROM n""",
     ),
     "rate_5m": Query(rate(300_000, HOUR), _rate_sql(300_000)),
-    "rate_2h": Query(rate(2 * HOUR, 6 * HOUR), _rate_sql(2 * HOUR)),
+    "rate_2h": Query(rate(2 * HOUR, 4 * HOUR), _rate_sql(2 * HOUR)),
     "sustained_for": Query(sustained_for, _sustained_sql(2 * HOUR)),
     "sustained_with_gaps": Query(sustained_with_gaps, _sustained_sql(HOUR, HOUR // 2)),
     "breach_runs": Query(
@@ -528,15 +528,15 @@ QUERIES = {
     ),
     "humanized_values": Query(
         humanized,
-        """WITH s AS (SELECT o_orderkey, o_custkey, o_orderkey * 37 + 60 AS s FROM orders)
+        r"""WITH s AS (SELECT o_orderkey, o_custkey * 10 + 3 AS v, o_orderkey * 37 + 60 AS s FROM orders),
+          n AS (SELECT *, CASE WHEN v < 10000 THEN printf('%.3f', v / 1000.0)
+            WHEN v < 100000 THEN printf('%.2f', v / 1000.0) ELSE printf('%.1f', v / 1000.0) END AS k FROM s)
         SELECT o_orderkey, CASE
           WHEN s >= 86400 THEN printf('%dd %dh %dm %ds', s // 86400, s // 3600 % 24, s // 60 % 60, s % 60)
           WHEN s >= 3600 THEN printf('%dh %dm %ds', s // 3600, s // 60 % 60, s % 60)
           ELSE printf('%dm %ds', s // 60, s % 60) END AS duration,
-          CASE WHEN o_custkey >= 1000 THEN regexp_replace(regexp_replace(CASE
-              WHEN o_custkey < 9999.5 THEN printf('%.3f', o_custkey / 1000.0)
-              ELSE printf('%.2f', o_custkey / 1000.0) END, '(\\.\\d*?)0+$', '\\1'), '\\.$', '') || 'k'
-            ELSE CAST(o_custkey AS VARCHAR) END AS number FROM s""".replace("\\\\", "\\"),
+          CASE WHEN v < 1000 THEN CAST(v AS VARCHAR)
+            ELSE regexp_replace(rtrim(k, '0'), '\.$', '') || 'k' END AS number FROM n""",
     ),
     "gauges_unpivot": Query(
         wide_gauges,

@@ -35,6 +35,12 @@ def local_session(cores: int | str = 8, app: str = "rillmark", memory: str = "8g
     return spark
 
 
+def use_utc(spark: SparkSession) -> None:
+    """Days, hours and epoch times are UTC throughout, whatever the caller's zone."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 

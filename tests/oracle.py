@@ -48,8 +48,9 @@ def difference(spark_df, con, sql: str) -> str | None:
     got = sorted(tuple(_cell(r[i]) for i in pos) for r in spark_df.collect())
     if got == want:
         return None
-    only_got = [r for r in got if r not in set(want)][:3]
-    only_want = [r for r in want if r not in set(got)][:3]
+    in_want, in_got = set(want), set(got)
+    only_got = [r for r in got if r not in in_want][:3]
+    only_want = [r for r in want if r not in in_got][:3]
     return f"{names}\n rows: spark {len(got)}, sql {len(want)}\n spark only {only_got}\n sql only {only_want}"
 
 
