@@ -438,7 +438,8 @@ QUERIES = {
             SELECT tab, arg_max(value, ts_ms) AS value FROM run_metrics
             WHERE metric = 'last_run' AND ts_ms <= {AT} AND ts_ms > {AT - BACK} GROUP BY 1)),
           a AS (SELECT avg(value) AS mean FROM vec)
-        SELECT round(mean * CASE WHEN last > {AT / 1000.0 - 86400} THEN 1 ELSE 0 END, 6) AS value FROM a, l""",
+        SELECT round(mean * CASE WHEN last > {AT / 1000.0 - 86400} THEN 1 ELSE 0 END, 6) AS value FROM a, l
+        WHERE mean IS NOT NULL AND last IS NOT NULL""",
     ),
     "avg_pass_rate": Query(
         pass_rate,
