@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark import fixed_values as fv
-from rillmark.operators.series import LABEL_SET, at_steps, label_set
+from rillmark.operators.series import LABEL_SET, held_over_steps, label_set, last_per_step
 from rillmark.operators.timeline import CHUNK_MS, islands
 from rillmark.spec import RuleSpec, Selector
 
@@ -79,8 +79,9 @@ def rule_values(
     """The compared value of every rule and series at every step.
 
     One scan serves all rules: the metric names go to the scan as a filter, and
-    each sample is handed to the rules that select it. The rules are a handful
-    of literals in the plan, so nothing is joined or broadcast.
+    samples are cut to the last one per series and step before any rule looks
+    at them. Each row is then handed to the rules that select it. The rules are
+    a handful of literals in the plan, so nothing is joined or broadcast.
     """
     sides = _sides(rules)
     metrics = sorted({s.metric for _, _, s in sides})
@@ -95,17 +96,17 @@ def rule_values(
         )
         for r, is_divisor, s in sides
     ]
+    grid = (start_ms, end_ms, step_ms, lookback_ms)
+    watched = samples.where(F.col("metric").isin(*metrics)).select(
+        "metric", label_set(F.col("labels")).alias(LABEL_SET), "ts_ms", "value"
+    )
+    last = last_per_step(watched, ["metric", LABEL_SET], *grid)
     chosen = (
-        samples.where(F.col("metric").isin(*metrics))
-        .where((F.col("ts_ms") > start_ms - lookback_ms) & (F.col("ts_ms") <= end_ms))
-        .select(
-            "ts_ms", "value", label_set(F.col("labels")).alias(LABEL_SET),
-            F.explode(F.array_compact(F.array(*tagged))).alias("t"),
-        )
-        .select("t.rule", "t.is_divisor", "t.kept", LABEL_SET, "ts_ms", "value")
+        last.withColumn("labels", F.map_from_entries(LABEL_SET))
+        .withColumn("t", F.explode(F.array_compact(F.array(*tagged))))
+        .select("t.rule", "t.is_divisor", "t.kept", LABEL_SET, "_tick", "_ts", "value")
     )
-    series = ["rule", "is_divisor", "kept", LABEL_SET]
-    ticks = at_steps(chosen, series, start_ms, end_ms, step_ms, lookback_ms)
+    ticks = held_over_steps(chosen, ["rule", "is_divisor", "kept", LABEL_SET], *grid)
     age = F.col("tick_ms") / 1000.0 - F.col("value")
     subject = F.when(
         F.col("rule").isin(*[r.name for r in rules if r.subject == "age"] or [""]), age

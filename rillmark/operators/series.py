@@ -219,8 +219,13 @@ def counter_rate(
     """Adds `increase` and `rate` (per second) over the window that ends at each sample.
 
     Takes one sample per key and `ts_ms`. A drop of the counter is a restart
-    from zero. No extrapolation to the window's edges. The window runs inside
+    from zero. No extrapolation to the window's edges. The work runs inside
     time chunks that repeat one window length of the chunk before.
+
+    A sliding frame would go over a window's samples again for every row.
+    Instead each sample also puts a probe at the start of its window, and one
+    pass back in time hands the probe the next sample's climb, so the cost does
+    not depend on how many samples a window holds.
     """
     cut = with_halo(samples, "ts_ms", window_ms, chunk_ms)
     order = Window.partitionBy(*keys, "_chunk").orderBy("ts_ms")
@@ -229,40 +234,53 @@ def counter_rate(
     climbed = cut.withColumn(
         "_step", F.when(previous.isNull(), F.lit(0.0)).otherwise(step)
     ).withColumn("_climb", F.sum("_step").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    first = F.first("_climb").over(order.rangeBetween(-window_ms, 0))
+
+    sample = F.struct(F.col("ts_ms").alias("at"), F.lit(False).alias("is_probe"))
+    probe = F.struct((F.col("ts_ms") - window_ms).alias("at"), F.lit(True).alias("is_probe"))
+    places = F.when(F.col("_halo"), F.array(sample)).otherwise(F.array(sample, probe))
+    placed = climbed.withColumn("_place", F.explode(places))
+    is_probe = F.col("_place.is_probe")
+    # A sample exactly at the start of a window belongs to it.
+    back = Window.partitionBy(*keys, "_chunk").orderBy(F.col("_place.at").desc(), is_probe).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    first = F.last(F.when(~is_probe, F.col("_climb")), ignorenulls=True).over(back)
     return (
-        climbed.withColumn("increase", F.col("_climb") - first)
-        .where(~F.col("_halo"))
+        placed.withColumn("increase", F.col("_climb") - first)
+        .where(is_probe)
         .withColumn("rate", F.col("increase") / (window_ms / 1000.0))
-        .drop("_chunk", "_halo", "_step", "_climb")
+        .drop("_chunk", "_halo", "_step", "_climb", "_place")
     )
 
 
-def at_steps(
-    samples: DataFrame,
-    keys: Sequence[str],
-    start_ms: int,
-    end_ms: int,
-    step_ms: int = fv.RULE_STEP_MS,
-    lookback_ms: int = fv.LOOKBACK_MS,
+def last_per_step(
+    samples: DataFrame, keys: Sequence[str], start_ms: int, end_ms: int,
+    step_ms: int = fv.RULE_STEP_MS, lookback_ms: int = fv.LOOKBACK_MS,
 ) -> DataFrame:
-    """The instant vector at every step of a range: (keys, tick_ms, value).
+    """The last sample per key and step that any step of the range can see.
 
-    Samples are first cut to the last one per key and step. A key then has at
-    most one row per step, so the window over a key is bounded by the length of
-    the range, and each row stands for at most lookback/step ticks.
+    One aggregate, combined before the shuffle. From here on a key has at most
+    one row per step, however many samples came in.
     """
     tick = start_ms + ceil_to(F.col("ts_ms") - start_ms, step_ms)
-    last = (
-        samples.where(
-            (F.col("ts_ms") > start_ms - lookback_ms) & (F.col("ts_ms") <= end_ms)
-        )
+    return (
+        samples.where((F.col("ts_ms") > start_ms - lookback_ms) & (F.col("ts_ms") <= end_ms))
         .groupBy(*keys, tick.alias("_tick"))
         .agg(F.max_by("value", "ts_ms").alias("value"), F.max("ts_ms").alias("_ts"))
     )
+
+
+def held_over_steps(
+    last: DataFrame, keys: Sequence[str], start_ms: int, end_ms: int,
+    step_ms: int = fv.RULE_STEP_MS, lookback_ms: int = fv.LOOKBACK_MS,
+) -> DataFrame:
+    """`last_per_step` rows at every step they stand for: (keys, tick_ms, value).
+
+    A sample holds until the next one takes over or the lookback ends; one
+    exactly one lookback old is out. The window over a key is bounded by the
+    number of steps, and a row stands for at most lookback/step steps.
+    """
     following = F.lead("_tick").over(Window.partitionBy(*keys).orderBy("_tick"))
-    # The sample holds until the next one takes over or the lookback ends
-    # (a sample exactly one lookback old is out).
     stale = F.col("_ts") + (lookback_ms - 1)
     until = F.least(F.coalesce(following - step_ms, F.lit(end_ms)), stale, F.lit(end_ms))
     since = F.greatest(F.col("_tick"), F.lit(start_ms))
@@ -277,6 +295,15 @@ def at_steps(
     )
 
 
+def at_steps(
+    samples: DataFrame, keys: Sequence[str], start_ms: int, end_ms: int,
+    step_ms: int = fv.RULE_STEP_MS, lookback_ms: int = fv.LOOKBACK_MS,
+) -> DataFrame:
+    """The instant vector at every step of a range: (keys, tick_ms, value)."""
+    last = last_per_step(samples, keys, start_ms, end_ms, step_ms, lookback_ms)
+    return held_over_steps(last, keys, start_ms, end_ms, step_ms, lookback_ms)
+
+
 def band(value: Column, name: str) -> Column:
     """Colour of a value in a named band table; null gives the no-data text."""
     bands = fv.BANDS[name]

@@ -24,7 +24,8 @@ HOUR = 3_600_000
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read(spark, sf_dir, "events").schema
-    stream = ingest.file_stream(spark, sf_dir, schema, name_filter="events.parquet")
+    # A table is a folder of files or, in small data sets, one file.
+    stream = ingest.file_stream(spark, f"{sf_dir}/events.parquet", schema)
     return stream.withColumn("ts_ms", epoch_ms(F.col("ts")))
 
 

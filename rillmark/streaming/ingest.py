@@ -22,18 +22,16 @@ BATCH_PARTITIONS = (*fv.DATE_PARTITIONS, BATCH)
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-    files_per_trigger: int = 1000, name_filter: str | None = None,
+    files_per_trigger: int = 1000,
 ) -> DataFrame:
     """A folder of files as a stream; the number of files per batch is bounded."""
-    reader = (
+    return (
         spark.readStream.format(fmt)
         .schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("recursiveFileLookup", "true")
+        .load(path)
     )
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
-    return reader.load(path)
 
 
 def _start(writer, once: bool, interval: str) -> StreamingQuery:
