@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from rillmark.functions.times import utc_date_parts
 from rillmark.operators import alerts, changes, quality
 from rillmark.plans.batch_run import batch_profile
 from rillmark.sinks import bronze, state
+from rillmark.sources.feed import envelope_schema
 from rillmark.spec import TableSpec
 
 BATCH = "batch_id"
@@ -141,3 +142,19 @@ def keep_bronze(
     """Runs a `bronze_writer` over a stream of change events."""
     writer = feed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(writer, once, interval)
+
+
+def keep_all_bronze(
+    spark: SparkSession, specs: Iterable[TableSpec], raw_root: str, bronze_root: str, state_root: str,
+    as_of: Callable[[], int], fmt: str = "parquet", once: bool = False,
+    interval: str = fv.LANDING_TRIGGER,
+) -> dict[str, StreamingQuery]:
+    """One query per table, so a table that fails leaves the others running."""
+    running = {}
+    for spec in specs:
+        feed = file_stream(spark, f"{raw_root}/{spec.name}", envelope_schema(spec.schema()), fmt)
+        write = bronze_writer(spec, f"{bronze_root}/{spec.name}", state_root, as_of)
+        running[spec.name] = keep_bronze(
+            feed, write, f"{state_root}/checkpoints/{spec.name}", once, interval
+        )
+    return running

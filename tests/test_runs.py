@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from rillmark.__main__ import main
 from rillmark.operators import series
 from rillmark.plans.batch_run import RunConfig, run_all, run_table
 from rillmark.sinks import bronze, state
@@ -145,3 +146,20 @@ def test_replays_replace_their_partition(spark, folder):
     bronze.replace_partitions(df.withColumn("day", df.day + 1), folder + "/t")
     bronze.replace_partitions(df, folder + "/t")
     assert spark.read.parquet(folder + "/t").count() == 20
+
+
+def test_command_line(spark, folder, capsys):
+    args = ["--bronze", folder + "/bronze"]
+    assert main(["init", "--database", "shop", *args], spark) == 0
+    row = "struct<product_id:smallint,product_name:string>"
+    feed = spark.createDataFrame([("c", NOW, None, (1, "Tea"), 0)],
+                                 f"op string, ts_ms long, before {row}, after {row}, seq long")
+    for table in ("products",):
+        feed.write.parquet(f"{folder}/raw/{table}")
+    # The other tables have no source yet, which is reported.
+    code = main(["run", "--raw", folder + "/raw", "--state", folder + "/state", "--database", "shop", *args], spark)
+    assert code == 1
+    said = capsys.readouterr().out
+    assert "products ok 1" in said and "orders unreadable" in said
+    assert [r.product_name for r in spark.table("shop.products").collect()] == ["Tea"]
+    spark.sql("DROP DATABASE shop CASCADE")

@@ -9,6 +9,7 @@ from rillmark.operators.rules import sustained
 from rillmark.sources.messages import file_messages
 from rillmark.spec import TableSpec
 from rillmark.streaming import batched, ingest, stateful
+from rillmark.streaming.delivery import delivery_writer
 
 ROW = "struct<id:int,v:string>"
 FEED = f"op string, ts_ms long, before {ROW}, after {ROW}, seq long"
@@ -192,3 +193,28 @@ def test_simple_repeat_filter(spark, folder):
     schema = parts(spark, df, folder + "/in", 1, "ts_ms")
     out = stateful.without_repeats(stream(spark, folder + "/in", schema)).select("dedup_key")
     assert collect_stream(spark, out, folder) == {("a",), ("b",)}
+
+
+def test_delivery_stream(spark, folder):
+    rows = [("a", "k", '{"event_action":"trigger","error_type":"null_pk","table":"t"}', T0),
+            ("b", "k", "broken", T0), ("b", "k", '{"event_action":"other"}', T0)]
+    df = spark.createDataFrame(rows, "topic string, key string, value string, ts_ms long")
+    write = delivery_writer(folder, {"a": "key-a"})
+    write(df, 0)
+    write(df, 0)
+    out = spark.read.parquet(folder + "/outbox").collect()
+    assert [(r.dedup_key, r.dry_run) for r in out] == [("cdc-t-null_pk", False)]
+    assert spark.read.parquet(folder + "/rejects").count() == 1
+    assert spark.read.parquet(folder + "/ignored").count() == 1
+
+
+def test_one_query_per_table(spark, folder):
+    for name in ("items", "others"):
+        spark.createDataFrame(change_rows(5), FEED).write.parquet(f"{folder}/raw/{name}")
+    specs = [SPEC, TableSpec("others", ("id",), "id INT, v STRING")]
+    started = ingest.keep_all_bronze(spark, specs, folder + "/raw", folder + "/bronze", folder + "/state",
+                                     lambda: T0, once=True)
+    for query in started.values():
+        finish(query)
+    assert set(started) == {"items", "others"}
+    assert spark.read.parquet(folder + "/bronze/others").count() > 0
