@@ -31,6 +31,8 @@ PK_CRITICAL_RATIO = 0.5
 OP_WARNING_RATIO = 0.01
 ALERT_RETENTION_DAYS = 7
 RECENT_RUN_S = 600
+# Ours: how far back a run looks for a table's last outcome.
+OUTCOME_DAYS = 30
 
 # --- alert events ----------------------------------------------------------
 ALERT_SOURCE = "spark-cdc"

@@ -6,6 +6,7 @@ import time
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,7 +132,7 @@ def run_table(
             verdict = quality.gate(report, () if config.freshness_blocks else ("stale_data",)).first()
             out["dq_passed"] = verdict["all_passed"]
             state.append_rows(
-                quality.check_gauges(report, spec.name, run_ms), config.path("metrics")
+                quality.check_gauges(report, spec.name, run_ms), config.path("metrics"), run_ms
             )
             state.append_rows(
                 alerts.as_messages(
@@ -141,6 +142,7 @@ def run_table(
                     alerts.TRIGGER_FIELDS,
                 ),
                 config.path("outbox"),
+                run_ms,
             )
             if not verdict["may_write"]:
                 out["status"] = "gate_failed"
@@ -156,9 +158,7 @@ def run_table(
 
             if config.database:
                 step("register")
-                day = [
-                    spark.range(1).select(*[c.alias(n) for n, c in run_date_parts(run_ms).items()])
-                ][0]
+                day = spark.range(1).select(*[c.alias(n) for n, c in run_date_parts(run_ms).items()])
                 bronze.register_missing(spark, config.database, spec.name, path, day)
                 out["partition_registered"] = True
         else:
@@ -187,7 +187,7 @@ def run_all(
     one process to the next.
     """
     outcomes = []
-    streaks = _failure_counts(spark, config)
+    streaks = _failure_counts(spark, config, run_ms)
     for spec in specs:
         so_far = streaks.get(spec.name, 0)
         try:
@@ -203,7 +203,7 @@ def run_all(
             0 if outcome["status"] in SUCCEEDED else so_far
         )
         outcomes.append(outcome)
-    state.save_outcomes(spark, config.path("outcomes"), outcomes)
+    state.save_outcomes(spark, config.path("outcomes"), outcomes, run_ms)
     _report(spark, outcomes, config, run_ms)
     return outcomes
 
@@ -227,13 +227,16 @@ def failure_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def _failure_counts(spark: SparkSession, config: RunConfig) -> dict[str, int]:
+def _failure_counts(spark: SparkSession, config: RunConfig, run_ms: int) -> dict[str, int]:
+    """Each table's count from its last outcome: recent log days are enough."""
+    since = run_ms - fv.OUTCOME_DAYS * 86_400_000
     try:
-        log = spark.read.schema(state.OUTCOME_SCHEMA).parquet(config.path("outcomes"))
+        log = state.log_rows(spark, config.path("outcomes"), state.OUTCOME_SCHEMA, since)
         # One row per table comes to the driver.
-        return {r["table"]: r["consecutive_failures"] for r in failure_counts(log).collect()}
-    except Exception:  # noqa: BLE001 - no log yet
-        return {}
+        rows = state.last_outcomes(log).collect()
+    except AnalysisException:
+        return {}  # no log yet
+    return {r["table"]: r["consecutive_failures"] or 0 for r in rows}
 
 
 def run_gauges(spark: SparkSession, outcomes: list[dict], run_ms: int) -> DataFrame:
@@ -262,7 +265,7 @@ def run_gauges(spark: SparkSession, outcomes: list[dict], run_ms: int) -> DataFr
 
 
 def _report(spark: SparkSession, outcomes: list[dict], config: RunConfig, run_ms: int) -> None:
-    state.append_rows(run_gauges(spark, outcomes, run_ms), config.path("metrics"))
+    state.append_rows(run_gauges(spark, outcomes, run_ms), config.path("metrics"), run_ms)
     fields = [
         (o["table"], o["status"], o.get("failed_step"), o.get("exception"), o.get("message"),
          int(o.get("consecutive_failures") or 0), run_ms)
@@ -274,11 +277,11 @@ def _report(spark: SparkSession, outcomes: list[dict], config: RunConfig, run_ms
         "consecutive_failures long, ts_ms long",
     )
     crashed = alerts.as_messages(alerts.crash_events(runs), alerts.TRIGGER_FIELDS)
-    state.append_rows(crashed, config.path("outbox"))
+    state.append_rows(crashed, config.path("outbox"), run_ms)
     held = [(o["table"], o["mark_ms"]) for o in outcomes if o.get("mark_ms") is not None]
     if held:
         marks = spark.createDataFrame(held, "table string, last_processed_ts_ms long")
         fresh = alerts.freshness_events(marks, run_ms, config.freshness_limit_s)
         state.append_rows(
-            alerts.as_messages(fresh, alerts.TRIGGER_FIELDS), config.path("outbox")
+            alerts.as_messages(fresh, alerts.TRIGGER_FIELDS), config.path("outbox"), run_ms
         )

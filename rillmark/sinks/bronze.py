@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,22 +100,31 @@ def register_missing(
     return sum(register_partition(spark, database, table, path, *row) for row in todo)
 
 
-def compact_day(
-    spark: SparkSession, path: str, staging: str, year: int, month: int, day: int
+def compact(
+    spark: SparkSession, path: str, staging: str, values: Mapping[str, object]
 ) -> int:
-    """Rewrites one day's many small files as few large ones; returns its rows.
+    """Rewrites one partition's many small files as few large ones; returns its rows.
 
-    The rows are first written to a staging folder and counted there, so the
-    day is only replaced by a whole copy, and no job reads what it overwrites.
+    `values` names the partition: a day of bronze, a day of a log, a table's
+    marks. The rows are first written to a staging folder and counted there, so
+    the partition is only replaced by a whole copy, and no job reads what it
+    overwrites.
     """
-    at = (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-    source = spark.read.parquet(path).where(at)
-    balanced(source, fv.DATE_PARTITIONS).write.mode("overwrite").partitionBy(
-        *fv.DATE_PARTITIONS
-    ).parquet(staging)
-    copy = spark.read.parquet(staging)
+    by = list(values)
+    source = spark.read.parquet(path)
+    for column, value in values.items():
+        source = source.where(F.col(column) == F.lit(value))
+    balanced(source, by).write.mode("overwrite").partitionBy(*by).parquet(staging)
+    copy = spark.read.schema(source.schema).parquet(staging)
     rows, staged = source.count(), copy.count()
     if rows != staged:
         raise RuntimeError(f"staged {staged} of {rows} rows; nothing was replaced")
-    replace_partitions(copy, path)
+    replace_partitions(copy, path, by)
     return rows
+
+
+def compact_day(
+    spark: SparkSession, path: str, staging: str, year: int, month: int, day: int
+) -> int:
+    """`compact` for one day of a bronze table."""
+    return compact(spark, path, staging, {"year": year, "month": month, "day": day})

@@ -1,12 +1,15 @@
 """Small state tables: high-water marks, run outcomes, metrics and the alert outbox.
 
 All of them are appended to and read back newest first. An append either shows
-up whole or not at all, so a lost driver never leaves a torn mark behind.
+up whole or not at all, so a lost driver never leaves a torn mark behind. Logs
+are partitioned by UTC day: readers prune to the days they need, and
+`sinks.bronze.compact` merges the small files of a day that is over.
 """
 
 from __future__ import annotations
 
 import time
+from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +20,7 @@ OUTCOME_SCHEMA = (
     "table string, status string, failed_step string, exception string, message string, "
     "rows_read long, rows_late long, rows_rejected long, rows_deduped long, rows_written long, "
     "partition_registered boolean, mark_saved boolean, mark_ms long, dq_passed boolean, "
-    "started_ms long, ts_ms long, duration_s double"
+    "consecutive_failures long, started_ms long, ts_ms long, duration_s double"
 )
 
 
@@ -54,16 +57,36 @@ def load_mark(spark: SparkSession, path: str, table: str) -> int | None:
     return None if row is None else row["last_processed_ts_ms"]
 
 
-def save_outcomes(spark: SparkSession, path: str, rows: list[dict]) -> None:
+def append_rows(df: DataFrame, path: str, ts_ms: int) -> None:
+    """Appends metrics, messages or outcomes to the log of their day."""
+    df.withColumn("log_day", F.lit(_day(ts_ms))).write.mode("append").partitionBy("log_day").parquet(path)
+
+
+def log_rows(spark: SparkSession, path: str, schema: str, since_ms: int | None = None) -> DataFrame:
+    """A log's rows, of all days or from a day on."""
+    rows = spark.read.schema(f"{schema}, log_day string").parquet(path)
+    if since_ms is not None:
+        rows = rows.where(F.col("log_day") >= _day(since_ms))
+    return rows.drop("log_day")
+
+
+def _day(ts_ms: int) -> str:
+    return datetime.fromtimestamp(ts_ms / 1000, tz=timezone.utc).strftime("%Y%m%d")
+
+
+def save_outcomes(spark: SparkSession, path: str, rows: list[dict], ts_ms: int) -> None:
     """Appends one row per table run."""
     names = [f.split()[0] for f in OUTCOME_SCHEMA.split(", ")]
     data = [tuple(r.get(n) for n in names) for r in rows]
-    spark.createDataFrame(data, OUTCOME_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    append_rows(spark.createDataFrame(data, OUTCOME_SCHEMA).coalesce(1), path, ts_ms)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Appends metrics or messages."""
-    df.write.mode("append").parquet(path)
+def last_outcomes(outcomes: DataFrame) -> DataFrame:
+    """The newest outcome row of every table."""
+    return outcomes.groupBy("table").agg(
+        F.max_by("consecutive_failures", "ts_ms").alias("consecutive_failures"),
+        F.max_by("status", "ts_ms").alias("status"),
+    )
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:

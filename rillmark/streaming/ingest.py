@@ -90,7 +90,7 @@ def bronze_writer(
             bronze.replace_partitions(kept, f"{state_root}/quarantine/{spec.name}", (BATCH,))
             failed = alerts.check_failure_events(report, spec.name, now)
             state.append_rows(
-                alerts.as_messages(failed, alerts.TRIGGER_FIELDS), f"{state_root}/outbox"
+                alerts.as_messages(failed, alerts.TRIGGER_FIELDS), f"{state_root}/outbox", now
             )
             return
         rows = stream_rows(batch, spec, ties, keep_deletes)

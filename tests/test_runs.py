@@ -140,6 +140,17 @@ def test_compaction_keeps_rows(spark, folder):
     assert len(day) == 1 < before
 
 
+def test_a_log_day_is_compacted(spark, folder):
+    path = folder + "/log"
+    for n in range(3):
+        state.append_rows(spark.range(n, n + 1), path, NOW)
+    state.append_rows(spark.range(9, 10), path, NOW + 86_400_000)
+    assert bronze.compact(spark, path, folder + "/staging", {"log_day": "20231114"}) == 3
+    log = state.log_rows(spark, path, "id long")
+    assert sorted(r.id for r in log.collect()) == [0, 1, 2, 9] and len(log.inputFiles()) == 2
+    assert state.log_rows(spark, path, "id long", NOW + 86_400_000).count() == 1
+
+
 def test_replays_replace_their_partition(spark, folder):
     df = spark.range(10).selectExpr("id", "2024 as year", "1 as month", "1 as day")
     bronze.replace_partitions(df, folder + "/t")
