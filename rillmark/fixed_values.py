@@ -72,6 +72,19 @@ TITLE_TO_ERROR_TYPE = {
 SKIPPED_TITLES = ("DatasourceNoData", "DatasourceError", "DatasourceNoData resolved")
 SKIPPED_PREFIXES = ("\U0001f534", "\U0001f7e0", "\U0001f7e1", "\U0001f535")
 
+# Texts of check results and alert summaries (printf formats).
+ALL_PASSED = "all constraints passed"
+NO_ROWS = "table has 0 rows"
+NOT_EVALUATED = "no rows to evaluate"
+NO_DETAIL = "no detail"
+UNMET = "Value: %s does not meet the constraint requirement!"
+AGE_TEXT = "latest event is %.1f seconds old (threshold: {limit} seconds)"
+DQ_SUMMARY = "[CDC DQ %s] '%s': %s FAILED — %s rows (%s) | %s"
+DQ_EMPTY_SUMMARY = "[CDC DQ %s] '%s': %s FAILED — %s"
+CRASH_SUMMARY = "[CDC Pipeline] '%s' crashed at step %s: %s"
+FRESHNESS_SUMMARY = "[CDC Freshness] '%s' data is %.1f min stale (threshold: {limit:.0f} min)"
+PLAIN_SUMMARY = "[CDC] %s on %s"
+
 # Topic names are deployment settings; these are our defaults.
 INFRA_TOPIC = "alerts.infrastructure"
 DQ_TOPIC = "alerts.data-quality"

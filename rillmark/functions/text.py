@@ -70,8 +70,8 @@ def violations_from_message(message: Column, total: Column) -> Column:
 def failed_constraint_message(constraint: Column, message: Column) -> Column:
     """One `name: text` piece of a failed constraint."""
     text = F.when(
-        message.contains("Empty state for analyzer"), "no rows to evaluate"
-    ).otherwise(F.coalesce(blank_to_null(message), F.lit("no detail")))
+        message.contains("Empty state for analyzer"), fv.NOT_EVALUATED
+    ).otherwise(F.coalesce(blank_to_null(message), F.lit(fv.NO_DETAIL)))
     return F.concat(constraint_name(constraint), F.lit(": "), text)
 
 

@@ -106,13 +106,11 @@ def check_failure_events(
     name, kind = F.col("check_name"), F.col("error_type")
     rows = F.concat_ws("/", F.col("violation_rows"), F.col("total_rows"))
     empty = kind == "empty_table"
+    named = (F.col("sev_label"), F.lit(table), name)
     summary = F.when(
-        empty,
-        F.format_string("[CDC DQ %s] '%s': %s FAILED — %s", F.col("sev_label"), F.lit(table), name,
-                        F.col("message")),
+        empty, F.format_string(fv.DQ_EMPTY_SUMMARY, *named, F.col("message"))
     ).otherwise(
-        F.format_string("[CDC DQ %s] '%s': %s FAILED — %s rows (%s) | %s", F.col("sev_label"),
-                        F.lit(table), name, rows, F.col("violation_pct"), F.col("message"))
+        F.format_string(fv.DQ_SUMMARY, *named, rows, F.col("violation_pct"), F.col("message"))
     )
     details = F.to_json(
         F.struct(
@@ -144,7 +142,7 @@ def crash_events(outcomes: DataFrame) -> DataFrame:
     return trigger_events(
         outcomes.where(F.col("status") == "crashed"),
         table=F.col("table"), error_type=F.lit("unhandled_exception"),
-        summary=F.format_string("[CDC Pipeline] '%s' crashed at step %s: %s", "table", step, "exception"),
+        summary=F.format_string(fv.CRASH_SUMMARY, "table", step, "exception"),
         severity=F.lit("critical"), details=details, ts_ms=F.col("ts_ms"),
         group=F.lit("infrastructure"), component=F.lit("spark"),
     )
@@ -168,8 +166,7 @@ def freshness_events(
     gaps = freshness_gap(marks, as_of_ms)
     gap = F.col("gap_seconds")
     summary = F.format_string(
-        f"[CDC Freshness] '%s' data is %.1f min stale (threshold: {limit_s / 60:.0f} min)",
-        F.col("table"), gap / 60,
+        fv.FRESHNESS_SUMMARY.format(limit=limit_s / 60), F.col("table"), gap / 60
     )
     details = F.to_json(
         F.struct(F.round(gap, 1).alias("freshness_gap_seconds"), F.lit(limit_s).alias("threshold_seconds"))
@@ -298,7 +295,7 @@ def outbound(
         }
     )
     payload = F.struct(
-        F.coalesce("summary", F.concat(F.lit("[CDC] "), kind, F.lit(" on "), table)).alias("summary"),
+        F.coalesce("summary", F.format_string(fv.PLAIN_SUMMARY, kind, table)).alias("summary"),
         F.col("_level.severity").alias("severity"),
         F.coalesce("source", F.lit(fv.ALERT_SOURCE)).alias("source"),
         F.coalesce("component", F.concat(F.lit("spark-cdc/"), table)).alias("component"),

@@ -110,11 +110,11 @@ def standard_checks(
     """
     total = F.col("total")
     filled = total > 0
-    ok = F.lit("all constraints passed")
+    ok = F.lit(fv.ALL_PASSED)
 
     def ratio_message(name: str, bad: Column) -> Column:
         text = F.format_string(
-            f"{name}: Value: %s does not meet the constraint requirement!",
+            f"{name}: {fv.UNMET}",
             F.round(1 - bad / total, 6).cast("string"),
         )
         return F.when(bad > 0, text).otherwise(ok)
@@ -122,7 +122,7 @@ def standard_checks(
     rows = [
         _row(
             "non_empty", "empty_table", F.lit(True), F.lit(0),
-            F.when(filled, ok).otherwise("table has 0 rows"),
+            F.when(filled, ok).otherwise(fv.NO_ROWS),
         )
     ]
     for k in keys:
@@ -149,9 +149,7 @@ def standard_checks(
         _row(
             "freshness", "stale_data", filled & F.col("newest_ms").isNotNull(),
             F.when(age <= limit_s, 0).otherwise(1),
-            F.format_string(
-                f"latest event is %.1f seconds old (threshold: {limit_s} seconds)", age
-            ),
+            F.format_string(fv.AGE_TEXT.format(limit=limit_s), age),
         )
     )
     return (
@@ -185,9 +183,8 @@ def user_checks(df: DataFrame, checks: Sequence[CheckSpec]) -> DataFrame:
                 # A rule on an aggregate does not say which rows break it: as
                 # with an unreadable message, all of them count.
                 F.when(held, 0).otherwise(F.col("total_rows")).cast("long").alias("violation_rows"),
-                F.when(held, "all constraints passed")
-                .otherwise(F.format_string("Value: %s does not meet the constraint requirement!",
-                                           F.col(f"m{i}").cast("string")))
+                F.when(held, fv.ALL_PASSED)
+                .otherwise(F.format_string(fv.UNMET, F.col(f"m{i}").cast("string")))
                 .alias("message"),
             )
         )
@@ -318,7 +315,7 @@ def failure_message(constraints: DataFrame) -> DataFrame:
     piece = failed_constraint_message(F.col("constraint"), F.col("constraint_message"))
     text = F.array_join(F.array_sort(F.collect_list(piece)), "; ")
     return failed.agg(
-        F.when(F.count(F.lit(1)) > 0, text).otherwise("all constraints passed").alias("message")
+        F.when(F.count(F.lit(1)) > 0, text).otherwise(fv.ALL_PASSED).alias("message")
     )
 
 

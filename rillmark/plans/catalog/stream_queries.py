@@ -16,7 +16,7 @@ from rillmark.plans.catalog.inputs import ALERTS_SQL, END_MS, MS_SQL, Query, eve
 from rillmark.plans.catalog.series_queries import island_sql
 from rillmark.session import shared_dir
 from rillmark.spec import TableSpec
-from rillmark.streaming import batched, ingest, stateful
+from rillmark.streaming import batched, ingest
 
 USERS = TableSpec("users", ("user_id",), "user_id BIGINT, event_id BIGINT, value DOUBLE, props STRING")
 HOUR = 3_600_000
@@ -82,7 +82,7 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = shared_dir(spark, "stream-incidents")
     _run(events, batched.incident_writer(root, ttl_ms=365 * 24 * HOUR, chunk_ms=12 * HOUR), root)
-    return batched.output(spark, root, stateful.INCIDENT_OUTPUT).where("state = 'resolved'")
+    return batched.output(spark, root, batched.INCIDENT_OUTPUT).where("state = 'resolved'")
 
 
 def stream_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def stream_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = shared_dir(spark, "stream-sustained")
     _run(samples, batched.sustained_writer(root, 2 * HOUR, chunk_ms=HOUR), root)
-    return batched.output(spark, root, stateful.FIRING_OUTPUT)
+    return batched.output(spark, root, batched.FIRING_OUTPUT)
 
 
 def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir).select(F.col("user_id").cast("string").alias("group_key"), "ts_ms")
     root = shared_dir(spark, "stream-repeats")
     _run(events, batched.repeat_writer(root, 4 * HOUR), root)
-    return batched.output(spark, root, stateful.NOTIFY_OUTPUT)
+    return batched.output(spark, root, batched.NOTIFY_OUTPUT)
 
 
 QUERIES = {

@@ -1 +1 @@
-"""Structured Streaming twins of the batch operators."""
+"""Structured Streaming forms of the batch operators."""

@@ -25,6 +25,11 @@ Writer = Callable[[DataFrame, int], None]
 BATCH = "batch_id"
 SLOTS = 3
 
+INCIDENT_OUTPUT = (
+    "dedup_key string, opened_ms long, resolved_ms long, triggers long, state string"
+)
+FIRING_OUTPUT = "series string, active_since_ms long, firing_ms long"
+NOTIFY_OUTPUT = "group_key string, notified_ms long"
 OPEN_SCHEMA = "dedup_key string, opened_ms long, last_ms long, triggers long"
 RUN_SCHEMA = "series string, since_ms long, last_ms long, fired boolean"
 SENT_SCHEMA = "group_key string, sent_ms long"
@@ -171,3 +176,13 @@ def repeat_writer(
 def output(spark, root: str, schema: str) -> DataFrame:
     """What a writer has put out so far."""
     return spark.read.schema(f"{schema}, {BATCH} long").parquet(f"{root}/out").drop(BATCH)
+
+
+def without_repeats(events: DataFrame, within: str = "4 hours") -> DataFrame:
+    """The simple variant: one event per dedup key within a time, by the built-in operator."""
+    return (
+        events.withColumn("_ts", F.timestamp_millis("ts_ms"))
+        .withWatermark("_ts", within)
+        .dropDuplicatesWithinWatermark(["dedup_key"])
+        .drop("_ts")
+    )

@@ -34,6 +34,19 @@ def _cell(v):
     return str(v)
 
 
+SAME_TYPES = {
+    "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER",
+}
+
+
+def type_differences(spark_df, con, sql: str) -> list[str]:
+    """Columns whose types are not the same on both sides."""
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{n}: {t} / {want.get(n)}" for n, t in spark_df.dtypes if SAME_TYPES.get(t) != want.get(n)
+    ]
+
+
 def difference(spark_df, con, sql: str) -> str | None:
     """None if equal, else what differs."""
     cur = con.execute(sql)

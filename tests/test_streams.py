@@ -8,7 +8,7 @@ from rillmark.operators import alerts, changes
 from rillmark.operators.rules import sustained
 from rillmark.sources.messages import file_messages
 from rillmark.spec import TableSpec
-from rillmark.streaming import batched, ingest, stateful
+from rillmark.streaming import batched, ingest
 from rillmark.streaming.delivery import delivery_writer
 
 ROW = "struct<id:int,v:string>"
@@ -98,7 +98,7 @@ def test_incidents_over_batches(spark, folder, files):
     schema = parts(spark, df, folder + "/in", files, "seq")
     write = batched.incident_writer(folder + "/s", chunk_ms=7000)
     finish(ingest.keep_bronze(stream(spark, folder + "/in", schema), write, folder + "/cp", once=True))
-    got = {tuple(r) for r in batched.output(spark, folder + "/s", stateful.INCIDENT_OUTPUT).collect()}
+    got = {tuple(r) for r in batched.output(spark, folder + "/s", batched.INCIDENT_OUTPUT).collect()}
     want = {(r.dedup_key, r.opened_ms, r.resolved_ms, r.triggers, r.state)
             for r in alerts.incidents(df).where("state = 'resolved'").collect()}
     assert got == want and got
@@ -112,7 +112,7 @@ def test_incidents_replay_and_expiry(spark, folder):
     write(one, 0)
     write(two, 1)
     write(two, 1)
-    got = {(r.dedup_key, r.state) for r in batched.output(spark, root, stateful.INCIDENT_OUTPUT).collect()}
+    got = {(r.dedup_key, r.state) for r in batched.output(spark, root, batched.INCIDENT_OUTPUT).collect()}
     assert got == {("b", "resolved"), ("a", "expired")}
 
 
@@ -124,7 +124,7 @@ def test_sustained_over_batches(spark, folder, files):
     schema = parts(spark, df, folder + "/in", files, "ts_ms")
     write = batched.sustained_writer(folder + "/s", 9000, chunk_ms=5000)
     finish(ingest.keep_bronze(stream(spark, folder + "/in", schema), write, folder + "/cp", once=True))
-    got = {tuple(r) for r in batched.output(spark, folder + "/s", stateful.FIRING_OUTPUT).collect()}
+    got = {tuple(r) for r in batched.output(spark, folder + "/s", batched.FIRING_OUTPUT).collect()}
     runs = sustained(df, ["series"], "breach", 9000).where("state = 'firing'").collect()
     assert got == {(r.series, r.start_ms, r.start_ms + 9000) for r in runs} and got
 
@@ -137,7 +137,7 @@ def test_repeats_over_batches(spark, folder, files):
     schema = parts(spark, df, folder + "/in", files, "ts_ms")
     write = batched.repeat_writer(folder + "/s", 20_000, 1)
     finish(ingest.keep_bronze(stream(spark, folder + "/in", schema), write, folder + "/cp", once=True))
-    got = {tuple(r) for r in batched.output(spark, folder + "/s", stateful.NOTIFY_OUTPUT).collect()}
+    got = {tuple(r) for r in batched.output(spark, folder + "/s", batched.NOTIFY_OUTPUT).collect()}
     want = {tuple(r) for r in alerts.notifications(df, ["group_key"], repeat_ms=20_000, tick_ms=1).collect()}
     assert got == want
 
@@ -149,30 +149,6 @@ def collect_stream(spark, df, folder):
     return {tuple(r) for r in spark.read.parquet(folder + "/out").collect()}
 
 
-def test_state_store_incidents(spark, folder):
-    df = spark.createDataFrame(alert_rows(9), ALERTS)
-    schema = parts(spark, df, folder + "/in", 2, "seq")
-    got = collect_stream(spark, stateful.incident_stream(stream(spark, folder + "/in", schema)), folder)
-    want = {(r.dedup_key, r.opened_ms, r.resolved_ms, r.triggers, r.state)
-            for r in alerts.incidents(df).where("state = 'resolved'").collect()}
-    assert got == want
-
-
-def test_state_store_sustained_and_repeats(spark, folder):
-    rnd = random.Random(4)
-    rows = [("s", T0 + i * 1000, rnd.random() < 0.85) for i in range(80)]
-    df = spark.createDataFrame(rows, "series string, ts_ms long, breach boolean")
-    schema = parts(spark, df, folder + "/in", 2, "ts_ms")
-    feed = stream(spark, folder + "/in", schema)
-    got = collect_stream(spark, stateful.sustained_stream(feed, 6000), folder + "/a")
-    runs = sustained(df, ["series"], "breach", 6000).where("state = 'firing'").collect()
-    assert got == {(r.series, r.start_ms, r.start_ms + 6000) for r in runs} and got
-    events = feed.withColumnRenamed("series", "group_key")
-    got = collect_stream(spark, stateful.repeat_stream(events, 15_000), folder + "/b")
-    want = alerts.notifications(df.withColumnRenamed("series", "group_key"), ["group_key"], repeat_ms=15_000, tick_ms=1)
-    assert got == {tuple(r) for r in want.collect()}
-
-
 def test_message_source_and_rejects(spark, folder):
     rows = [("a", "k", '{"event_action":"trigger","error_type":"null_pk","dedup_key":"d"}', T0),
             ("b", "k", "broken", T0), ("b", "k", '{"event_action":"other"}', T0)]
@@ -191,7 +167,7 @@ def test_message_source_and_rejects(spark, folder):
 def test_simple_repeat_filter(spark, folder):
     df = spark.createDataFrame([("a", T0), ("a", T0 + 1000), ("b", T0)], "dedup_key string, ts_ms long")
     schema = parts(spark, df, folder + "/in", 1, "ts_ms")
-    out = stateful.without_repeats(stream(spark, folder + "/in", schema)).select("dedup_key")
+    out = batched.without_repeats(stream(spark, folder + "/in", schema)).select("dedup_key")
     assert collect_stream(spark, out, folder) == {("a",), ("b",)}
 
 
