@@ -29,6 +29,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
         run.add_argument(f"--{name}", required=True)
     run.add_argument("--database")
     run.add_argument("--format", default="parquet")
+    run.add_argument("--seq", help="envelope field that orders events of one millisecond, e.g. source.lsn")
     run.add_argument("--freshness-limit", type=int, default=900)
     run.add_argument("--freshness-blocks", action="store_true")
     return top.parse_args(argv)
@@ -47,7 +48,7 @@ def main(argv: list[str], spark: SparkSession | None = None) -> int:
         return int(any(v.startswith("failed") for v in outcome.values()))
     config = RunConfig(
         args.raw, args.bronze, args.state, args.database, args.format,
-        freshness_limit_s=args.freshness_limit, freshness_blocks=args.freshness_blocks,
+        seq_path=args.seq, freshness_limit_s=args.freshness_limit, freshness_blocks=args.freshness_blocks,
     )
     outcomes = run_all(spark, specs.values(), config, int(time.time() * 1000))
     for o in outcomes:

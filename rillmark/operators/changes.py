@@ -35,6 +35,11 @@ def storable(feed: DataFrame, ops: Sequence[str] = fv.STORED_OPS) -> DataFrame:
     return feed.where(F.col("op").isin(*ops) & F.col("after").isNotNull())
 
 
+def with_sequence(feed: DataFrame, path: str) -> DataFrame:
+    """Adds `seq` from a field of the envelope, such as the source's log position."""
+    return feed.withColumn("seq", F.col(path))
+
+
 def flatten(feed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The fields of `after` as columns, plus the event's time and operation."""
     return feed.select(
@@ -147,6 +152,9 @@ def _fitted(source: Column, have: T.DataType, want: T.DataType) -> Column:
     if top is not None and isinstance(have, T.StringType):
         # Text that is no whole number is sorted out before the cast.
         return F.when(source.rlike(r"^\s*[+-]?\d+\s*$"), source.try_cast(want))
+    if own is not None and isinstance(want, T.DateType):
+        # Change events carry dates as days since 1970.
+        return F.date_from_unix_date(_fitted(source, have, T.IntegerType()))
     if top is None or own is None:
         return source.try_cast(want)
     if own <= top:
@@ -176,6 +184,16 @@ def conform(df: DataFrame, schema: T.StructType, bad_col: str = "n_bad") -> Data
     return df.select(*out, *extra, total.alias(bad_col))
 
 
+def with_declared_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Key columns in their declared types; a key that does not fit becomes a null key.
+
+    Done before keys are checked or compared, so a misfit counts as a missing
+    key and is never stored under a wrong or empty one.
+    """
+    declared = spec.schema()
+    return conform(df, T.StructType([declared[k] for k in spec.pk]), "_bad_keys").drop("_bad_keys")
+
+
 def reconcile(source: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row and key difference of two keyed tables, as counts per side.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +30,8 @@ class RunConfig:
     lookback_ms: int = 0
     freshness_limit_s: int = fv.FRESHNESS_LIMIT_S
     freshness_blocks: bool = False
-    ties: tuple[str, ...] = field(default=())
+    ties: tuple[str, ...] = ()
+    seq_path: str | None = None
     dashboard_url: str = ""
 
     def path(self, name: str) -> str:
@@ -61,15 +62,16 @@ def batch_rows(new: DataFrame, spec: TableSpec, ties: tuple[str, ...] = ()) -> D
     Rows without a whole key are not versions of each other and are left to
     `rejected_rows`.
     """
-    flat = changes.flatten(changes.storable(new), ties)
+    flat = changes.with_declared_keys(changes.flatten(changes.storable(new), ties), spec)
     rows, _ = changes.split_null_keys(flat, spec.pk)
     newest = changes.latest_per_key(rows, spec.pk, changes.newest_first(spec.ts_col, ties))
     return changes.conform(newest, spec.stored_schema()).drop("n_bad", *ties)
 
 
 def rejected_rows(new: DataFrame, spec: TableSpec) -> DataFrame:
-    """Storable events without a whole key."""
-    return changes.split_null_keys(changes.flatten(changes.storable(new)), spec.pk)[1]
+    """Storable events without a whole key of the declared types."""
+    flat = changes.with_declared_keys(changes.flatten(changes.storable(new)), spec)
+    return changes.split_null_keys(flat, spec.pk)[1]
 
 
 def batch_profile(new: DataFrame, spec: TableSpec) -> DataFrame:
@@ -80,7 +82,8 @@ def batch_profile(new: DataFrame, spec: TableSpec) -> DataFrame:
         F.col("op").alias(spec.op_col),
         F.col("after").isNotNull().alias("_has_row"),
     )
-    return quality.batch_profile(seen, spec.pk, spec.op_col, spec.ts_col, only=F.col("_has_row"))
+    keyed = changes.with_declared_keys(seen, spec)
+    return quality.batch_profile(keyed, spec.pk, spec.op_col, spec.ts_col, only=F.col("_has_row"))
 
 
 def run_table(
@@ -99,7 +102,7 @@ def run_table(
     began = time.monotonic()
     try:
         step("load_mark")
-        mark = state.load_mark(spark, config.path("marks"), spec.name)
+        out["mark_state"], mark = state.read_mark(spark, config.path("marks"), spec.name)
         out["mark_ms"] = mark
 
         step("scan")
@@ -111,6 +114,9 @@ def run_table(
             out.update(status=status, message=error or None)
             return out
         new = changes.newer_than(feed, mark, config.lookback_ms)
+        ties = config.ties
+        if config.seq_path:
+            new, ties = changes.with_sequence(new, config.seq_path), (*ties, "seq")
 
         step("profile")
         found = batch_profile(new, spec)
@@ -150,7 +156,7 @@ def run_table(
 
             step("write")
             path = f"{config.bronze_root}/{spec.name}"
-            rows = batch_rows(new, spec, config.ties).withColumns(run_date_parts(run_ms))
+            rows = batch_rows(new, spec, ties).withColumns(run_date_parts(run_ms))
             bronze.append(rows, path)
             # One row per storable key was written; the key count is exact even
             # when tasks ran twice, unlike a counter kept while writing.

@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +19,7 @@ MARK_SCHEMA = "table string, last_processed_ts_ms long, saved_ms long"
 OUTCOME_SCHEMA = (
     "table string, status string, failed_step string, exception string, message string, "
     "rows_read long, rows_late long, rows_rejected long, rows_deduped long, rows_written long, "
-    "partition_registered boolean, mark_saved boolean, mark_ms long, dq_passed boolean, "
+    "partition_registered boolean, mark_state string, mark_saved boolean, mark_ms long, dq_passed boolean, "
     "consecutive_failures long, started_ms long, ts_ms long, duration_s double"
 )
 
@@ -48,13 +48,21 @@ def marks(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_mark(spark: SparkSession, path: str, table: str) -> int | None:
-    """A table's mark; None (a full backfill) when there is none or it cannot be read."""
+def read_mark(spark: SparkSession, path: str, table: str) -> tuple[str, int | None]:
+    """(`loaded`, mark), or `none` or `unreadable` without one: a full backfill either way."""
     try:
         row = marks(spark, path).where(F.col("table") == table).first()
-    except Exception:  # noqa: BLE001 - a missing or broken state folder means no mark
-        return None
-    return None if row is None else row["last_processed_ts_ms"]
+    except AnalysisException as error:
+        missing = error.getCondition() == "PATH_NOT_FOUND"
+        return ("none" if missing else "unreadable"), None
+    except Exception:  # noqa: BLE001 - a broken state folder is an outcome, not a crash
+        return "unreadable", None
+    return ("none", None) if row is None else ("loaded", row["last_processed_ts_ms"])
+
+
+def load_mark(spark: SparkSession, path: str, table: str) -> int | None:
+    """A table's mark, None when there is none or it cannot be read."""
+    return read_mark(spark, path, table)[1]
 
 
 def append_rows(df: DataFrame, path: str, ts_ms: int) -> None:

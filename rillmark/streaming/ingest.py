@@ -124,7 +124,7 @@ def stream_rows(
     flat = usable.select(
         *cols, F.col("ts_ms").alias(spec.ts_col), F.col("op").alias(spec.op_col), *ties
     )
-    rows, _ = changes.split_null_keys(flat, spec.pk)
+    rows, _ = changes.split_null_keys(changes.with_declared_keys(flat, spec), spec.pk)
     newest = changes.latest_per_key(rows, spec.pk, changes.newest_first(spec.ts_col, ties))
     return changes.conform(newest, spec.stored_schema()).drop("n_bad")
 

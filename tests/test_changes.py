@@ -80,6 +80,13 @@ def test_conform_never_wraps(spark):
     assert got[0].d is None and got[0].c == 1.5
 
 
+def test_conform_reads_day_numbers_as_dates(spark):
+    df = spark.createDataFrame([(9000, 2**40), (None, 1)], "a int, b long")
+    got = changes.conform(df, T.StructType().add("a", T.DateType()).add("b", T.DateType())).collect()
+    assert [(str(r.a), str(r.b), r.n_bad) for r in got] == [
+        ("1994-08-23", "None", 1), ("None", "1970-01-02", 0)]
+
+
 def test_counts_and_mark(spark):
     df = spark.createDataFrame([(1, 5), (1, 7), (2, 6)], "id int, cdc_ts_ms long")
     assert tuple(changes.batch_counts(df, ["id"]).first()) == (3, 2, 7)

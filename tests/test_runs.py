@@ -88,6 +88,25 @@ def test_one_table_does_not_stop_the_others(spark, folder):
     assert series.matching(samples, "cdc_dq_check_status", {"table": "items"}).count() == 5
 
 
+def test_orders_with_day_numbers_and_log_positions(spark, folder):
+    row = "struct<order_id:int,customer_id:string,order_date:int,freight:double>"
+    schema = f"op string, ts_ms long, after {row}, source struct<lsn:long>"
+    rows = [("r", NOW, (1, "ALFKI", 9000, 32.38), (1,)), ("u", NOW, (1, "BERGS", 9001, 32.4), (3,)),
+            ("u", NOW, (1, "CHOPS", 9002, 32.5), (2,))]
+    spark.createDataFrame(rows, schema).write.parquet(folder + "/raw/orders")
+    cfg = RunConfig(folder + "/raw", folder + "/bronze", folder + "/state", seq_path="source.lsn")
+    spec = replicated_tables()["orders"]
+    out = run_table(spark, spec, cfg, NOW)
+    assert (out["status"], out["mark_state"], out["rows_written"]) == ("ok", "none", 1)
+    bronze_rows = spark.read.parquet(folder + "/bronze/orders")
+    assert [(r.order_id, r.customer_id, str(r.order_date)) for r in bronze_rows.collect()] == [(1, "BERGS", "1994-08-24")]
+    # A key that does not fit a SMALLINT counts as a missing key; nothing is stored under a wrapped one.
+    spark.createDataFrame([("c", NOW + 1, (40000, "X", 1, 1.0), (4,))], schema).write.mode("append").parquet(
+        folder + "/raw/orders")
+    out = run_table(spark, spec, cfg, NOW + 1)
+    assert (out["status"], out["mark_state"], out["rows_rejected"]) == ("gate_failed", "loaded", 1)
+
+
 def test_broken_state_means_full_backfill(spark, folder):
     assert state.load_mark(spark, folder + "/none", "t") is None
     state.save_mark(spark, folder + "/marks", "t", 5, 1)
