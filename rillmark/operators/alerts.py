@@ -423,31 +423,46 @@ def notifications(
     tick_ms: int = fv.RULE_STEP_MS,
     wait_ms: int = 0,
     last_sent: DataFrame | None = None,
+    changed: Column | None = None,
+    interval_ms: int = fv.GROUP_INTERVAL_MS,
 ) -> DataFrame:
     """Notifications of a group: the first one, then none until the repeat time is over.
 
+    Where `changed` says that an event changes its group (an alert joins or is
+    resolved), the group is sent again at the first tick after the shorter
+    `interval_ms`; a change that comes too early waits for it.
+
     Alerts are evaluated at ticks, so events are first brought to their tick
-    and made distinct there (combined before the shuffle). A group then has at
+    and made one row there (combined before the shuffle). A group then has at
     most one row per tick, however many events it has; the chain of sent ticks
     is followed within that bounded list. `wait_ms` delays a group's events.
     `last_sent` (keys, sent_ms) continues from earlier notifications.
     """
-    ticks = events.select(*keys, ceil_to(F.col(ts) + wait_ms, tick_ms).alias("tick_ms")).distinct()
-    per_group = ticks.groupBy(*keys).agg(F.array_sort(F.collect_list("tick_ms")).alias("_ticks"))
+    moved = F.lit(False) if changed is None else F.coalesce(changed, F.lit(False))
+    ticks = events.groupBy(*keys, ceil_to(F.col(ts) + wait_ms, tick_ms).alias("tick_ms")).agg(
+        F.max(moved).alias("changed")
+    )
+    per_group = ticks.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("tick_ms", "changed"))).alias("_ticks")
+    )
     never = F.lit(-(2**62)).cast("long")
     if last_sent is None:
         known = never
     else:
         per_group = per_group.join(last_sent.select(*keys, "sent_ms"), list(keys), "left")
         known = F.coalesce("sent_ms", never)
-    start = F.struct(known.alias("last"), F.array().cast("array<bigint>").alias("sent"))
 
-    def follow(state: Column, tick: Column) -> Column:
-        due = tick - state["last"] >= repeat_ms
-        return F.struct(
-            F.when(due, tick).otherwise(state["last"]).alias("last"),
-            F.when(due, F.array_append(state["sent"], tick)).otherwise(state["sent"]).alias("sent"),
-        )
+    def state(last: Column, pending: Column, sent: Column) -> Column:
+        return F.struct(last.alias("last"), pending.alias("pending"), sent.alias("sent"))
+
+    def follow(so_far: Column, item: Column) -> Column:
+        tick, gap = item["tick_ms"], item["tick_ms"] - so_far["last"]
+        pending = so_far["pending"] | item["changed"]
+        due = (gap >= repeat_ms) | (pending & (gap >= interval_ms))
+        return F.when(
+            due, state(tick, F.lit(False), F.array_append(so_far["sent"], tick))
+        ).otherwise(state(so_far["last"], pending, so_far["sent"]))
 
-    sent = F.aggregate("_ticks", start, follow, lambda s: s["sent"])
+    start = state(known, F.lit(False), F.array().cast("array<bigint>"))
+    sent = F.aggregate("_ticks", start, follow, lambda done: done["sent"])
     return per_group.select(*keys, F.explode(sent).alias("notified_ms"))

@@ -95,6 +95,15 @@ def repeat_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.notifications(fired)
 
 
+def change_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats every four hours, and changes of a group after five minutes."""
+    fired = read(spark, sf_dir, "events").select(
+        F.col("event_type").alias("alertname"), (F.col("user_id") % 3).cast("string").alias("table"),
+        epoch_ms(F.col("ts")).alias("ts_ms"), (F.col("value") > 60).alias("joined"),
+    )
+    return alerts.notifications(fired, changed=F.col("joined"))
+
+
 def consecutive_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs per user: an error fails, a purchase succeeds, others do not count."""
     runs = read(spark, sf_dir, "events").where("event_type IN ('error', 'purchase')").select(
@@ -342,6 +351,22 @@ QUERIES = {
             FROM s WHERE s.tick IS NOT NULL)
         SELECT alertname, tab AS "table", tick AS notified_ms FROM s WHERE tick IS NOT NULL""",
     ),
+    "notify_on_change": Query(
+        change_policy,
+        f"""WITH RECURSIVE f AS (SELECT event_type AS alertname, CAST(user_id % 3 AS VARCHAR) AS tab,
+            CAST(ceil(({MS_SQL}) / 60000.0) AS BIGINT) * 60000 AS tick, max(value) > 60 AS joined
+            FROM events GROUP BY 1, 2, 3),
+          n AS (SELECT *, min(CASE WHEN joined THEN tick END) OVER (PARTITION BY alertname, tab ORDER BY tick
+            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_joined FROM f),
+          s AS (SELECT alertname, tab, min(tick) AS tick FROM n GROUP BY 1, 2
+            UNION ALL
+            SELECT s.alertname, s.tab, (SELECT min(f.tick) FROM f WHERE f.alertname = s.alertname
+              AND f.tab = s.tab AND (f.tick >= s.tick + {fv.REPEAT_INTERVAL_MS}
+                OR (n.next_joined IS NOT NULL
+                  AND f.tick >= greatest(s.tick + {fv.GROUP_INTERVAL_MS}, n.next_joined)))) AS tick
+            FROM s JOIN n ON n.alertname = s.alertname AND n.tab = s.tab AND n.tick = s.tick)
+        SELECT alertname, tab AS "table", tick AS notified_ms FROM s WHERE tick IS NOT NULL""",
+    ),
     "consecutive_failures": Query(
         consecutive_failures,
         f"""WITH r AS (SELECT user_id, event_id, {MS_SQL} AS ts_ms, event_type FROM events

@@ -123,6 +123,29 @@ def test_notifications(spark, seed, tick, repeat):
     assert got == want
 
 
+@pytest.mark.parametrize("seed,tick,repeat,interval", [(1, 10, 400, 50), (2, 1, 900, 100), (3, 60, 600, 60)])
+def test_notifications_on_change(spark, seed, tick, repeat, interval):
+    rnd, rows = feed(seed)
+    rows = [(k, t, rnd.random() < 0.1) for k, t, _ in rows]
+    df = spark.createDataFrame(rows, "k string, ts_ms long, c boolean")
+    got = {tuple(r) for r in alerts.notifications(
+        df, ["k"], repeat_ms=repeat, tick_ms=tick, changed=F.col("c"), interval_ms=interval).collect()}
+    merged = {}
+    for k, t, c in rows:
+        at = -(-t // tick) * tick
+        merged[k, at] = merged.get((k, at), False) or c
+    want, last, waiting = set(), {}, {}
+    for (k, at), c in sorted(merged.items(), key=lambda r: r[0][1]):
+        fresh = waiting.get(k, False) or c
+        gap = at - last[k] if k in last else repeat
+        if gap >= repeat or (fresh and gap >= interval):
+            last[k], waiting[k] = at, False
+            want.add((k, at))
+        else:
+            waiting[k] = fresh
+    assert got == want
+
+
 def test_fitting_chunk(spark):
     df = spark.range(10_000).selectExpr("'k' as k", "id as ts_ms")
     assert 900 <= fitting_chunk(df, ["k"], "ts_ms", rows_per_chunk=1000, least_ms=1) <= 1100
