@@ -20,24 +20,27 @@ from rillmark.functions.times import floor_to
 CHUNK_MS = 900_000
 
 
+HOUR_MS = 3_600_000
+
+
 def fitting_chunk(
     df: DataFrame, keys: Sequence[str], ts: str, rows_per_chunk: int = 1_000_000,
-    least_ms: int = 1_000, most_ms: int = 30 * 86_400_000,
+    least_ms: int = 1, most_ms: int = 30 * 86_400_000,
 ) -> int:
-    """A chunk width at which the busiest key has about `rows_per_chunk` rows per chunk.
+    """A chunk width at which no key has many more than `rows_per_chunk` rows per chunk.
 
-    For feeds that may hold many rows per key and millisecond. One aggregate,
-    combined before the shuffle; one row comes to the driver.
+    For feeds that may hold many rows per key and millisecond. If every key is
+    small a chunk may be as long as `most_ms`; else the busiest hour of any key
+    decides. One or two aggregates, combined before the shuffle; one row of each
+    comes to the driver.
     """
-    busiest = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), (F.max(ts) - F.min(ts)).alias("span"))
-        .agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1))).alias("per_ms"))
-        .first()["per_ms"]
-    )
-    if not busiest:
+    count = F.count(F.lit(1)).alias("n")
+    largest = df.groupBy(*keys).agg(count).agg(F.max("n")).first()[0]
+    if not largest or largest <= rows_per_chunk:
         return most_ms
-    return int(min(max(rows_per_chunk / busiest, least_ms), most_ms))
+    hour = floor_to(F.col(ts), HOUR_MS).alias("_hour")
+    busiest = df.groupBy(*keys, hour).agg(count).agg(F.max("n")).first()[0]
+    return int(min(max(HOUR_MS * rows_per_chunk / busiest, least_ms), most_ms))
 
 
 def one_per_ms(

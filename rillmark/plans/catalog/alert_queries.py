@@ -15,7 +15,6 @@ from rillmark.plans.catalog.inputs import (
     ALERTS_SQL, DAY_MS, END_MS, MS_SQL, WEBHOOK_SQL, Query, read, user_alerts, webhook_bodies,
 )
 
-HOUR = 3_600_000
 # Error types that stand for a number: all known ones, a crash and an unknown one.
 KINDS = (*fv.DELIVERY_SEVERITY_EXTENDED, "disk_full")
 
@@ -67,7 +66,8 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = user_alerts(spark, sf_dir).withColumn(
         "dedup_key", text.dedup_key(F.col("table"), F.col("error_type"))
     )
-    return alerts.incidents(events, chunk_ms=12 * HOUR)
+    width = fitting_chunk(events, ["dedup_key"], "ts_ms")
+    return alerts.incidents(events, chunk_ms=width)
 
 
 def incident_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def incident_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_busy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events under one key: the work is spread by time, not by key."""
     events = user_alerts(spark, sf_dir).withColumn("dedup_key", F.lit("cdc-all-stale_data"))
-    width = fitting_chunk(events, ["dedup_key"], "ts_ms", rows_per_chunk=100_000)
+    width = fitting_chunk(events, ["dedup_key"], "ts_ms", rows_per_chunk=1_000)
     return alerts.incidents(events, chunk_ms=width).drop("last_trigger_ms")
 
 
@@ -109,8 +109,9 @@ def consecutive_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = read(spark, sf_dir, "events").where("event_type IN ('error', 'purchase')").select(
         "user_id", "event_id", epoch_ms(F.col("ts")).alias("ts_ms"), "event_type"
     )
+    width = fitting_chunk(runs, ["user_id"], "ts_ms")
     found = alerts.failure_streaks(
-        runs, ["user_id"], F.col("event_type") == "error", "ts_ms", ["event_id"], chunk_ms=DAY_MS
+        runs, ["user_id"], F.col("event_type") == "error", "ts_ms", ["event_id"], chunk_ms=width
     )
     return found.select("user_id", "event_id", "ts_ms", "consecutive_failures")
 

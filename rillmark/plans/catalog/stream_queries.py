@@ -81,7 +81,7 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts_ms", F.col("event_id").alias("seq"),
     )
     root = shared_dir(spark, "stream-incidents")
-    _run(events, batched.incident_writer(root, ttl_ms=365 * 24 * HOUR, chunk_ms=12 * HOUR), root)
+    _run(events, batched.incident_writer(root, ttl_ms=365 * 24 * HOUR), root)
     return batched.output(spark, root, batched.INCIDENT_OUTPUT).where("state = 'resolved'")
 
 

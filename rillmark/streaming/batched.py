@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rillmark import fixed_values as fv
 from rillmark.operators import alerts
-from rillmark.operators.timeline import CHUNK_MS, islands, one_per_ms
+from rillmark.operators.timeline import CHUNK_MS, fitting_chunk, islands, one_per_ms
 from rillmark.sinks.bronze import replace_partitions
 
 Writer = Callable[[DataFrame, int], None]
@@ -63,9 +63,13 @@ def _emit(rows: DataFrame, root: str, batch_id: int) -> None:
     replace_partitions(rows.withColumn(BATCH, F.lit(batch_id)), f"{root}/out", (BATCH,))
 
 
-def incident_writer(root: str, ttl_ms: int = 7 * 86_400_000, chunk_ms: int = CHUNK_MS) -> Writer:
+def incident_writer(
+    root: str, ttl_ms: int = 7 * 86_400_000, chunk_ms: int | None = None
+) -> Writer:
     """`foreachBatch` function over (dedup_key, event_action, ts_ms, seq).
 
+    Without a chunk width each batch is measured for one.
+
     Closed incidents go to `out`. One without a trigger for `ttl_ms` of event
     time is closed as expired, which bounds the state.
     """
@@ -80,8 +84,9 @@ def incident_writer(root: str, ttl_ms: int = 7 * 86_400_000, chunk_ms: int = CHU
             "dedup_key", "event_action", "ts_ms", "seq", F.lit(1).cast("long").alias("weight"),
             F.col("ts_ms").alias("last_ms"),
         )
+        width = chunk_ms or fitting_chunk(new, ["dedup_key"], "ts_ms")
         found = alerts.incidents(
-            opened.unionByName(new), chunk_ms=chunk_ms, weight=F.col("weight"), last=F.col("last_ms")
+            opened.unionByName(new), chunk_ms=width, weight=F.col("weight"), last=F.col("last_ms")
         )
         # One row comes to the driver: the batch's event time.
         now = batch.agg(F.max("ts_ms")).first()[0]

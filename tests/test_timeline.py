@@ -147,9 +147,12 @@ def test_notifications_on_change(spark, seed, tick, repeat, interval):
 
 
 def test_fitting_chunk(spark):
-    df = spark.range(10_000).selectExpr("'k' as k", "id as ts_ms")
-    assert 900 <= fitting_chunk(df, ["k"], "ts_ms", rows_per_chunk=1000, least_ms=1) <= 1100
-    assert fitting_chunk(df.where("id < 0"), ["k"], "ts_ms") > 0
+    hour = 3_600_000
+    # 9,000 rows in the first hour, 1,000 in the next nine.
+    df = spark.range(10_000).selectExpr("'k' as k", f"if(id < 9000, id * 400, {hour} + (id - 9000) * 32400) as ts_ms")
+    assert fitting_chunk(df, ["k"], "ts_ms", rows_per_chunk=900) == hour // 10
+    assert fitting_chunk(df, ["k"], "ts_ms", rows_per_chunk=10_000, most_ms=7) == 7
+    assert fitting_chunk(df.where("ts_ms < 0"), ["k"], "ts_ms", most_ms=7) == 7
 
 
 def test_no_shuffle_is_by_the_key_alone(spark):
