@@ -150,8 +150,9 @@ def _fitted(source: Column, have: T.DataType, want: T.DataType) -> Column:
         return source
     top, own = _INT_LIMITS.get(type(want)), _INT_LIMITS.get(type(have))
     if top is not None and isinstance(have, T.StringType):
-        # Text that is no whole number is sorted out before the cast.
-        return F.when(source.rlike(r"^\s*[+-]?\d+\s*$"), source.try_cast(want))
+        # Whole numbers only, by way of a decimal that holds them all.
+        digits = F.when(source.rlike(r"^\s*[+-]?\d+\s*$"), source.try_cast("decimal(38,0)"))
+        return F.when(digits.between(-top - 1, top), digits.cast(want))
     if own is not None and isinstance(want, T.DateType):
         # Change events carry dates as days since 1970.
         return F.date_from_unix_date(_fitted(source, have, T.IntegerType()))
