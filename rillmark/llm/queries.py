@@ -95,8 +95,8 @@ hits AS (
   SELECT doc_id, i, d.n, item_id FROM docs d JOIN phrases p
     ON p.n = d.n AND p.phrase = array_to_string(ws[i : i + d.n - 1], ' ')),
 words AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit
-  FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM hits) GROUP BY doc_id),
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
   FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
