@@ -76,14 +76,16 @@ def postings(
     cut = docs.select(F.col(id_col).alias("doc"), words_and_end(F.col(text_col)).alias("ws"))
     lead = F.when((F.size("ws") > 1) & (F.col("ws")[0] == END), 1).otherwise(0)
     tokens = cut.select("doc", "ws", lead.alias("lead"), F.posexplode("ws").alias("at", "term"))
-    found = tokens.join(bounded_broadcast(terms, n_terms, BROADCAST_ROWS), "term", "left_semi").where(
-        (F.col("term") != END) | (F.col("at") == F.size("ws") - 1)
-    )
     left = F.greatest(F.col("lead"), F.col("at") - reach)
-    return found.select(
+    columns = [
         "term", "doc", (F.col("at") - F.col("lead")).alias("pos"), (left - F.col("lead")).alias("from"),
         F.when(F.col("term") != END, F.slice("ws", left + 1, F.col("at") + reach + 1 - left)).alias("around"),
-    )
+    ]
+    marks = (F.col("term") != END) | (F.col("at") == F.size("ws") - 1)
+    if n_terms <= BROADCAST_ROWS:
+        return tokens.join(F.broadcast(terms), "term", "left_semi").where(marks).select(*columns)
+    # Cut to the words around before the shuffle, so that no whole text is copied per word.
+    return tokens.where(marks).select(*columns).join(terms, "term", "left_semi")
 
 
 def phrase_matches(index: DataFrame, probes: DataFrame, n_probes: int) -> DataFrame:

@@ -51,12 +51,17 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, no, n (lines), body: every chunk of two or more lines."""
-    each = chunked(docs, id_col, text_col).select("doc", "lines", "ends", F.posexplode("ends").alias("no", "end"))
-    first = F.when(F.col("no") == 0, 0).otherwise(F.get("ends", F.col("no") - 1) + 1)
-    each = each.select("doc", "lines", "no", first.alias("first"), (F.col("end") - first + 1).alias("n"))
-    return each.where(F.col("n") >= LEAST_LINES).select(
-        "doc", "no", "n", F.array_join(F.slice("lines", F.col("first") + 1, F.col("n")), "\n").alias("body")
+    first = lambda k: F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1)
+    # Cut in the row, so that a long document's lines are not copied once per chunk.
+    each = F.transform(
+        "ends",
+        lambda end, k: F.struct(
+            k.alias("no"), (end - first(k) + 1).alias("n"),
+            F.array_join(F.slice("lines", first(k) + 1, end - first(k) + 1), "\n").alias("body"),
+        ),
     )
+    cut = chunked(docs, id_col, text_col).select("doc", F.explode(each).alias("c")).select("doc", "c.*")
+    return cut.where(F.col("n") >= LEAST_LINES)
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

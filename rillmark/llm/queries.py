@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import decontaminate, exact_dedup, line_dedup, sharding, warc
+from rillmark.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, sharding, warc
 from rillmark.plans.catalog.inputs import Query, read
 from rillmark.session import shared_dir
 
@@ -44,6 +45,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"), new_index(spark), "all")
 
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(read(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 OP1_SQL = """
 WITH RECURSIVE cut AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -131,4 +139,5 @@ QUERIES = {
     "op4_warc": Query(op4_warc, OP4_SQL),
     "op6_sharding": Query(op6_sharding),
     "op9_exact_dedup": Query(op9_exact_dedup, OP9_SQL),
+    "op10_byte_bpe": Query(op10_byte_bpe),
 }
