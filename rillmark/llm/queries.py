@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import byte_bpe, decontaminate, exact_dedup, line_dedup, sharding, warc
+from rillmark.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, line_dedup, sharding, warc
 from rillmark.plans.catalog.inputs import Query, read
 from rillmark.session import shared_dir
 
@@ -45,6 +45,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"), new_index(spark), "all")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -138,6 +142,7 @@ QUERIES = {
     "op2_decontamination": Query(op2_decontamination, OP2_SQL),
     "op4_warc": Query(op4_warc, OP4_SQL),
     "op6_sharding": Query(op6_sharding),
+    "op7_jaccard_join": Query(op7_jaccard_join),
     "op9_exact_dedup": Query(op9_exact_dedup, OP9_SQL),
     "op10_byte_bpe": Query(op10_byte_bpe),
 }
