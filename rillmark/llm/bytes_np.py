@@ -120,8 +120,9 @@ def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, width: int) ->
     several = np.minimum.reduceat(sorted_docs, starts) != np.maximum.reduceat(sorted_docs, starts) if len(starts) else np.zeros(0, bool)
     rest = np.ones(len(keys), dtype=bool)
     rest[order[starts]] = False
-    mark = np.zeros(len(keys), dtype=np.uint8)
-    mark[order] = np.repeat(several, np.diff([*starts, len(keys)]))
+    size = np.diff([*starts, len(keys)])
+    mark = np.zeros(len(keys), dtype=np.uint32)  # rows of the key in this task, if of several documents
+    mark[order] = np.repeat(np.where(several, size, 0), size)
     # Of a key with one document in the task all rows go on; of one with several, the first row does.
     on = ~rest | (mark == 0)
     to = lambda x: ((x >> U64(32)) % U64(width)).astype(np.int64)
@@ -130,15 +131,21 @@ def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, width: int) ->
     yield from packed(KNOWN, to(mix(docs[off].astype(U64))), [keys[off], docs[off], mark[off], places[off]])
 
 
-def settle(rows: list[tuple[bytes, bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, docs, places) of the gathered OPEN rows whose key is in two documents or more."""
-    kinds = (U64, np.int64, np.uint8, np.int32)
+def settle(rows: list[tuple[bytes, bytes, bytes, bytes]], heavy: int = 0) -> tuple[np.ndarray, ...]:
+    """(keys, docs, places) of the gathered OPEN rows whose key is in two documents or more.
+
+    With `heavy`, also (keys, counts) of all keys with at least that many rows in the table.
+    """
+    kinds = (U64, np.int64, np.uint32, np.int32)
     keys, docs, mark, places = (np.frombuffer(b"".join(r[i] for r in rows), dtype=k) for i, k in enumerate(kinds))
     if not len(keys):
-        return keys, docs, places
+        return (keys, docs, places, keys, docs) if heavy else (keys, docs, places)
     order = np.argsort(keys, kind="stable")
     starts = runs(keys[order])
     by = docs[order]
     twice = (np.minimum.reduceat(by, starts) != np.maximum.reduceat(by, starts)) | (np.maximum.reduceat(mark[order], starts) > 0)
     keep = order[np.repeat(twice, np.diff([*starts, len(keys)]))]
-    return keys[keep], docs[keep], places[keep]
+    if not heavy:
+        return keys[keep], docs[keep], places[keep]
+    count = np.add.reduceat(np.maximum(mark[order], 1).astype(np.int64), starts)
+    return keys[keep], docs[keep], places[keep], keys[order[starts]][count >= heavy], count[count >= heavy]

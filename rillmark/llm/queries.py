@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, line_dedup, sharding, warc
+from rillmark.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, line_dedup, sharding, suffix_dedup, warc
 from rillmark.plans.catalog.inputs import Query, read
 from rillmark.session import shared_dir
 
@@ -31,6 +31,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.link(warc.read_archives(spark, path))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"), with_text=False).drop("text")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(read(spark, sf_dir, "documents"), shards=8)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
@@ -141,6 +145,7 @@ QUERIES = {
     "op1_line_dedup": Query(op1_line_dedup, OP1_SQL),
     "op2_decontamination": Query(op2_decontamination, OP2_SQL),
     "op4_warc": Query(op4_warc, OP4_SQL),
+    "op5_suffix_dedup": Query(op5_suffix_dedup),
     "op6_sharding": Query(op6_sharding),
     "op7_jaccard_join": Query(op7_jaccard_join),
     "op9_exact_dedup": Query(op9_exact_dedup, OP9_SQL),
