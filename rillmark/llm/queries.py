@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, line_dedup, sharding, suffix_dedup, warc
+from rillmark.llm import (
+    byte_bpe,
+    chat_tools,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 from rillmark.plans.catalog.inputs import Query, read
 from rillmark.session import shared_dir
 
@@ -25,6 +36,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    known = language_id.learn(docs.where(language_id.learnable()))
+    held_out = F.coalesce(~language_id.learnable(), F.lit(False))
+    return language_id.predict(docs.select("doc_id", "text", held_out.alias("held_out")), known).drop("text")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     warc.write_archives(read(spark, sf_dir, "pages"), path)
@@ -40,6 +58,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op8_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = chat_tools.exchange_calls(read(spark, sf_dir, "conversations"))
+    return chat_tools.format_chats(messages, chat_tools.reply_schema()).select(
+        F.col("conv").alias("conv_id"), "turn", "role", "call_id", "linked", "repeated", "level", "n_errors",
+        F.sha2(F.col("json").cast("binary"), 256).alias("json_sha256"),
+    )
+
+
 def new_index(spark: SparkSession) -> exact_dedup.DigestIndex:
     path = shared_dir(spark, "digest-index")
     return exact_dedup.DigestIndex.open(spark, f"digest_index_{uuid.uuid4().hex}", path)
@@ -144,10 +170,12 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 QUERIES = {
     "op1_line_dedup": Query(op1_line_dedup, OP1_SQL),
     "op2_decontamination": Query(op2_decontamination, OP2_SQL),
+    "op3_language_id": Query(op3_language_id),
     "op4_warc": Query(op4_warc, OP4_SQL),
     "op5_suffix_dedup": Query(op5_suffix_dedup),
     "op6_sharding": Query(op6_sharding),
     "op7_jaccard_join": Query(op7_jaccard_join),
+    "op8_chat_tools": Query(op8_chat_tools),
     "op9_exact_dedup": Query(op9_exact_dedup, OP9_SQL),
     "op10_byte_bpe": Query(op10_byte_bpe),
 }
