@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,4 +179,5 @@ QUERIES = {
     "op8_chat_tools": Query(op8_chat_tools),
     "op9_exact_dedup": Query(op9_exact_dedup, OP9_SQL),
     "op10_byte_bpe": Query(op10_byte_bpe),
+    "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
