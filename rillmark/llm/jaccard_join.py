@@ -38,7 +38,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +53,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 MOST_KEYS = 3_000_000  # kept by a task before it passes them on
 DIMENSIONS = 64
-LEAF, FANOUT = 256, 16
+LEAF, FANOUT, SMALL = 256, 16, 4096
 NODE = "kind int, id long, n long, d1 long, d2 long, key long"
 NODE_ARROW = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("id", "n", "d1", "d2", "key"))])
 # Sets of this many ids are looked up by a broadcast; beyond it by a shuffle.
@@ -276,6 +275,10 @@ def tree_join(p: np.ndarray, np_: np.ndarray, q: np.ndarray, nq: np.ndarray, per
     minima of its largest coordinates do, taking its smallest size: the overlap
     that a pair needs grows with both sizes.
     """
+    if len(p) * len(q) <= SMALL:
+        # One box holds all: its points are compared directly.
+        bound = np.minimum(p[:, None, :], q[None, :, :]).sum(axis=2)
+        return np.nonzero(reaches(bound, np_[:, None], nq[None, :], percent))
     levels = boxes(p, np_)
     found_p, found_q = [], []
     for j in range(len(q)):
@@ -325,17 +328,45 @@ def open_pairs(blocks: DataFrame, linked: DataFrame, sets: DataFrame, percent: i
     dealt = rows.select("key", "id", "part", F.explode(cells).alias("c")).select("key", "id", "part", "c.*")
     dealt = dealt.join(sets.select("id", "point", "n"), "id")
 
-    def join_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["first"]], pdf[~pdf["first"]]
-        if not len(x) or not len(y):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        points = [np.frombuffer(b"".join(s.point), dtype=np.int32).reshape(-1, DIMENSIONS) for s in (x, y)]
-        i, j = tree_join(points[0], x.n.to_numpy(), points[1], y.n.to_numpy(), percent)
-        a, b = x.id.to_numpy()[i], y.id.to_numpy()[j]
-        apart = x.part.to_numpy()[i] != y.part.to_numpy()[j]
-        return pd.DataFrame({"a": np.minimum(a, b)[apart], "b": np.maximum(a, b)[apart]})
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(join_leaves, "a long, b long").distinct()
+    together = dealt.select("key", "i", "j", "id", "part", "first", "point", "n").repartition("key", "i", "j")
+    return together.sortWithinPartitions("key", "i", "j").mapInArrow(_join_leaves(percent), "a long, b long").distinct()
+
+
+def _join_leaves(percent: int):
+    """Pairs of each run of rows with one (key, i, j); a run has two leaves at most."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        label = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
+        starts = np.flatnonzero(np.concatenate([[True], (label[:, 1:] != label[:, :-1]).any(axis=0)]))
+        ends = [*starts[1:], rows.num_rows]
+        done = len(starts) if last else len(starts) - 1
+        ids, parts, n = (rows.column(c).to_numpy() for c in ("id", "part", "n"))
+        first = rows.column("first").to_numpy()
+        points = np.frombuffer(b"".join(rows.column("point").to_pylist()), dtype=np.int32).reshape(-1, DIMENSIONS)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for a, b in zip(starts[:done], ends[:done], strict=True):
+            x, y = a + np.flatnonzero(first[a:b]), a + np.flatnonzero(~first[a:b])
+            if len(x) and len(y):
+                i, j = tree_join(points[x], n[x], points[y], n[y], percent)
+                i, j = x[i], y[j]
+                apart = parts[i] != parts[j]
+                found.append((ids[i[apart]], ids[j[apart]]))
+        one, two = (np.concatenate(c) for c in zip(*found, strict=True))
+        batch = pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], schema=schema)
+        return batch, rows.slice(starts[done] if done < len(starts) else rows.num_rows)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch])
+                out, rest = pairs(rows if rest is None else pa.concat_tables([rest, rows]), last=False)
+                yield out
+        if rest is not None and rest.num_rows:
+            yield pairs(rest, last=True)[0]
+
+    return over
 
 
 def link(

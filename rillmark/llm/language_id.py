@@ -225,7 +225,8 @@ def predict(docs: DataFrame, known: Profiles, text_col: str = "text") -> DataFra
             lang, score = predict_texts([t or "" for t in body], known)
             yield pd.DataFrame({"lang_pred": lang, "score": score})
 
-    return kept.withColumn("_guess", guess(F.col(text_col))).select(*kept.columns, "_guess.lang_pred", "_guess.score")
+    both = kept.select(F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("row"), guess(F.col(text_col)).alias("guess"))
+    return both.select("row.*", "guess.lang_pred", "guess.score")
 
 
 def learnable(id_col: str = "doc_id"):
