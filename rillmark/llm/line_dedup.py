@@ -68,7 +68,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """doc, no: chunks equal, byte by byte, to one that comes before them."""
     chunks = chunk_rows(docs, id_col, text_col).withColumn("key", F.xxhash64("body"))
     twice = chunks.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
-    again = saved(chunks.join(twice, "key", "left_semi"), "repeated-chunks")
+    # Written first: both sides of the join are then plain shuffles, which AQE splits at a hot chunk.
+    again = saved(chunks.join(saved(twice, "repeated-hashes"), "key", "left_semi"), "repeated-chunks")
     firsts = saved(
         again.groupBy("key", "body").agg(F.min(F.struct("doc", "no")).alias("first"), F.count(F.lit(1)).alias("times"))
         .where("times > 1").drop("times"),
