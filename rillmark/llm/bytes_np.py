@@ -20,6 +20,7 @@ MIX_A, MIX_B, STEP = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0x9E3
 ROW = pa.schema([("p", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in "abcd")])
 ROW_DDL = "p int, kind int, a binary, b binary, c binary, d binary"
 OPEN, KNOWN, STATS = 0, 1, 2
+SHORT = U64((1 << 40) - 1)
 SPREAD = 8  # packed destinations per shuffle partition, for an even deal
 
 
@@ -40,7 +41,8 @@ BYTE_VALUE = odd(256, 7)
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the n + 1 offsets of its texts; null is empty."""
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column, b"" if binary else "").cast(pa.large_binary() if binary else pa.large_string())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(at):
@@ -93,20 +95,55 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray, lower: n
     return np.concatenate(hashes), np.concatenate(texts)
 
 
-def packed(kind: int, p: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Rows of ROW: for each destination p the arrays of what goes there, in the given order."""
+def packed(kind: int, p: np.ndarray, columns: list[np.ndarray], key: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of ROW: for each destination p the arrays of what goes there, in the given order.
+
+    With `key`, columns are sent as planes, and of the first only the `short` part.
+    """
     if not len(p):
         return
     order = np.argsort(p, kind="stable")
     where, starts = np.unique(p[order], return_index=True)
     ends = [*starts[1:], len(p)]
     dealt = [c[order] for c in columns]
-    blobs = [[c[a:b].tobytes() for a, b in zip(starts, ends, strict=True)] for c in dealt]
+    ways = [key_planes if key and not i else planes if key else np.ndarray.tobytes for i in range(len(dealt))]
+    blobs = [[way(c[a:b]) for a, b in zip(starts, ends, strict=True)] for c, way in zip(dealt, ways, strict=True)]
     blobs += [[b""] * len(where)] * (4 - len(columns))
     arrays = [pa.array(where, pa.int32()), pa.array([kind] * len(where), pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)]
     yield pa.RecordBatch.from_arrays(arrays, schema=ROW)
 
 
+def planes(x: np.ndarray) -> bytes:
+    """The bytes of an array, all lowest bytes first: high bytes that hardly change compress to nothing."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def short(keys: np.ndarray) -> np.ndarray:
+    """The part of keys that is sent; a destination says the rest but for its remainder.
+
+    Two keys may then look alike (once in 2^40 times the number of destinations),
+    which can only make a pair of documents be compared in vain.
+    """
+    return keys & SHORT
+
+
+def destination(keys: np.ndarray, width: int) -> np.ndarray:
+    return ((keys >> U64(40)) % U64(width)).astype(np.int64)
+
+
+def key_planes(keys: np.ndarray) -> bytes:
+    return planes(keys)[: 5 * len(keys)]
+
+
+def from_key_planes(data: bytes) -> np.ndarray:
+    return from_planes(data + bytes(len(data) // 5 * 3), U64)
+
+
 def runs(keys: np.ndarray) -> np.ndarray:
     """Where each run of equal sorted keys starts."""
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
@@ -125,10 +162,10 @@ def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, width: int) ->
     mark[order] = np.repeat(np.where(several, size, 0), size)
     # Of a key with one document in the task all rows go on; of one with several, the first row does.
     on = ~rest | (mark == 0)
-    to = lambda x: ((x >> U64(32)) % U64(width)).astype(np.int64)
-    yield from packed(OPEN, to(keys[on]), [keys[on], docs[on], mark[on], places[on]])
+    yield from packed(OPEN, destination(keys[on], width), [keys[on], docs[on], mark[on], places[on]], key=True)
     off = ~on
-    yield from packed(KNOWN, to(mix(docs[off].astype(U64))), [keys[off], docs[off], mark[off], places[off]])
+    to = destination(mix(docs[off].astype(U64)), width)
+    yield from packed(KNOWN, to, [keys[off], docs[off], mark[off], places[off]], key=True)
 
 
 def settle(rows: list[tuple[bytes, bytes, bytes, bytes]], heavy: int = 0) -> tuple[np.ndarray, ...]:
@@ -136,8 +173,10 @@ def settle(rows: list[tuple[bytes, bytes, bytes, bytes]], heavy: int = 0) -> tup
 
     With `heavy`, also (keys, counts) of all keys with at least that many rows in the table.
     """
-    kinds = (U64, np.int64, np.uint32, np.int32)
-    keys, docs, mark, places = (np.frombuffer(b"".join(r[i] for r in rows), dtype=k) for i, k in enumerate(kinds))
+    keys, docs, mark, places = (
+        np.concatenate([np.zeros(0, kind), *(from_key_planes(r[i]) if not i else from_planes(r[i], kind) for r in rows)])
+        for i, kind in enumerate((U64, np.int64, np.uint32, np.int32))
+    )
     if not len(keys):
         return (keys, docs, places, keys, docs) if heavy else (keys, docs, places)
     order = np.argsort(keys, kind="stable")

@@ -51,7 +51,7 @@ GAP = np.zeros(256, dtype=bool)
 GAP[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-MOST_KEYS = 3_000_000  # kept by a task before it passes them on
+MOST_KEYS = 1_500_000  # kept by a task before it passes them on
 DIMENSIONS = 64
 LEAF, FANOUT, SMALL = 256, 16, 4096
 NODE = "kind int, id long, n long, d1 long, d2 long, key long"
@@ -184,7 +184,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if r["kind"] == B.OPEN:
                 open_rows.append((r["a"], r["b"], r["c"], r["d"]))
             elif r["kind"] == B.KNOWN:
-                yield pairs(np.frombuffer(r["a"], dtype=U64), np.frombuffer(r["b"], dtype=np.int64))
+                yield pairs(B.from_key_planes(r["a"]), B.from_planes(r["b"], np.int64))
             else:
                 cols = [pa.array(np.frombuffer(r[c], dtype=np.int64)) for c in "abcd"]
                 yield pa.RecordBatch.from_arrays([kinds(B.STATS, len(cols[0])), *cols, none(len(cols[0]))], schema=NODE_ARROW)

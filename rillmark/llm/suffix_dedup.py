@@ -35,6 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ from rillmark.llm.common import saved, shuffle_width
 SPAN = 50
 GRAM = 26
 WIDTH = SPAN - GRAM + 1  # anchor candidates in a window
-MOST_ANCHORS = 3_000_000  # kept by a task before it passes them on
+MOST_ANCHORS = 1_500_000  # kept by a task before it passes them on
 PART = 1 << 20
 BROADCAST_IDS = 1_000_000
 HEAVY_SHARE, HEAVY_LEAST = 1000, 1000
@@ -54,6 +55,27 @@ PIECE = np.dtype([("start", "<i8"), ("before", "<u1"), ("count", "<u1")])
 GONE, WINDOW, HEAVY = 11, 12, 13
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def squeezed(rows: DataFrame) -> DataFrame:
+    """id, body: with each text compressed before it is shuffled; null stays null."""
+    schema = pa.schema([("id", pa.int64()), ("body", pa.binary())])
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            body = [None if t is None else press.compress(t.encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, pa.binary())], schema=schema)
+
+    return rows.select("id", "body").mapInArrow(over, "id long, body binary")
+
+
 def window_hash(data: np.ndarray, n: int) -> np.ndarray:
     """A hash of the n bytes from each place on."""
     up, down = (B.POWERS, B.INVERSE) if len(data) <= B.SEGMENT else (
@@ -148,7 +170,7 @@ def _shared(least: int) -> Callable:
                 if r["kind"] == B.OPEN:
                     open_rows.append((r["a"], r["b"], r["c"], r["d"]))
                 else:
-                    yield rows(np.frombuffer(r["b"], dtype=np.int64), np.frombuffer(r["d"], dtype=np.int32))
+                    yield rows(B.from_planes(r["b"], np.int64), B.from_planes(r["d"], np.int32))
         _, docs, places, keys, times = B.settle(open_rows, least)
         yield rows(docs, places)
         n = len(keys)
@@ -181,9 +203,10 @@ def _cut_pieces(heavy: np.ndarray, width: int, part: int) -> Callable:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             wanted = batch.column(2)
+            texts = pa.array([unsqueeze(z) for z in batch.column(1).to_pylist()], pa.large_binary())
             lists = np.asarray(wanted.values)
             at = np.asarray(wanted.offsets)
-            for data, text, place, ends in text_parts(batch.column(1), part):
+            for data, text, place, ends in text_parts(texts, part):
                 if not len(data):
                     continue
                 first, count, before, key = pieces(data, ends)
@@ -193,21 +216,22 @@ def _cut_pieces(heavy: np.ndarray, width: int, part: int) -> Callable:
                 ok = np.isin(place[first] + (text[first].astype(np.int64) << 40), asked)
                 first, count, before, key = first[ok], count[ok], before[ok], key[ok]
                 doc, start = ids[text[first]], place[first]
-                hot = np.isin(key, heavy)
+                hot = np.isin(B.short(key), heavy)
                 if hot.any():
                     here = np.repeat(first[hot], count[hot])
                     here = here + np.arange(len(here)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
                     window, of = window_hash(data, SPAN)[here], ids[text[here]]
                     later = of > _earliest(window, of)
                     yield from spans(GONE, of[later], place[here[later]], np.full(later.sum(), SPAN), width)
-                    to = ((window >> U64(32)) % U64(width)).astype(np.int64)
+                    to = B.destination(window, width)
                     yield from B.packed(WINDOW, to[~later], [window[~later], of[~later], place[here[~later]].astype(np.int64)])
                 first, count, before, key, doc, start = (x[~hot] for x in (first, count, before, key, doc, start))
                 whole = piece_hash(data, first, count + SPAN - 1)
                 later = doc > _earliest(whole ^ mix(key), doc)
                 yield from spans(GONE, doc[later], start[later], count[later] + SPAN - 1, width)
                 keep = np.flatnonzero(~later)
-                keep = keep[np.argsort((key[keep] >> U64(32)) % U64(width), kind="stable")]
+                # By destination and anchor: pieces that are alike lie together and compress well.
+                keep = keep[np.lexsort((key[keep], B.destination(key[keep], width)))]
                 meta = np.zeros(len(keep), dtype=PIECE)
                 meta["start"], meta["before"], meta["count"] = start[keep], before[keep], count[keep]
                 yield from _pack_pieces(key[keep], doc[keep], meta, data, first[keep], width)
@@ -229,14 +253,14 @@ def _pack_pieces(key: np.ndarray, doc: np.ndarray, meta: np.ndarray, data: np.nd
     """Rows of ROW with keys, documents, PIECE and bytes; the pieces are sorted by destination."""
     if not len(key):
         return
-    to = ((key >> U64(32)) % U64(width)).astype(np.int64)
+    to = B.destination(key, width)
     length = meta["count"].astype(np.int64) + SPAN - 1
     ends = np.cumsum(length)
     taken = data[np.repeat(first - (ends - length), length) + np.arange(ends[-1])]
     where, a = np.unique(to, return_index=True)
     b = [*a[1:], len(to)]
     cut = lambda x: [x[i:j].tobytes() for i, j in zip(a, b, strict=True)]
-    body = [taken[ends[i] - length[i] : ends[j - 1]].tobytes() for i, j in zip(a, b, strict=True)]
+    body = [squeeze(taken[ends[i] - length[i] : ends[j - 1]].tobytes()) for i, j in zip(a, b, strict=True)]
     columns = [pa.array(where, pa.int32()), pa.array([B.OPEN] * len(a), pa.int32()), *(pa.array(x, pa.binary()) for x in (cut(key), cut(doc), cut(meta), body))]
     yield pa.RecordBatch.from_arrays(columns, schema=B.ROW)
 
@@ -353,7 +377,7 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         later = doc > _earliest(key, doc)
         yield rows(doc[later], start[later], np.full(later.sum(), SPAN))
     if met:
-        yield rows(*covered_windows(join(met, "a", U64), join(met, "b", np.int64), join(met, "c", PIECE), join(met, "d", np.uint8)))
+        yield rows(*covered_windows(join(met, "a", U64), join(met, "b", np.int64), join(met, "c", PIECE), np.frombuffer(b"".join(unsqueeze(r["d"]) for r in met), np.uint8)))
 
 
 RESULT = pa.schema(
@@ -361,12 +385,12 @@ RESULT = pa.schema(
 )
 
 
-def _remove(with_text: bool) -> Callable:
+def _remove(with_text: bool, pressed: bool) -> Callable:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for i, text, copy, found in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
-                data = (text or "").encode()
+                data = b"" if text is None else unsqueeze(text) if pressed else text.encode()
                 n = len(data)
                 gone = np.full(n, bool(copy) and n >= SPAN)
                 if found.is_valid and not copy:
@@ -412,11 +436,21 @@ def dedup(
     frequent = shared.where((F.col("kind") == HEAVY) & (F.col("times") * heavy_share >= total)).select("key").distinct()
     heavy = np.array([r.key for r in frequent.collect()], dtype=np.int64).view(U64)
     places = shared.where(F.col("kind") == B.KNOWN).groupBy("id").agg(F.collect_list("place").alias("places"))
-    asked = texts.join(places, "id").select("id", "body", "places")
+    asked = squeezed(texts).join(places, "id").select("id", "body", "places")
     met = asked.mapInArrow(_cut_pieces(heavy, many, part), B.ROW_DDL).repartition(width, "p")
     covered = saved(met.mapInArrow(_cover, "id long, span long"), "covered")
     ranges = covered.groupBy("id").agg(F.collect_list("span").alias("spans"))
     marked = copies.withColumn("copy", F.lit(True)).join(ranges, "id", "full")
-    whole = rows.join(marked, "id", "left").select("id", "body", "copy", "spans")
     ddl = "id long, body binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return whole.mapInArrow(_remove(with_text), ddl).withColumnsRenamed({"id": id_col, "body": text_col})
+    marked = saved(marked, "marked")
+    ids = marked.select("id")
+    names = {"id": id_col, "body": text_col}
+    if marked.count() <= BROADCAST_IDS:
+        # Only texts that lose something are shuffled.
+        touched = squeezed(rows.join(F.broadcast(ids), "id", "left_semi"))
+        clean = rows.join(F.broadcast(ids), "id", "left_anti")
+        bare = clean.select("id", "body", F.lit(None).cast("boolean").alias("copy"), F.lit(None).cast("array<bigint>").alias("spans"))
+        cut = touched.join(marked, "id").select("id", "body", "copy", "spans").mapInArrow(_remove(with_text, True), ddl)
+        return cut.unionByName(bare.mapInArrow(_remove(with_text, False), ddl)).withColumnsRenamed(names)
+    whole = squeezed(rows).join(marked, "id", "left").select("id", "body", "copy", "spans")
+    return whole.mapInArrow(_remove(with_text, True), ddl).withColumnsRenamed(names)
