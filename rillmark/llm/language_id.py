@@ -30,7 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rillmark.llm.common import bounded_broadcast, saved
+
 LIMIT = 1000
+AHEAD = 4
 SIZE = 300
 LONGEST = 3
 GAP, OTHER = 1, 2  # symbols of a word end and of an unknown letter; 0 stands for no symbol
@@ -145,9 +148,14 @@ def learn(docs: DataFrame, limit: int = LIMIT, size: int = SIZE, id_col: str = "
     """Profiles of the languages of labelled texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("body"))
     rows = rows.where("id IS NOT NULL AND lang IS NOT NULL AND body IS NOT NULL")
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    # At most `limit` ids a language; Spark keeps no more than that of each task before the shuffle.
-    chosen = rows.select("id", "lang").withColumn("r", first).where(F.col("r") <= limit).select("id").distinct()
+    # Only ids with a small hash, about AHEAD times the limit a language, are ranked by it.
+    ids = rows.select("id", "lang").withColumn("u", F.pmod(F.xxhash64("id"), F.lit(1 << 40)))
+    sizes = saved(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "languages")
+    early = ids.join(bounded_broadcast(sizes, sizes.count(), 10_000), "lang")
+    early = early.where(F.col("u").cast("double") * F.col("size") <= float(AHEAD * limit * (1 << 40)))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("u", "id"))
+    # At most `limit` ids a language.
+    chosen = early.withColumn("r", first).where(F.col("r") <= limit).select("id").distinct()
     taken = rows.join(F.broadcast(chosen), "id", "left_semi").select("lang", "body")
     arrow = pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
 
