@@ -131,12 +131,13 @@ def check_failure_events(
     )
 
 
-def crash_events(outcomes: DataFrame) -> DataFrame:
+def crash_events(outcomes: DataFrame, dashboard_url: str = "") -> DataFrame:
     """A trigger per crashed run: (table, failed_step, exception, message, consecutive_failures, ts_ms)."""
     step = F.coalesce("failed_step", F.lit("unknown"))
     details = F.to_json(
         F.struct(
-            "consecutive_failures", step.alias("failed_step"), F.col("message").alias("exception")
+            "consecutive_failures", step.alias("failed_step"), F.col("message").alias("exception"),
+            F.lit(dashboard_url).alias("dashboard_url"),
         )
     )
     return trigger_events(
@@ -156,10 +157,13 @@ def freshness_gap(marks: DataFrame, as_of_ms: int) -> DataFrame:
 
 
 def freshness_events(
-    marks: DataFrame, as_of_ms: int, limit_s: int = fv.FRESHNESS_LIMIT_S, severity: str = "critical"
+    marks: DataFrame, as_of_ms: int, limit_s: int = fv.FRESHNESS_LIMIT_S, severity: str = "critical",
+    dashboard_url: str = "",
 ) -> DataFrame:
     """Per table with a mark: a trigger if the gap is over the limit, else a resolve.
 
+    `marks` may carry `consecutive_failures`; without it the count is 0.
+
     `severity` is a parameter because the layers differ: the run grades old
     data as critical, the batch check as a warning.
     """
@@ -168,8 +172,12 @@ def freshness_events(
     summary = F.format_string(
         fv.FRESHNESS_SUMMARY.format(limit=limit_s / 60), F.col("table"), gap / 60
     )
+    failures = F.col("consecutive_failures") if "consecutive_failures" in marks.columns else F.lit(0)
     details = F.to_json(
-        F.struct(F.round(gap, 1).alias("freshness_gap_seconds"), F.lit(limit_s).alias("threshold_seconds"))
+        F.struct(
+            failures.alias("consecutive_failures"), F.round(gap, 1).alias("freshness_gap_seconds"),
+            F.lit(limit_s).alias("threshold_seconds"), F.lit(dashboard_url).alias("dashboard_url"),
+        )
     )
     stale = trigger_events(
         gaps.where(gap > limit_s), table=F.col("table"), error_type=F.lit("stale_data"),
@@ -301,7 +309,7 @@ def outbound(
         F.coalesce("component", F.concat(F.lit("spark-cdc/"), table)).alias("component"),
         F.coalesce("group", F.lit("infrastructure")).alias("group"),
         kind.alias("class"),
-        F.coalesce("custom_details", F.lit("{}")).alias("custom_details"),
+        as_object(F.col("custom_details")).alias("custom_details"),
     )
     body = F.to_json(
         F.struct(
@@ -315,12 +323,17 @@ def outbound(
     )
 
 
+def as_object(details: Column) -> Column:
+    """A details text as the JSON value it holds; a text that is no JSON stays a text."""
+    return F.coalesce(F.try_parse_json(details), details.cast("variant"), F.parse_json(F.lit("{}")))
+
+
 def as_messages(events: DataFrame, fields: Sequence[str], scope: Column | None = None) -> DataFrame:
     """Events as (key, value): the key is `<table or scope>:<type>`, the value JSON."""
     key = text.message_key(F.col("table") if scope is None else scope, F.col("error_type"))
-    return events.select(
-        key.alias("key"), F.to_json(F.struct(*fields)).alias("value")
-    )
+    # Details are an object in the message, not a text that holds one.
+    columns = [as_object(F.col(f)).alias(f) if f == "custom_details" else F.col(f) for f in fields]
+    return events.select(key.alias("key"), F.to_json(F.struct(*columns)).alias("value"))
 
 
 def topic_of(group: Column) -> Column:

@@ -143,11 +143,14 @@ def ran_recently(last_run: DataFrame, at_ms: int, within_s: int = fv.RECENT_RUN_
 def times_on(many: DataFrame, one: DataFrame, on: Sequence[str]) -> DataFrame:
     """Many-to-one product on some labels; the labels of the many side stay.
 
-    Both sides are instant vectors: their size is the number of series.
+    Both sides are instant vectors: their size is the number of series. Two
+    series of the one side with equal labels are an error, not a double result.
     """
     cols = [F.coalesce(F.col("labels")[c], F.lit("")).alias(f"_{c}") for c in on]
     keys = [f"_{c}" for c in on]
-    factor = one.select(*cols, F.col("value").alias("_factor"))
+    alone = F.assert_true(F.count(F.lit(1)) == 1, "the one side has several series with the same labels")
+    factor = one.select(*cols, "value").groupBy(*keys).agg(F.max("value").alias("_factor"), alone.alias("_alone"))
+    factor = factor.where(F.col("_alone").isNull()).drop("_alone")
     return (
         many.select("*", *cols)
         .join(factor, keys)

@@ -15,6 +15,7 @@ from rillmark.functions.times import run_date_parts
 from rillmark.operators import alerts, changes, quality, series
 from rillmark.sinks import bronze, state
 from rillmark.sources import feed as feeds
+from rillmark.sources.catalog import missing_partitions, partitions
 from rillmark.spec import TableSpec
 
 
@@ -33,17 +34,19 @@ class RunConfig:
     ties: tuple[str, ...] = ()
     seq_path: str | None = None
     dashboard_url: str = ""
+    #: A mark that cannot be read fails the run; this reads the whole history instead.
+    backfill_unreadable_mark: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.state_root}/{name}"
 
 
 class StepError(Exception):
-    """An error with the step it happened in."""
+    """An error with the step it happened in and what was known by then."""
 
-    def __init__(self, step: str, cause: BaseException):
+    def __init__(self, step: str, cause: BaseException, known: dict):
         super().__init__(str(cause))
-        self.step, self.kind = step, type(cause).__name__
+        self.step, self.kind, self.known = step, type(cause).__name__, known
 
 
 class _Steps:
@@ -104,6 +107,8 @@ def run_table(
         step("load_mark")
         out["mark_state"], mark = state.read_mark(spark, config.path("marks"), spec.name)
         out["mark_ms"] = mark
+        if out["mark_state"] == "unreadable" and not config.backfill_unreadable_mark:
+            raise ValueError("the mark cannot be read; a backfill must be asked for")
 
         step("scan")
         since = None if mark is None else mark - config.lookback_ms
@@ -131,6 +136,10 @@ def run_table(
             )
         )
         out["rows_read"] = figures["total"]
+        if mark is not None:
+            late = changes.late_events(feed, mark - config.lookback_ms)
+            out["rows_late"] = late.count()
+        out["values_misfit"] = misfit_values(new, spec, ties)
         out["rows_rejected"] = figures["total"] - figures["keyed_rows"]
         out["rows_deduped"] = figures["storable_keys"]
         if figures["total"]:
@@ -162,12 +171,9 @@ def run_table(
             # when tasks ran twice, unlike a counter kept while writing.
             out["rows_written"] = figures["storable_keys"]
 
-            if config.database:
-                step("register")
-                day = spark.range(1).select(*[c.alias(n) for n, c in run_date_parts(run_ms).items()])
-                bronze.register_missing(spark, config.database, spec.name, path, day)
-                out["partition_registered"] = True
+            written = path
         else:
+            written = None
             out["status"] = "only_deletes"
 
         step("save_mark")
@@ -176,13 +182,40 @@ def run_table(
         out["mark_saved"] = state.save_mark(spark, config.path("marks"), spec.name, newest, run_ms)
         if out["mark_saved"]:
             out["mark_ms"] = newest
+        else:
+            # The next run reads these events again.
+            out.update(status="mark_failed", message="the mark was not saved")
+
+        if config.database and written:
+            # After the mark: the rows are there whatever the catalog says.
+            step("register")
+            out["partition_registered"], fault = registered(spark, config.database, spec.name, written, run_ms)
+            out["message"] = out.get("message") or fault
         return out
     except Exception as error:
-        raise StepError(step.name, error) from error
+        out["duration_s"] = time.monotonic() - began
+        raise StepError(step.name, error, out) from error
     finally:
         out["duration_s"] = time.monotonic() - began
 
 
+def misfit_values(new: DataFrame, spec: TableSpec, ties: tuple[str, ...] = ()) -> int:
+    """Values that do not fit their declared types, keys among them; they are stored as nulls or rejected."""
+    flat = changes.flatten(changes.storable(new), ties)
+    return changes.conform(flat, spec.stored_schema()).agg(F.coalesce(F.sum("n_bad"), F.lit(0))).first()[0]
+
+
+def registered(spark: SparkSession, database: str, table: str, path: str, run_ms: int) -> tuple[bool, str | None]:
+    """Whether the run's partition is in the catalog now, and why not."""
+    day = spark.range(1).select(*[c.alias(n) for n, c in run_date_parts(run_ms).items()])
+    try:
+        bronze.register_missing(spark, database, table, path, day)
+        ok = missing_partitions(day, partitions(spark, database, table)).isEmpty()
+        return ok, None if ok else "the partition was not registered"
+    except Exception as error:  # noqa: BLE001 - kept in the outcome
+        return False, f"the partition was not registered: {str(error).splitlines()[0]}"
+
+
 def run_all(
     spark: SparkSession, specs: Iterable[TableSpec], config: RunConfig, run_ms: int
 ) -> list[dict]:
@@ -193,16 +226,17 @@ def run_all(
     one process to the next.
     """
     outcomes = []
-    streaks = _failure_counts(spark, config, run_ms)
+    specs = list(specs)
+    streaks = _failure_counts(spark, config, [spec.name for spec in specs], run_ms)
     for spec in specs:
         so_far = streaks.get(spec.name, 0)
         try:
             outcome = run_table(spark, spec, config, run_ms, so_far)
         except StepError as error:
-            outcome = {
-                "table": spec.name, "status": "crashed", "failed_step": error.step,
-                "exception": error.kind, "message": str(error).splitlines()[0] if str(error) else "",
-                "rows_read": 0, "rows_written": 0, "started_ms": run_ms, "ts_ms": run_ms,
+            # The mark as it was stays in the outcome: old data shows when runs crash.
+            outcome = error.known | {
+                "status": "crashed", "failed_step": error.step, "exception": error.kind,
+                "message": str(error).splitlines()[0] if str(error) else "",
             }
         failed = outcome["status"] in FAILED
         outcome["consecutive_failures"] = so_far + 1 if failed else (
@@ -214,7 +248,7 @@ def run_all(
     return outcomes
 
 
-FAILED = ("crashed", "gate_failed", "unreadable")
+FAILED = ("crashed", "gate_failed", "unreadable", "mark_failed")
 SUCCEEDED = ("ok", "only_deletes")
 
 
@@ -233,16 +267,22 @@ def failure_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def _failure_counts(spark: SparkSession, config: RunConfig, run_ms: int) -> dict[str, int]:
-    """Each table's count from its last outcome: recent log days are enough."""
-    since = run_ms - fv.OUTCOME_DAYS * 86_400_000
-    try:
-        log = state.log_rows(spark, config.path("outcomes"), state.OUTCOME_SCHEMA, since)
-        # One row per table comes to the driver.
-        rows = state.last_outcomes(log).collect()
-    except AnalysisException:
-        return {}  # no log yet
-    return {r["table"]: r["consecutive_failures"] or 0 for r in rows}
+def _failure_counts(spark: SparkSession, config: RunConfig, tables: list[str], run_ms: int) -> dict[str, int]:
+    """Each table's count from its last outcome: recent log days first, then all of them."""
+    found: dict[str, int] = {}
+    for since in (run_ms - fv.OUTCOME_DAYS * 86_400_000, None):
+        try:
+            log = state.log_rows(spark, config.path("outcomes"), state.OUTCOME_SCHEMA, since)
+            # One row per table comes to the driver.
+            rows = state.last_outcomes(log.where(~F.col("table").isin(list(found)))).collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}  # no log yet
+        found |= {r["table"]: r["consecutive_failures"] or 0 for r in rows}
+        if set(tables) <= set(found):
+            break
+    return found
 
 
 def run_gauges(spark: SparkSession, outcomes: list[dict], run_ms: int) -> DataFrame:
@@ -282,12 +322,16 @@ def _report(spark: SparkSession, outcomes: list[dict], config: RunConfig, run_ms
         "table string, status string, failed_step string, exception string, message string, "
         "consecutive_failures long, ts_ms long",
     )
-    crashed = alerts.as_messages(alerts.crash_events(runs), alerts.TRIGGER_FIELDS)
+    crashed = alerts.as_messages(alerts.crash_events(runs, config.dashboard_url), alerts.TRIGGER_FIELDS)
     state.append_rows(crashed, config.path("outbox"), run_ms)
-    held = [(o["table"], o["mark_ms"]) for o in outcomes if o.get("mark_ms") is not None]
+    held = [
+        (o["table"], o["mark_ms"], int(o.get("consecutive_failures") or 0)) for o in outcomes if o.get("mark_ms") is not None
+    ]
     if held:
-        marks = spark.createDataFrame(held, "table string, last_processed_ts_ms long")
-        fresh = alerts.freshness_events(marks, run_ms, config.freshness_limit_s)
+        marks = spark.createDataFrame(held, "table string, last_processed_ts_ms long, consecutive_failures long")
+        fresh = alerts.freshness_events(
+            marks, run_ms, config.freshness_limit_s, dashboard_url=config.dashboard_url
+        )
         state.append_rows(
             alerts.as_messages(fresh, alerts.TRIGGER_FIELDS), config.path("outbox"), run_ms
         )

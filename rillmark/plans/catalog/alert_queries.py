@@ -171,7 +171,7 @@ def topic_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outbox_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resolve messages as key and JSON text."""
-    rows = read(spark, sf_dir, "events").where("event_type = 'purchase'").select(
+    rows = read(spark, sf_dir, "events").select(
         F.concat(F.lit("user_"), F.col("user_id")).alias("table"), epoch_ms(F.col("ts")).alias("ts_ms")
     )
     events = alerts.resolve_events(
@@ -247,7 +247,7 @@ def topics_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     infra = events.where("event_type = 'error'").select(
         F.lit(fv.INFRA_TOPIC).alias("topic"), F.col("event_type").alias("alert_title"), "event_id"
     )
-    quality = events.where("event_type = 'purchase'").select(
+    quality = events.where("event_type <> 'error'").select(
         F.lit(fv.DQ_TOPIC).alias("topic"), F.concat(F.lit("k"), F.col("user_id")).alias("dedup_key"), "event_id"
     )
     both = infra.unionByName(quality, allowMissingColumns=True)
@@ -408,7 +408,7 @@ QUERIES = {
     ),
     "outbox_json": Query(
         outbox_json,
-        f"""WITH r AS (SELECT 'user_' || user_id AS tab, {MS_SQL} AS ms FROM events WHERE event_type = 'purchase')
+        f"""WITH r AS (SELECT 'user_' || user_id AS tab, {MS_SQL} AS ms FROM events)
         SELECT tab || ':stale_data' AS key, CAST(json_object('event_action', 'resolve',
           'dedup_key', 'cdc-' || tab || '-stale_data', 'table', tab, 'error_type', 'stale_data',
           'source', 'spark-cdc', 'timestamp', {ISO_SQL}) AS VARCHAR) AS value FROM r""",
@@ -440,7 +440,7 @@ QUERIES = {
         SELECT 'cdc-' || tab || '-unhandled_exception' AS dedup_key,
           '[CDC Pipeline] ''' || tab || ''' crashed at step ' || step || ': ValueError' AS summary,
           'critical' AS severity, 'infrastructure' AS "group", 'spark' AS component, {ISO_SQL} AS timestamp,
-          CAST(json_object('consecutive_failures', 1, 'failed_step', step, 'exception', 'bad') AS VARCHAR)
+          CAST(json_object('consecutive_failures', 1, 'failed_step', step, 'exception', 'bad', 'dashboard_url', '') AS VARCHAR)
             AS custom_details, ms AS ts_ms FROM c""",
     ),
     "alert_retention": Query(
@@ -452,8 +452,8 @@ QUERIES = {
         topics_union,
         f"""SELECT CASE event_type WHEN 'error' THEN '{fv.INFRA_TOPIC}' ELSE '{fv.DQ_TOPIC}' END AS topic,
           count(*) AS messages, count(CASE WHEN event_type = 'error' THEN 1 END) AS titles,
-          count(CASE WHEN event_type = 'purchase' THEN 1 END) AS dedup_keys
-        FROM events WHERE event_type IN ('error', 'purchase') GROUP BY 1""",
+          count(CASE WHEN event_type <> 'error' THEN 1 END) AS dedup_keys
+        FROM events GROUP BY 1""",
     ),
 }
 

@@ -108,21 +108,31 @@ def compact(
     `values` names the partition: a day of bronze, a day of a log, a table's
     marks. The rows are first written to a staging folder and counted there, so
     the partition is only replaced by a whole copy, and no job reads what it
-    overwrites.
+    overwrites. Compact a partition that is over: rows that arrive meanwhile show
+    in its listing, and then nothing is replaced.
     """
     by = list(values)
-    source = spark.read.parquet(path)
-    for column, value in values.items():
-        source = source.where(F.col(column) == F.lit(value))
+    source, files = _partition(spark, path, values)
     balanced(source, by).write.mode("overwrite").partitionBy(*by).parquet(staging)
     copy = spark.read.schema(source.schema).parquet(staging)
     rows, staged = source.count(), copy.count()
     if rows != staged:
         raise RuntimeError(f"staged {staged} of {rows} rows; nothing was replaced")
+    if _partition(spark, path, values)[1] != files:
+        raise RuntimeError("the partition changed while it was copied; nothing was replaced")
     replace_partitions(copy, path, by)
     return rows
 
 
+def _partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> tuple[DataFrame, list[str]]:
+    """A partition's rows, and its files as they are listed now."""
+    rows = spark.read.parquet(path)
+    for column, value in values.items():
+        rows = rows.where(F.col(column) == F.lit(value))
+    found = rows.select(F.col("_metadata.file_path").alias("f")).groupBy("f").agg(F.count(F.lit(1))).collect()
+    return rows, sorted(r["f"] for r in found)
+
+
 def compact_day(
     spark: SparkSession, path: str, staging: str, year: int, month: int, day: int
 ) -> int:

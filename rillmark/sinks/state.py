@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 MARK_SCHEMA = "table string, last_processed_ts_ms long, saved_ms long"
 OUTCOME_SCHEMA = (
     "table string, status string, failed_step string, exception string, message string, "
-    "rows_read long, rows_late long, rows_rejected long, rows_deduped long, rows_written long, "
+    "rows_read long, rows_late long, values_misfit long, rows_rejected long, rows_deduped long, rows_written long, "
     "partition_registered boolean, mark_state string, mark_saved boolean, mark_ms long, dq_passed boolean, "
     "consecutive_failures long, started_ms long, ts_ms long, duration_s double"
 )

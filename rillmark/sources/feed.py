@@ -17,10 +17,13 @@ OK, EMPTY, UNREADABLE = "ok", "empty", "unreadable"
 
 
 def _from_day(day: datetime) -> Column:
-    """Date folders on or after a day, as a partition filter."""
-    y, m, d = (F.col(c) for c in fv.DATE_PARTITIONS)
+    """Files in date folders on or after a day, and files in no date folder, by their path alone."""
+    year, month, date = fv.DATE_PARTITIONS
+    pattern = rf"/{year}=(\d+)/{month}=(\d+)/{date}=(\d+)/"
+    path = F.col("_metadata.file_path")
+    y, m, d = (F.regexp_extract(path, pattern, i).try_cast("int") for i in (1, 2, 3))
     later_in_month = (m == day.month) & (d >= day.day)
-    return (y > day.year) | ((y == day.year) & ((m > day.month) | later_in_month))
+    return y.isNull() | (y > day.year) | ((y == day.year) & ((m > day.month) | later_in_month))
 
 
 def scan_change_log(
@@ -31,24 +34,22 @@ def scan_change_log(
     since_ms: int | None = None,
     slack_days: int = 1,
 ) -> DataFrame:
-    """All change files below a table's folder.
+    """All change files below a table's folder, found recursively whatever the layout.
 
-    With a mark, date folders that lie before it are pruned: events arrive
-    after they happen, so a newer event cannot lie in an older folder, and
-    `slack_days` covers clocks that differ. Without one, files are found
-    recursively whatever the layout. `avro` needs the Avro package on the
-    class path; other formats are built in.
+    With a mark, files in date folders that lie before it are not read: events
+    arrive after they happen, so a newer event cannot lie in an older folder, and
+    `slack_days` covers clocks that differ. Files in no date folder are always
+    read. `avro` needs the Avro package on the class path; other formats are
+    built in.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
+    df = reader.option("recursiveFileLookup", "true").load(path)
     if since_ms is None:
-        return reader.option("recursiveFileLookup", "true").load(path)
-    df = reader.option("basePath", path).load(path)
-    if not set(fv.DATE_PARTITIONS) <= set(df.columns):
         return df
     day = datetime.fromtimestamp(since_ms / 1000, tz=timezone.utc) - timedelta(days=slack_days)
-    return df.where(_from_day(day)).drop(*fv.DATE_PARTITIONS)
+    return df.where(_from_day(day))
 
 
 def try_scan(spark: SparkSession, path: str, **options) -> tuple[str, DataFrame | None, str]:
@@ -77,6 +78,18 @@ def without_tombstones(feed: DataFrame, value: str = "value") -> DataFrame:
     return feed.where(F.col(value).isNotNull())
 
 
+def widened(row: T.StructType) -> T.StructType:
+    """A row's columns in the widest type of their kind, to read files with.
+
+    A reader narrows what it finds to the type it is given without a word; a
+    number over the declared type must arrive whole, for `changes.conform` to
+    find that it does not fit.
+    """
+    whole, real = (T.ByteType, T.ShortType, T.IntegerType), (T.FloatType,)
+    wide = lambda t: T.LongType() if isinstance(t, whole) else T.DoubleType() if isinstance(t, real) else t
+    return T.StructType([T.StructField(f.name, wide(f.dataType)) for f in row.fields])
+
+
 def envelope_schema(row: T.StructType) -> T.StructType:
     """Schema of a change event around a table's rows."""
     return (

@@ -106,11 +106,15 @@ def incident_writer(
     return write
 
 
-def sustained_writer(root: str, hold_ms: int, chunk_ms: int = CHUNK_MS) -> Writer:
+def sustained_writer(
+    root: str, hold_ms: int, chunk_ms: int = CHUNK_MS, max_gap_ms: int | None = None
+) -> Writer:
     """`foreachBatch` function over (series, ts_ms, breach).
 
     A breach that has held for `hold_ms` goes to `out` once, as of the moment
-    it reached that time.
+    it reached that time. With `max_gap_ms` a silence longer than that ends a
+    breach, as a missing step does in a batch rule, and open runs that old are
+    no longer carried.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -120,7 +124,7 @@ def sustained_writer(root: str, hold_ms: int, chunk_ms: int = CHUNK_MS) -> Write
             before.select("series", F.col("last_ms").alias("ts_ms"), F.lit(True).alias("breach"))
         )
         samples = one_per_ms(rows, ["series"], "ts_ms", "breach")
-        runs = islands(samples, ["series"], "ts_ms", "breach", chunk_ms=chunk_ms)
+        runs = islands(samples, ["series"], "ts_ms", "breach", max_gap_ms=max_gap_ms, chunk_ms=chunk_ms)
         goes_on = (F.col("r.series") == F.col("b.series")) & F.col("b.last_ms").between(
             F.col("r.start_ms"), F.col("r.end_ms")
         )
@@ -146,6 +150,10 @@ def sustained_writer(root: str, hold_ms: int, chunk_ms: int = CHUNK_MS) -> Write
         left = held.join(newest, ["series", "end_ms"]).select(
             "series", "since_ms", F.col("end_ms").alias("last_ms"), "fired"
         )
+        if max_gap_ms is not None:
+            now = samples.agg(F.max("ts_ms")).first()[0]
+            if now is not None:
+                left = left.where(F.col("last_ms") >= now - max_gap_ms)
         _keep(left, root, batch_id)
         held.unpersist()
 

@@ -14,7 +14,7 @@ from rillmark.functions.times import utc_date_parts
 from rillmark.operators import alerts, changes, quality
 from rillmark.plans.batch_run import batch_profile
 from rillmark.sinks import bronze, state
-from rillmark.sources.feed import envelope_schema
+from rillmark.sources.feed import envelope_schema, widened
 from rillmark.spec import TableSpec
 
 BATCH = "batch_id"
@@ -152,7 +152,7 @@ def keep_all_bronze(
     """One query per table, so a table that fails leaves the others running."""
     running = {}
     for spec in specs:
-        feed = file_stream(spark, f"{raw_root}/{spec.name}", envelope_schema(spec.schema()), fmt)
+        feed = file_stream(spark, f"{raw_root}/{spec.name}", envelope_schema(widened(spec.schema())), fmt)
         write = bronze_writer(spec, f"{bronze_root}/{spec.name}", state_root, as_of)
         running[spec.name] = keep_bronze(
             feed, write, f"{state_root}/checkpoints/{spec.name}", once, interval

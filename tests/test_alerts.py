@@ -33,7 +33,7 @@ def test_trigger_and_resolve_messages(spark):
     body = json.loads(row["value"])
     assert row["key"] == "orders:null_pk" and set(body) == set(alerts.TRIGGER_FIELDS)
     assert body["component"] == "spark-cdc/orders" and body["timestamp"] == "2023-11-14T22:13:20.123+00:00"
-    assert body["custom_details"] == "{}" and body["group"] == "data-quality"
+    assert body["custom_details"] == {} and body["group"] == "data-quality"
     res = alerts.resolve_events(df, table=F.col("t"), error_type=F.lit("null_pk"), ts_ms=F.col("ts"), suffix=F.lit("r1"))
     body = json.loads(alerts.as_messages(res, alerts.RESOLVE_FIELDS).first()["value"])
     assert set(body) == set(alerts.RESOLVE_FIELDS) and body["dedup_key"] == "cdc-orders-null_pk-r1"
