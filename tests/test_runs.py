@@ -193,3 +193,76 @@ def test_command_line(spark, folder, capsys):
     assert "products ok 1" in said and "orders unreadable" in said
     assert [r.product_name for r in spark.table("shop.products").collect()] == ["Tea"]
     spark.sql("DROP DATABASE shop CASCADE")
+
+
+def test_a_catalog_fault_neither_stops_nor_repeats_a_run(spark, folder):
+    cfg = config(folder, database="no_such_database")
+    put(spark, folder, [ev("c", NOW, 1, "a")])
+    out = run_table(spark, SPEC, cfg, NOW)
+    assert (out["status"], out["mark_saved"], out["partition_registered"]) == ("ok", True, False)
+    assert "not registered" in out["message"]
+    assert run_table(spark, SPEC, cfg, NOW + 1)["status"] == "no_new_events"
+    assert spark.read.parquet(folder + "/bronze/items").count() == 1
+
+
+def test_a_mark_that_is_not_saved_or_read_is_a_failure(spark, folder, monkeypatch):
+    cfg = config(folder)
+    put(spark, folder, [ev("c", NOW, 1, "a")])
+    with monkeypatch.context() as m:
+        m.setattr(state, "save_mark", lambda *a, **k: False)
+        assert run_all(spark, [SPEC], cfg, NOW)[0]["consecutive_failures"] == 1
+    monkeypatch.setattr(state, "read_mark", lambda *a: ("unreadable", None))
+    out = run_all(spark, [SPEC], cfg, NOW + 1)[0]
+    assert (out["status"], out["failed_step"], out["consecutive_failures"]) == ("crashed", "load_mark", 2)
+    assert run_table(spark, SPEC, config(folder, backfill_unreadable_mark=True), NOW + 2)["status"] == "ok"
+
+
+def test_failures_older_than_the_recent_log_still_count(spark, folder):
+    cfg = config(folder)
+    assert run_all(spark, [SPEC], cfg, NOW)[0]["consecutive_failures"] == 1
+    assert run_all(spark, [SPEC], cfg, NOW + 90 * 86_400_000)[0]["consecutive_failures"] == 2
+
+
+def test_misfit_and_late_values_are_counted(spark, folder):
+    row = "struct<id:bigint,v:string>"
+    spec = TableSpec("items", ("id",), "id INT, v SMALLINT")
+    feed = f"op string, ts_ms long, after {row}"
+    spark.createDataFrame([("c", NOW, (1, "40000")), ("c", NOW, (2, "7"))], feed).write.parquet(folder + "/raw/items")
+    cfg = RunConfig(folder + "/raw", folder + "/bronze", folder + "/state")
+    out = run_table(spark, spec, cfg, NOW)
+    assert (out["status"], out["values_misfit"], out["rows_late"]) == ("ok", 1, 0)
+    spark.createDataFrame([("c", NOW - 5, (3, "1")), ("c", NOW + 5, (4, "1"))], feed).write.mode("append").parquet(folder + "/raw/items")
+    out = run_table(spark, spec, cfg, NOW + 5)
+    assert (out["rows_written"], out["rows_late"]) == (1, 3)
+
+
+def test_a_crash_still_reports_how_old_the_data_is(spark, folder, monkeypatch):
+    cfg = config(folder, dashboard_url="http://d")
+    put(spark, folder, [ev("c", NOW, 1, "a")])
+    run_all(spark, [SPEC], cfg, NOW)
+    put(spark, folder, [ev("c", NOW + 1, 2, "a")])
+    monkeypatch.setattr(bronze, "append", lambda *a: 1 / 0)
+    out = run_all(spark, [SPEC], cfg, NOW + 10**7)[0]
+    assert (out["status"], out["failed_step"], out["mark_ms"]) == ("crashed", "write", NOW)
+    sent = [json.loads(r["value"]) for r in spark.read.parquet(cfg.path("outbox")).collect()]
+    stale = next(m for m in sent if m["error_type"] == "stale_data" and m["event_action"] == "trigger" and m["component"] == "spark/freshness_check")
+    assert stale["custom_details"] == {
+        "consecutive_failures": 1, "freshness_gap_seconds": 10_000, "threshold_seconds": cfg.freshness_limit_s, "dashboard_url": "http://d",
+    }
+    crash = next(m for m in sent if m["error_type"] == "unhandled_exception")
+    assert crash["custom_details"]["dashboard_url"] == "http://d" and out["duration_s"] > 0
+
+
+def test_compaction_refuses_a_partition_that_changes(spark, folder, monkeypatch):
+    path, rows = folder + "/t", spark.createDataFrame([(1, 2023, 11, 14)], "id int, year int, month int, day int")
+    rows.write.partitionBy("year", "month", "day").parquet(path)
+    whole = bronze.balanced
+
+    def late(df, by):
+        rows.write.mode("append").partitionBy("year", "month", "day").parquet(path)
+        return whole(df, by)
+
+    monkeypatch.setattr(bronze, "balanced", late)
+    with pytest.raises(RuntimeError):
+        bronze.compact_day(spark, path, folder + "/staging", 2023, 11, 14)
+    assert spark.read.parquet(path).count() == 2

@@ -194,3 +194,25 @@ def test_one_query_per_table(spark, folder):
         finish(query)
     assert set(started) == {"items", "others"}
     assert spark.read.parquet(folder + "/bronze/others").count() > 0
+
+
+def test_numbers_over_the_declared_type_never_wrap(spark, folder):
+    row = "struct<id:int,n:int>"
+    rows = [("c", T0, None, (2, 40_000), 1), ("c", T0, None, (3, 5), 2)]
+    spark.createDataFrame(rows, f"op string, ts_ms long, before {row}, after {row}, seq long").write.parquet(folder + "/raw/small")
+    spec = TableSpec("small", ("id",), "id SMALLINT, n SMALLINT")
+    started = ingest.keep_all_bronze(spark, [spec], folder + "/raw", folder + "/bronze", folder + "/state", lambda: T0, once=True)
+    finish(started["small"])
+    got = {r.id: r.n for r in spark.read.parquet(folder + "/bronze/small").collect()}
+    assert got == {2: None, 3: 5}
+
+
+def test_a_silence_ends_a_breach(spark, folder):
+    day = 86_400_000
+    write = batched.sustained_writer(folder, 120_000, max_gap_ms=60_000)
+    for i, at in enumerate((T0, T0 + 10 * day)):
+        write(spark.createDataFrame([("s", at, True)], "series string, ts_ms long, breach boolean"), i)
+    try:
+        assert spark.read.parquet(folder + "/out").count() == 0
+    except Exception as error:  # nothing was ever sent
+        assert "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error)
