@@ -70,8 +70,11 @@ def _per_series(samples: DataFrame, value: Column) -> DataFrame:
     )
 
 
-def reduce_series(samples: DataFrame, at_ms: int, range_ms: int, reducer: str) -> DataFrame:
-    """One value per series over a range: `last`, `lastNotNull`, `max`, `min`, `mean` or `sum`."""
+def reduce_series(samples: DataFrame, at_ms: int, range_ms: int, reducer: str | Sequence[str]) -> DataFrame:
+    """One value per series over a range: `last`, `lastNotNull`, `max`, `min`, `mean` or `sum`.
+
+    With several reducers, one row per series and `reducer`, from one aggregate.
+    """
     value, ts = F.col("value"), F.col("ts_ms")
     reducers = {
         "last": F.max_by(value, ts),
@@ -81,10 +84,15 @@ def reduce_series(samples: DataFrame, at_ms: int, range_ms: int, reducer: str) -
         "mean": F.avg(value),
         "sum": F.sum(value),
     }
-    if reducer not in reducers:
-        raise ValueError(f"unknown reducer {reducer!r}")
+    wanted = [reducer] if isinstance(reducer, str) else list(reducer)
+    if unknown := [r for r in wanted if r not in reducers]:
+        raise ValueError(f"unknown reducer {unknown[0]!r}")
     near = samples.where((ts <= at_ms) & (ts > at_ms - range_ms))
-    return _per_series(near, reducers[reducer])
+    if isinstance(reducer, str):
+        return _per_series(near, reducers[reducer])
+    each = F.array(*(F.struct(F.lit(r).alias("reducer"), reducers[r].cast("double").alias("value")) for r in wanted))
+    folded = _per_series(near, each).select("metric", "labels", F.explode("value").alias("r"))
+    return folded.select("metric", "labels", "r.reducer", "r.value")
 
 
 def fold_by(vector: DataFrame, fold: str, by: Sequence[str] = ()) -> DataFrame:

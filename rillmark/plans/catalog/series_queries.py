@@ -71,17 +71,8 @@ def reducers(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = readings(spark, sf_dir).withColumn(
         "value", F.when(F.col("value") < 60, F.col("value"))
     )
-    parts = [
-        series.reduce_series(samples, AT, 2 * DAY_MS, r).select(
-            F.lit(r).alias("reducer"), _label("event_type"), _label("shard"),
-            F.round("value", 6).alias("value"),
-        )
-        for r in ("last", "lastNotNull", "max", "mean")
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    found = series.reduce_series(samples, AT, 2 * DAY_MS, ("last", "lastNotNull", "max", "mean"))
+    return found.select("reducer", _label("event_type"), _label("shard"), F.round("value", 6).alias("value"))
 
 
 def age(spark: SparkSession, sf_dir: str) -> DataFrame:

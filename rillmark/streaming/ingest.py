@@ -42,12 +42,13 @@ def _start(writer, once: bool, interval: str) -> StreamingQuery:
 
 def land_raw(
     feed: DataFrame, path: str, checkpoint: str, once: bool = False,
-    rows_per_file: int = fv.LANDING_RECORDS_PER_FILE, interval: str = fv.LANDING_TRIGGER,
+    rows_per_file: int = 0, interval: str = fv.LANDING_TRIGGER,
 ) -> StreamingQuery:
     """Writes change events below `table/year/month/day` by the event's UTC day.
 
-    `feed` carries `table`. The source's small-file limits are the defaults;
-    raise `rows_per_file` for feeds of any size.
+    `feed` carries `table`. Files are as large as a micro-batch makes them;
+    `rows_per_file` limits them (`fv.LANDING_RECORDS_PER_FILE` is the small-file
+    profile that raw change logs are often landed with).
     """
     dated = feed.withColumns(utc_date_parts(F.col("ts_ms")))
     writer = (
@@ -69,8 +70,11 @@ def bronze_writer(
 
     The batch's rows go to partitions named by event day and batch id, and only
     those are replaced: a batch that is replayed after a crash writes the same
-    files again. A batch that fails its checks is set aside whole under
-    `quarantine`, so the stream goes on and nothing is lost.
+    files again. Where a batch fails its checks, its alerts go out and the
+    events that cannot be stored (no whole key in the declared types, or an
+    unknown operation) are set aside under `quarantine`; all others are
+    written, so one bad event holds nothing back. `replay_quarantine` takes
+    events back in once a table's declaration or the events have been mended.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -85,14 +89,13 @@ def bronze_writer(
             quality.graded(quality.standard_checks(profile, spec.pk, now))
         )
         verdict = quality.gate(report, () if freshness_blocks else ("stale_data",)).first()
-        kept = batch.withColumn(BATCH, F.lit(batch_id))
         if figures["total"] and not verdict["may_write"]:
-            bronze.replace_partitions(kept, f"{state_root}/quarantine/{spec.name}", (BATCH,))
+            aside = unusable(batch, spec).withColumn(BATCH, F.lit(batch_id))
+            bronze.replace_partitions(aside, f"{state_root}/quarantine/{spec.name}", (BATCH,))
             failed = alerts.check_failure_events(report, spec.name, now)
             state.append_rows(
                 alerts.as_messages(failed, alerts.TRIGGER_FIELDS), f"{state_root}/outbox", now
             )
-            return
         rows = stream_rows(batch, spec, ties, keep_deletes)
         dated = rows.withColumns(utc_date_parts(F.col(spec.ts_col))).withColumn(
             BATCH, F.lit(batch_id)
@@ -102,6 +105,37 @@ def bronze_writer(
     return write
 
 
+def unusable(batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """Events that can be stored neither as a row nor as a delete."""
+    names = batch.columns
+    image = F.col("after") if "before" not in names else F.coalesce("after", "before")
+    keys = [image.getField(k).alias(k) for k in spec.pk]
+    typed = changes.with_declared_keys(batch.select(F.struct(*names).alias("_event"), *keys), spec)
+    known = F.col("_event.op").isin(*fv.STORED_OPS, fv.OP_DELETE)
+    whole = F.lit(True)
+    for k in spec.pk:
+        whole = whole & F.col(k).isNotNull()
+    return typed.where(~(F.coalesce(known, F.lit(False)) & whole)).select("_event.*")
+
+
+def replay_quarantine(
+    spark: SparkSession, spec: TableSpec, bronze_path: str, state_root: str, schema: T.StructType,
+    ties: tuple[str, ...] = ("seq",), keep_deletes: bool = True,
+) -> int:
+    """Stores the events set aside that can be stored now; returns how many still cannot.
+
+    They go to partitions of their own batches, marked as replays (negative
+    batch ids), so running this again replaces what it wrote.
+    """
+    path = f"{state_root}/quarantine/{spec.name}"
+    held = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
+    for row in held.select(BATCH).distinct().collect():  # one row per batch that had bad events
+        events = held.where(F.col(BATCH) == row[BATCH]).drop(BATCH)
+        rows = stream_rows(events, spec, ties, keep_deletes).withColumns(utc_date_parts(F.col(spec.ts_col)))
+        bronze.replace_partitions(rows.withColumn(BATCH, F.lit(-1 - row[BATCH])), bronze_path, BATCH_PARTITIONS)
+    return unusable(held.drop(BATCH), spec).count()
+
+
 def stream_rows(
     batch: DataFrame, spec: TableSpec, ties: tuple[str, ...], keep_deletes: bool
 ) -> DataFrame:

@@ -142,3 +142,25 @@ def test_failure_counts_since_success(spark):
     data = [tuple({"table": t, "status": s, "ts_ms": m}.get(n) for n in names) for t, s, m in log]
     df = spark.createDataFrame(data, OUTCOME_SCHEMA)
     assert {tuple(r) for r in failure_counts(df).collect()} == {("a", 2), ("b", 1)}
+
+
+def test_details_travel_as_objects(spark):
+    events = spark.createDataFrame(
+        [("trigger", "k", "s", "error", "t", "null_pk", "g", "c", "spark-cdc", "x", d, "dq") for d in ('{"a":{"b":[1,2]}}', "plain", None)],
+        "event_action string, dedup_key string, summary string, severity string, table string, error_type string, "
+        "group string, component string, source string, timestamp string, custom_details string, topic string",
+    )
+    sent = [json.loads(r["value"])["custom_details"] for r in alerts.as_messages(events, alerts.TRIGGER_FIELDS).collect()]
+    assert sent == [{"a": {"b": [1, 2]}}, "plain", {}]
+    bodies = [json.loads(r["body"])["payload"]["custom_details"] for r in alerts.outbound(events, {}).collect()]
+    assert bodies == sent
+
+
+def test_webhook_and_sample_files(spark, folder):
+    from rillmark.sources import messages
+
+    body = {"alerts": [{"status": "firing", "labels": {"alertname": "x"}, "annotations": {}}]}
+    spark.createDataFrame([(json.dumps(body),)], "value string").write.text(folder + "/hooks")
+    assert json.loads(messages.webhook_bodies(spark, folder + "/hooks").first()["body"]) == body
+    spark.createDataFrame([("m", {"a": "b"}, 5, 1.5)], messages.SAMPLE_SCHEMA).write.parquet(folder + "/samples")
+    assert tuple(messages.metric_samples(spark, folder + "/samples").first()) == ("m", {"a": "b"}, 5, 1.5)

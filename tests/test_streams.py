@@ -69,10 +69,22 @@ def test_a_bad_batch_is_set_aside(spark, folder):
     rows = [("c", T0, None, (None, "a"), 0), ("c", T0, None, (1, "b"), 1)]
     write = ingest.bronze_writer(SPEC, folder + "/bronze", folder + "/state", lambda: T0)
     write(spark.createDataFrame(rows, FEED), 0)
-    assert spark.read.parquet(folder + "/state/quarantine/items").count() == 2
+    assert [tuple(r.after) for r in spark.read.parquet(folder + "/state/quarantine/items").collect()] == [(None, "a")]
     assert spark.read.parquet(folder + "/state/outbox").count() == 1
-    write(spark.createDataFrame([("c", T0, None, (1, "b"), 1)], FEED), 1)
-    assert spark.read.parquet(folder + "/bronze").count() == 1
+    write(spark.createDataFrame([("c", T0, None, (2, "b"), 1)], FEED), 1)
+    assert sorted(r.id for r in spark.read.parquet(folder + "/bronze").collect()) == [1, 2]
+
+
+def test_events_set_aside_come_back_when_they_fit(spark, folder):
+    small = TableSpec("items", ("id",), "id SMALLINT, v STRING")
+    rows = [("c", T0, None, (40_000, "a"), 0), ("c", T0, None, (1, "b"), 1), ("c", T0, None, (None, "c"), 2)]
+    df = spark.createDataFrame(rows, FEED)
+    ingest.bronze_writer(small, folder + "/bronze", folder + "/state", lambda: T0)(df, 0)
+    assert [r.id for r in spark.read.parquet(folder + "/bronze").collect()] == [1]
+    for _ in range(2):
+        assert ingest.replay_quarantine(spark, SPEC, folder + "/bronze", folder + "/state", df.schema) == 1
+        ids = spark.read.option("mergeSchema", "true").schema("id int, v string").parquet(folder + "/bronze")
+        assert ids.count() == 2
 
 
 def test_landing_folders(spark, folder):
