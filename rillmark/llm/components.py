@@ -16,7 +16,11 @@ from rillmark.llm.common import saved
 def _star(links: DataFrame, small: bool) -> DataFrame:
     """u > v in, u > v out: each node's (small: smaller; else: larger) neighbours, hung on its smallest."""
     both = links if small else links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")), "star-least")
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
+    if not small:
+        # A node of very many links: written, so that AQE can split its join. In small stars
+        # a node only meets the smallest ids that its neighbours saw.
+        least = saved(least, "star-least")
     met = both.join(least, "u")
     if small:
         hung = met.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(
@@ -28,18 +32,15 @@ def _star(links: DataFrame, small: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id, component (its smallest id) of every id in `links` (a, b)."""
+    """id, component (its smallest id) of every id in `links` (a, b), a written table."""
     u, v = F.greatest("a", "b"), F.least("a", "b")
-    now = saved(links.where("a <> b").select(u.alias("u"), v.alias("v")).distinct(), "links")
-    before = None
+    now = links.where("a <> b").select(u.alias("u"), v.alias("v")).distinct()
     while True:
         now = saved(_star(now, small=False), "large-star")
         now = saved(_star(now, small=True), "small-star")
-        # The sum of all hashes says whether anything moved.
-        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        state = tuple(now.agg(F.count(F.lit(1)), total).first())
-        if state == before:
+        # Done when nothing that others hang on hangs on anything.
+        heads = now.select(F.col("v").alias("u")).distinct()
+        if heads.join(now.select("u"), "u", "left_semi").isEmpty():
             break
-        before = state
     heads = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(heads)

@@ -21,11 +21,11 @@ An R-tree over all points by itself gives right results too, but random texts
 lie closer in 64 dimensions than boxes can tell apart, so it compares nearly all
 texts of a similar size; hence the blocks first.
 
-Copies (equal sets) are one class from the start. In each block all others are
-first compared with the member that meets most others; only those not linked by
-that go through the R-tree, in leaves of bounded size. So a group of thousands
-of near copies costs links in proportion to its size, and no block is gathered
-in one task.
+Copies (equal sets) are one class from the start. All others are first compared
+with the best hub of their blocks, twice; only members of a block that are still
+in different components go through the R-tree, in leaves of bounded size. So a
+group of thousands of near copies costs links in proportion to its size, and no
+block is gathered in one task.
 
 Defined cases: null and wordless texts have no shingles and link with nothing;
 a row without id is returned with no component; rows that repeat an id count as
@@ -226,12 +226,17 @@ def reaches(shared, a, b, percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
+    """The pairs (a, b) whose whole sets reach the threshold; `pairs` is a written table.
+
+    Where the pairs are few enough to be sent to all tasks, only sets that stand
+    in a pair move, and the first of a pair moves once.
+    """
+    few = pairs.count() <= BROADCAST_IDS
+    near = F.broadcast(pairs) if few else pairs
     one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"), F.col("point").alias("left_point"), F.col("n").alias("na"))
     two = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"), F.col("point").alias("right_point"), F.col("n").alias("nb"))
-    near = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b"
-    ).where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
+    if few:
+        two = two.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,10 +253,32 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(ok)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    met = near.join(one, "a").join(two, "b").select("a", "b", "left", "right", "left_point", "right_point")
+    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    met = one.join(near, "a").join(two, "b").where(alike).select("a", "b", "left", "right", "left_point", "right_point")
     return saved(met.mapInArrow(over, "a long, b long"), "links")
 
 
+def hub_pairs(placed: DataFrame) -> DataFrame:
+    """a, b: every member outside the part of a block's hub, with the best such hub of its blocks.
+
+    `placed` has key, id, part and share (of an id's keys that others have too).
+    The hub of a block is its member of the largest share: the original among its
+    near copies. All that are linked to it meet it in a block, so one pair for
+    each member is enough to hang a group of any size on its centre.
+    """
+    rank = F.struct("share", (-F.col("id")).alias("back"), "part")
+    tops = placed.groupBy("key").agg(F.max(rank).alias("top"), F.min("part").alias("low"), F.max("part").alias("high"))
+    tops = saved(tops.where("low <> high").select("key", "top"), "hubs")
+    met = placed.join(tops, "key").where(F.col("part") != F.col("top.part"))
+    best = met.groupBy("id").agg(F.max(F.struct("top.share", "top.back")).alias("best"))
+    hub = -F.col("best.back")
+    return saved(best.select(F.col("id").alias("a"), hub.alias("b")), "hub-pairs")
+
+
+def in_parts(blocks: DataFrame, linked: DataFrame) -> DataFrame:
+    return blocks.join(linked, "id", "left").select("key", "id", "share", F.coalesce("component", "id").alias("part"))
+
+
 def boxes(points: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
     """Levels of an R-tree over points sorted by size and then by their largest group.
 
@@ -300,17 +327,13 @@ def open_pairs(blocks: DataFrame, linked: DataFrame, sets: DataFrame, percent: i
     members (minor) meet each other and it. Both sides are cut into leaves of
     about LEAF members, and a task joins one pair of leaves.
     """
-    placed = saved(
-        blocks.join(linked, "id", "left").withColumn("part", F.coalesce("component", "id")).select("key", "id", "part"),
-        "placed",
-    )
+    placed = saved(in_parts(blocks, linked), "placed")
     parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("m"))
     sums = parts.groupBy("key").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("m").alias("all"), F.max(F.struct("m", "part")).alias("top")
     )
-    # Two members have been compared as member and hub.
     mixed = saved(
-        sums.where("parts > 1 AND all > 2").select(
+        sums.where("parts > 1").select(
             "key", F.col("top.part").alias("major"),
             F.ceil(F.col("top.m") / LEAF).alias("major_leaves"), F.ceil((F.col("all") - F.col("top.m")) / LEAF).alias("minor_leaves"),
         ),
@@ -369,6 +392,22 @@ def _join_leaves(percent: int):
     return over
 
 
+def joined(linked: DataFrame, more: DataFrame) -> DataFrame:
+    """Components (id, component) after further links: those are between components, a small graph of its own."""
+    if more.isEmpty():
+        return linked
+    one, two = (linked.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in")) for c in "ab")
+    between = more.join(one, "a", "left").join(two, "b", "left").select(
+        F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b")
+    )
+    upper = saved(components(saved(between.where("a <> b").distinct(), "component-links")), "upper-components")
+    top = upper.select(F.col("id").alias("component"), F.col("component").alias("top"))
+    moved = linked.join(top, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    # Ids that had no link before stand in `upper` as their own components.
+    new = upper.join(linked.select("id"), "id", "left_anti")
+    return saved(moved.unionByName(new), "components")
+
+
 def link(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -388,20 +427,20 @@ def link(
     met = saved(met.select("key", F.col("rep").alias("id")).distinct(), "met")
     shared = saved(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "shared-keys")
     blocks = saved(met.join(shared, "key", "left_semi"), "blocks")
-    sets = sets_of(docs, blocks.select("id").distinct(), words, id_col, text_col)
-    # The hub of a block is the member that shares most of its keys.
     meets = blocks.groupBy("id").agg(F.count(F.lit(1)).alias("meets"))
-    ranked = blocks.join(meets, "id").join(sets.select("id", "n"), "id")
-    rank = F.struct((F.col("meets") / F.col("n")).alias("share"), (-F.col("id")).alias("back"))
-    hubs = saved(ranked.groupBy("key").agg((-F.max(rank)["back"]).alias("hub")), "hubs")
-    tried = blocks.join(hubs, "key").where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-    tried = saved(tried.distinct(), "hub-pairs")
-    links = verified(tried, sets, percent)
-    linked = saved(components(links), "hub-components")
-    left = open_pairs(blocks, linked, sets, percent).join(tried, ["a", "b"], "left_anti")
-    more = verified(saved(left, "open-pairs"), sets, percent)
-    roots = saved(components(links.unionByName(more)), "components")
-    placed = members.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(
+    sets = sets_of(docs, meets.select("id"), words, id_col, text_col)
+    share = meets.join(sets.select("id", "n"), "id").select("id", (F.col("meets") / F.col("n")).alias("share"))
+    blocks = saved(blocks.join(share, "id"), "shared-blocks")
+    tried = hub_pairs(blocks.withColumn("part", F.col("id")))
+    linked = saved(components(verified(tried, sets, percent)), "hub-components")
+    # Once more for those that the first hubs did not take, then the trees for the rest.
+    again = hub_pairs(in_parts(blocks, linked))
+    linked = joined(linked, verified(again, sets, percent))
+    left = open_pairs(blocks, linked, sets, percent)
+    for done in (tried, again):
+        left = left.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    linked = joined(linked, verified(saved(left, "open-pairs"), sets, percent))
+    placed = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", "n", F.coalesce("component", "rep").alias("component")
     )
     return placed.select(
