@@ -22,8 +22,9 @@ lie closer in 64 dimensions than boxes can tell apart, so it compares nearly all
 texts of a similar size; hence the blocks first.
 
 Copies (equal sets) are one class from the start. All others are first compared
-with the best hub of their blocks, twice; only members of a block that are still
-in different components go through the R-tree, in leaves of bounded size. So a
+with the best hub of their blocks; only members of a block that are still in
+different components go through the R-tree, in leaves of bounded size: first the
+best pair of each two components, then all pairs of components still apart. So a
 group of thousands of near copies costs links in proportion to its size, and no
 block is gathered in one task.
 
@@ -320,9 +321,12 @@ def tree_join(p: np.ndarray, np_: np.ndarray, q: np.ndarray, nq: np.ndarray, per
     return (np.concatenate(found_p), np.concatenate(found_q)) if found_p else (np.zeros(0, int), np.zeros(0, int))
 
 
-def open_pairs(blocks: DataFrame, linked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def open_pairs(blocks: DataFrame, linked: DataFrame, sets: DataFrame, percent: int, best: bool) -> DataFrame:
     """a, b: pairs of a block in different components that the R-tree does not rule out.
 
+    With `best`, of the pairs that a task finds between two components only the
+    one with the highest bound, which is enough to join components that are near.
+
     The largest component of a block needs no pairs inside itself: the other
     members (minor) meet each other and it. Both sides are cut into leaves of
     about LEAF members, and a task joins one pair of leaves.
@@ -352,10 +356,10 @@ def open_pairs(blocks: DataFrame, linked: DataFrame, sets: DataFrame, percent: i
     dealt = dealt.join(sets.select("id", "point", "n"), "id")
 
     together = dealt.select("key", "i", "j", "id", "part", "first", "point", "n").repartition("key", "i", "j")
-    return together.sortWithinPartitions("key", "i", "j").mapInArrow(_join_leaves(percent), "a long, b long").distinct()
+    return together.sortWithinPartitions("key", "i", "j").mapInArrow(_join_leaves(percent, best), "a long, b long").distinct()
 
 
-def _join_leaves(percent: int):
+def _join_leaves(percent: int, best: bool):
     """Pairs of each run of rows with one (key, i, j); a run has two leaves at most."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -374,7 +378,15 @@ def _join_leaves(percent: int):
                 i, j = tree_join(points[x], n[x], points[y], n[y], percent)
                 i, j = x[i], y[j]
                 apart = parts[i] != parts[j]
-                found.append((ids[i[apart]], ids[j[apart]]))
+                i, j = i[apart], j[apart]
+                if best and len(i) > 1:
+                    bound = np.minimum(points[i], points[j]).sum(axis=1)
+                    low, high = np.minimum(parts[i], parts[j]), np.maximum(parts[i], parts[j])
+                    order = np.lexsort((-bound / (n[i] + n[j] - bound), high, low))
+                    fresh = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
+                    first_of = order[np.concatenate([[True], fresh])]
+                    i, j = i[first_of], j[first_of]
+                found.append((ids[i], ids[j]))
         one, two = (np.concatenate(c) for c in zip(*found, strict=True))
         batch = pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], schema=schema)
         return batch, rows.slice(starts[done] if done < len(starts) else rows.num_rows)
@@ -433,12 +445,12 @@ def link(
     blocks = saved(blocks.join(share, "id"), "shared-blocks")
     tried = hub_pairs(blocks.withColumn("part", F.col("id")))
     linked = saved(components(verified(tried, sets, percent)), "hub-components")
-    # Once more for those that the first hubs did not take, then the trees for the rest.
-    again = hub_pairs(in_parts(blocks, linked))
-    linked = joined(linked, verified(again, sets, percent))
-    left = open_pairs(blocks, linked, sets, percent)
-    for done in (tried, again):
-        left = left.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    # The trees join near components by their best pairs, then all pairs of those still apart.
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = saved(open_pairs(blocks, linked, sets, percent, best=True).join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    linked = joined(linked, verified(near, sets, percent))
+    left = open_pairs(blocks, linked, sets, percent, best=False)
+    left = left.join(tried.unionByName(near), ["a", "b"], "left_anti")
     linked = joined(linked, verified(saved(left, "open-pairs"), sets, percent))
     placed = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", "n", F.coalesce("component", "rep").alias("component")
