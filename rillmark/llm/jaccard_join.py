@@ -55,6 +55,7 @@ LOWER[65:91] += 32
 MOST_KEYS = 1_500_000  # kept by a task before it passes them on
 DIMENSIONS = 64
 LEAF, FANOUT, SMALL = 256, 16, 4096
+MOST_PAIRS = 500_000  # kept by a task before it passes them on
 NODE = "kind int, id long, n long, d1 long, d2 long, key long"
 NODE_ARROW = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("id", "n", "d1", "d2", "key"))])
 # Sets of this many ids are looked up by a broadcast; beyond it by a shuffle.
@@ -363,7 +364,7 @@ def _join_leaves(percent: int, best: bool):
     """Pairs of each run of rows with one (key, i, j); a run has two leaves at most."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+    def pairs(rows: pa.Table, last: bool) -> tuple[np.ndarray, pa.Table]:
         label = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
         starts = np.flatnonzero(np.concatenate([[True], (label[:, 1:] != label[:, :-1]).any(axis=0)]))
         ends = [*starts[1:], rows.num_rows]
@@ -388,18 +389,26 @@ def _join_leaves(percent: int, best: bool):
                     i, j = i[first_of], j[first_of]
                 found.append((ids[i], ids[j]))
         one, two = (np.concatenate(c) for c in zip(*found, strict=True))
-        batch = pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], schema=schema)
-        return batch, rows.slice(starts[done] if done < len(starts) else rows.num_rows)
+        return np.stack([np.minimum(one, two), np.maximum(one, two)]), rows.slice(starts[done] if done < len(starts) else rows.num_rows)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, held = None, np.zeros((2, 0), dtype=np.int64)
+
+        def batch_of(found: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], schema=schema)
+
         for batch in batches:
             if batch.num_rows:
                 rows = pa.Table.from_batches([batch])
                 out, rest = pairs(rows if rest is None else pa.concat_tables([rest, rows]), last=False)
-                yield out
+                # Two documents that share many keys are found in many blocks of a task.
+                held = np.unique(np.concatenate([held, out], axis=1), axis=1)
+                if held.shape[1] > MOST_PAIRS:
+                    yield batch_of(held)
+                    held = held[:, :0]
         if rest is not None and rest.num_rows:
-            yield pairs(rest, last=True)[0]
+            held = np.unique(np.concatenate([held, pairs(rest, last=True)[0]], axis=1), axis=1)
+        yield batch_of(held)
 
     return over
 
