@@ -3,7 +3,10 @@
 A polynomial hash rolls over the hashes of three lines. A chunk ends after a
 line whose rolling hash is lower than the one before and not above the next,
 so boundaries depend on nearby lines only: lines put in or left out move no
-boundary further down. Chunks of two or more lines that occur again anywhere
+boundary further down. With `fine` the rule looks at one line instead of three,
+runs of equal lines count as one line there, and a run of four or more is cut
+into pairs (the last takes three if the run is odd), so short passages and long
+runs of one line have boundaries of their own. Chunks of two or more lines that occur again anywhere
 are compared byte by byte; the first occurrence (smallest id, then chunk
 number) stays and the others are removed.
 
@@ -25,6 +28,8 @@ from rillmark.llm.common import pinned, saved
 PRIME = 2_147_483_647
 BASE = 82_517
 LEAST_LINES = 2
+#: With `fine`: a run of so many equal lines is cut inside.
+LEAST_RUN = 4
 
 
 def lines_of(text: Column) -> Column:
@@ -35,10 +40,30 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long") % PRIME
 
 
-def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fine_ends(hashed: DataFrame) -> DataFrame:
+    """Adds ends: runs of equal lines lower than both neighbours end a chunk, long runs are cut into pairs."""
+    last = F.size("lines") - 1
+    numbers = F.sequence(F.lit(0), last)
+    runs = pinned(hashed, "runs", F.filter(numbers, lambda i: (i == 0) | (F.get("h", i) != F.get("h", i - 1))))
+    runs = pinned(runs, "v", F.transform("runs", lambda s: F.get("h", s)))
+    end = lambda k: F.coalesce(F.get("runs", k + 1) - 1, last)
+    low = lambda k: (F.get("v", k) < F.get("v", k - 1)) & (F.get("v", k) <= F.get("v", k + 1))
+
+    def own(s: Column, k: Column) -> Column:
+        pairs = F.concat(F.array(s - 1), F.sequence(s + 1, end(k) - 2, F.lit(2)), F.array(end(k)))
+        bound = F.when((end(k) == last) | low(k), F.array(end(k))).otherwise(F.array().cast("array<int>"))
+        return F.when(end(k) - s + 1 >= LEAST_RUN, pairs).otherwise(bound)
+
+    ends = F.filter(F.array_sort(F.array_distinct(F.flatten(F.transform("runs", own)))), lambda i: i >= 0)
+    return pinned(runs, "ends", ends)
+
+
+def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
     """doc, lines, ends: the last line (from 0) of each chunk."""
     cut = pinned(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body")), "lines", lines_of(F.col("body")))
     hashed = pinned(cut, "h", F.transform("lines", line_hash))
+    if fine:
+        return fine_ends(hashed).select("doc", "lines", "ends")
     before = lambda i, k: F.coalesce(F.get("h", i - k), F.lit(0))
     rolled = pinned(
         hashed, "r", F.transform("h", lambda h, i: ((before(i, 2) * BASE % PRIME + before(i, 1)) * BASE + h) % PRIME)
@@ -49,7 +74,7 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return pinned(rolled, "ends", ends).select("doc", "lines", "ends")
 
 
-def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
     """doc, no, n (lines), body: every chunk of two or more lines."""
     first = lambda k: F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1)
     # Cut in the row, so that a long document's lines are not copied once per chunk.
@@ -60,13 +85,13 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             F.array_join(F.slice("lines", first(k) + 1, end - first(k) + 1), "\n").alias("body"),
         ),
     )
-    cut = chunked(docs, id_col, text_col).select("doc", F.explode(each).alias("c")).select("doc", "c.*")
+    cut = chunked(docs, id_col, text_col, fine).select("doc", F.explode(each).alias("c")).select("doc", "c.*")
     return cut.where(F.col("n") >= LEAST_LINES)
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
     """doc, no: chunks equal, byte by byte, to one that comes before them."""
-    chunks = chunk_rows(docs, id_col, text_col).withColumn("key", F.xxhash64("body"))
+    chunks = chunk_rows(docs, id_col, text_col, fine).withColumn("key", F.xxhash64("body"))
     twice = chunks.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
     # Written first: both sides of the join are then plain shuffles, which AQE splits at a hot chunk.
     again = saved(chunks.join(saved(twice, "repeated-hashes"), "key", "left_semi"), "repeated-chunks")
@@ -82,10 +107,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
     """One row per document: id, kept text, n_lines, n_chunks, n_removed_chunks, n_removed_lines."""
-    gone = repeated(docs, id_col, text_col).groupBy("doc").agg(F.collect_list("no").alias("gone"))
-    whole = chunked(docs, id_col, text_col).join(gone, "doc", "left")
+    gone = repeated(docs, id_col, text_col, fine).groupBy("doc").agg(F.collect_list("no").alias("gone"))
+    whole = chunked(docs, id_col, text_col, fine).join(gone, "doc", "left")
     whole = whole.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     gone_list = F.col("gone")
     numbers = F.sequence(F.lit(0), F.size("ends") - 1)
