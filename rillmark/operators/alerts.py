@@ -7,6 +7,7 @@ An event frame has ``event_action``, ``dedup_key``, ``table``, ``error_type``,
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -350,13 +351,15 @@ def retained(messages: DataFrame, now_ms: int, ts: str = "ts_ms", days: int = fv
 def incidents(
     events: DataFrame, ts: str = "ts_ms", seq: str = "seq", key: str = "dedup_key",
     chunk_ms: int = CHUNK_MS, weight: Column | None = None, last: Column | None = None,
+    with_seq: bool = False,
 ) -> DataFrame:
     """Trigger and resolve events as incidents.
 
     The first trigger of a closed key opens an incident, further triggers add
     to it, the next resolve closes it, a resolve of a closed key does nothing.
     Order is time, then `seq`. An event may stand for several triggers
-    (`weight`), the last of them at `last`.
+    (`weight`), the last of them at `last`. `with_seq` adds the `seq` of the
+    closing event as `resolved_seq`.
 
     A key's events are cut into time chunks and, inside a chunk, into segments
     that end with a resolve. Only a chunk's first segment and its open end can
@@ -377,6 +380,7 @@ def incidents(
         .agg(
             F.min(F.when(is_trigger, F.col(ts))).alias("opened_ms"),
             F.max(F.when(is_resolve, F.col(ts))).alias("resolved_ms"),
+            F.max(F.when(is_resolve, F.col(seq))).alias("resolved_seq"),
             F.sum(F.when(is_trigger, triggers).otherwise(0)).alias("triggers"),
             F.max(F.when(is_trigger, last_at)).alias("last_trigger_ms"),
         )
@@ -397,6 +401,7 @@ def incidents(
         .agg(
             F.min("opened_ms").alias("opened_ms"),
             F.max("resolved_ms").alias("resolved_ms"),
+            F.max("resolved_seq").alias("resolved_seq"),
             F.sum("triggers").cast("long").alias("triggers"),
             F.max("last_trigger_ms").alias("last_trigger_ms"),
         )
@@ -405,6 +410,7 @@ def incidents(
             key, "opened_ms", "last_trigger_ms", "resolved_ms", "triggers",
             F.when(F.col("resolved_ms").isNull(), "open").otherwise("resolved").alias("state"),
             (F.col("resolved_ms") - F.col("opened_ms")).alias("open_ms"),
+            *(["resolved_seq"] if with_seq else []),
         )
     )
 
@@ -438,19 +444,45 @@ def notifications(
     last_sent: DataFrame | None = None,
     changed: Column | None = None,
     interval_ms: int = fv.GROUP_INTERVAL_MS,
+    timed: bool = False,
+    until_ms: int | None = None,
 ) -> DataFrame:
     """Notifications of a group: the first one, then none until the repeat time is over.
 
     Where `changed` says that an event changes its group (an alert joins or is
     resolved), the group is sent again at the first tick after the shorter
-    `interval_ms`; a change that comes too early waits for it.
+    `interval_ms`; a change that comes too early waits for it. Such a change is
+    sent with the group's next event, or with `timed` at that first tick
+    itself, if it is not after `until_ms`, so that no change needs another
+    event to be sent.
 
     Alerts are evaluated at ticks, so events are first brought to their tick
     and made one row there (combined before the shuffle). A group then has at
     most one row per tick, however many events it has; the chain of sent ticks
     is followed within that bounded list. `wait_ms` delays a group's events.
-    `last_sent` (keys, sent_ms) continues from earlier notifications.
+    `last_sent` (keys, sent_ms, perhaps pending) continues from earlier
+    notifications.
     """
+    states = notification_states(
+        events, keys, ts, repeat_ms, tick_ms, wait_ms, last_sent, changed, interval_ms, timed, until_ms
+    )
+    return states.select(*keys, F.explode("sent").alias("notified_ms"))
+
+
+def notification_states(
+    events: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    repeat_ms: int,
+    tick_ms: int,
+    wait_ms: int = 0,
+    last_sent: DataFrame | None = None,
+    changed: Column | None = None,
+    interval_ms: int = fv.GROUP_INTERVAL_MS,
+    timed: bool = False,
+    until_ms: int | None = None,
+) -> DataFrame:
+    """keys, sent (ticks, as in `notifications`), sent_ms (the last one), pending (a change waits)."""
     moved = F.lit(False) if changed is None else F.coalesce(changed, F.lit(False))
     ticks = events.groupBy(*keys, ceil_to(F.col(ts) + wait_ms, tick_ms).alias("tick_ms")).agg(
         F.max(moved).alias("changed")
@@ -459,16 +491,33 @@ def notifications(
         F.sort_array(F.collect_list(F.struct("tick_ms", "changed"))).alias("_ticks")
     )
     never = F.lit(-(2**62)).cast("long")
+    waits = F.lit(False)
     if last_sent is None:
         known = never
     else:
-        per_group = per_group.join(last_sent.select(*keys, "sent_ms"), list(keys), "left")
+        has_pending = "pending" in last_sent.columns
+        extra = ["pending"] if has_pending else []
+        before = last_sent.select(*[F.col(k).alias(f"_{k}") for k in keys], "sent_ms", *extra)
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        # A change that waits is due without an event, too.
+        per_group = per_group.join(before, same, "full" if timed and has_pending else "left").select(
+            *[F.when(F.col("_ticks").isNull(), F.col(f"_{k}")).otherwise(F.col(k)).alias(k) for k in keys],
+            "_ticks", "sent_ms", *extra,
+        )
         known = F.coalesce("sent_ms", never)
+        if has_pending:
+            waits = F.coalesce("pending", F.lit(False))
 
     def state(last: Column, pending: Column, sent: Column) -> Column:
         return F.struct(last.alias("last"), pending.alias("pending"), sent.alias("sent"))
 
-    def follow(so_far: Column, item: Column) -> Column:
+    def on_time(so_far: Column, early_enough: Column) -> Column:
+        at = ceil_to(so_far["last"] + interval_ms, tick_ms)
+        return F.when(
+            so_far["pending"] & early_enough, state(at, F.lit(False), F.array_append(so_far["sent"], at))
+        ).otherwise(so_far)
+
+    def at_event(so_far: Column, item: Column) -> Column:
         tick, gap = item["tick_ms"], item["tick_ms"] - so_far["last"]
         pending = so_far["pending"] | item["changed"]
         due = (gap >= repeat_ms) | (pending & (gap >= interval_ms))
@@ -476,6 +525,24 @@ def notifications(
             due, state(tick, F.lit(False), F.array_append(so_far["sent"], tick))
         ).otherwise(state(so_far["last"], pending, so_far["sent"]))
 
-    start = state(known, F.lit(False), F.array().cast("array<bigint>"))
-    sent = F.aggregate("_ticks", start, follow, lambda done: done["sent"])
-    return per_group.select(*keys, F.explode(sent).alias("notified_ms"))
+    def follow(so_far: Column, item: Column) -> Column:
+        if not timed:
+            return at_event(so_far, item)
+        before_item = ceil_to(so_far["last"] + interval_ms, tick_ms) < item["tick_ms"]
+        # Through an array, so that the step before is computed once.
+        return F.transform(F.array(on_time(so_far, before_item)), lambda now: at_event(now, item))[0]
+
+    def finish(done: Column) -> Column:
+        if not timed:
+            return done
+        at = ceil_to(done["last"] + interval_ms, tick_ms)
+        return on_time(done, F.lit(True) if until_ms is None else at <= until_ms)
+
+    start = state(known, waits, F.array().cast("array<bigint>"))
+    ticks_of = F.coalesce("_ticks", F.array().cast("array<struct<tick_ms:bigint,changed:boolean>>"))
+    done = per_group.withColumn("_done", F.aggregate(ticks_of, start, follow, finish))
+    return done.select(
+        *keys, F.col("_done.sent").alias("sent"),
+        F.when(F.col("_done.last") > never, F.col("_done.last")).alias("sent_ms"),
+        F.col("_done.pending").alias("pending"),
+    )
