@@ -15,7 +15,8 @@ The bytes of a chunk move only if its hash occurs twice.
 
 Defined cases: a null text counts as empty and has one empty line; single-line
 chunks always stay; a document without id keeps its lines (and counts as the
-first occurrence); rows that repeat an id are treated alike.
+first occurrence); rows that repeat an id and a text are treated alike, and of
+rows that share an id only each loses its own chunks.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def text_sum(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
 def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long") % PRIME
 
@@ -59,11 +64,12 @@ def fine_ends(hashed: DataFrame) -> DataFrame:
 
 
 def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
-    """doc, lines, ends: the last line (from 0) of each chunk."""
-    cut = pinned(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body")), "lines", lines_of(F.col("body")))
+    """doc, sum (of the text), lines, ends: the last line (from 0) of each chunk."""
+    named = docs.select(F.col(id_col).alias("doc"), text_sum(F.col(text_col)).alias("sum"), F.col(text_col).alias("body"))
+    cut = pinned(named, "lines", lines_of(F.col("body")))
     hashed = pinned(cut, "h", F.transform("lines", line_hash))
     if fine:
-        return fine_ends(hashed).select("doc", "lines", "ends")
+        return fine_ends(hashed).select("doc", "sum", "lines", "ends")
     before = lambda i, k: F.coalesce(F.get("h", i - k), F.lit(0))
     rolled = pinned(
         hashed, "r", F.transform("h", lambda h, i: ((before(i, 2) * BASE % PRIME + before(i, 1)) * BASE + h) % PRIME)
@@ -71,11 +77,11 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fin
     last = F.size("lines") - 1
     low = lambda i: (F.get("r", i) < F.get("r", i - 1)) & (F.get("r", i) <= F.get("r", i + 1))
     ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | low(i))
-    return pinned(rolled, "ends", ends).select("doc", "lines", "ends")
+    return pinned(rolled, "ends", ends).select("doc", "sum", "lines", "ends")
 
 
 def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
-    """doc, no, n (lines), body: every chunk of two or more lines."""
+    """doc, sum, no, n (lines), body: every chunk of two or more lines."""
     first = lambda k: F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1)
     # Cut in the row, so that a long document's lines are not copied once per chunk.
     each = F.transform(
@@ -85,32 +91,32 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.array_join(F.slice("lines", first(k) + 1, end - first(k) + 1), "\n").alias("body"),
         ),
     )
-    cut = chunked(docs, id_col, text_col, fine).select("doc", F.explode(each).alias("c")).select("doc", "c.*")
+    cut = chunked(docs, id_col, text_col, fine).select("doc", "sum", F.explode(each).alias("c")).select("doc", "sum", "c.*")
     return cut.where(F.col("n") >= LEAST_LINES)
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
-    """doc, no: chunks equal, byte by byte, to one that comes before them."""
+    """doc, sum, no: chunks equal, byte by byte, to one that comes before them."""
     chunks = chunk_rows(docs, id_col, text_col, fine).withColumn("key", F.xxhash64("body"))
     twice = chunks.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
     # Written first: both sides of the join are then plain shuffles, which AQE splits at a hot chunk.
     again = saved(chunks.join(saved(twice, "repeated-hashes"), "key", "left_semi"), "repeated-chunks")
     firsts = saved(
-        again.groupBy("key", "body").agg(F.min(F.struct("doc", "no")).alias("first"), F.count(F.lit(1)).alias("times"))
+        again.groupBy("key", "body").agg(F.min(F.struct("doc", "no", "sum")).alias("first"), F.count(F.lit(1)).alias("times"))
         .where("times > 1").drop("times"),
         "first-chunks",
     )
     return (
         again.join(firsts, ["key", "body"])
-        .where(~F.struct("doc", "no").eqNullSafe(F.col("first")) & F.col("doc").isNotNull())
-        .select("doc", "no").distinct()
+        .where(~F.struct("doc", "no", "sum").eqNullSafe(F.col("first")) & F.col("doc").isNotNull())
+        .select("doc", "sum", "no").distinct()
     )
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: bool = False) -> DataFrame:
     """One row per document: id, kept text, n_lines, n_chunks, n_removed_chunks, n_removed_lines."""
-    gone = repeated(docs, id_col, text_col, fine).groupBy("doc").agg(F.collect_list("no").alias("gone"))
-    whole = chunked(docs, id_col, text_col, fine).join(gone, "doc", "left")
+    gone = repeated(docs, id_col, text_col, fine).groupBy("doc", "sum").agg(F.collect_list("no").alias("gone"))
+    whole = chunked(docs, id_col, text_col, fine).join(gone, ["doc", "sum"], "left")
     whole = whole.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
     gone_list = F.col("gone")
     numbers = F.sequence(F.lit(0), F.size("ends") - 1)
