@@ -12,7 +12,8 @@ messages are written as canonical JSON (keys sorted, no white space, no escapes
 that are not needed).
 
 Defined cases: of calls with one identifier that with the smallest turn, then
-text, is the call, the others are marked `repeated`; a result without a call
+text, need, tool and arguments, is the call, the others are marked `repeated`
+(calls alike in all of these are not told apart: none of them is marked); a result without a call
 is `orphan`; a need that no call meets counts as none but is an error; calls
 that need each other in a circle get level -1. A message without conversation,
 turn or identifier links with nothing. Null texts are JSON nulls.
@@ -110,7 +111,8 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         single.join(ordered, ["conv", "call_id"]).join(needs.select("conv", "call_id", F.lit(True).alias("met")), ["conv", "call_id"], "left")
         .select(
             "conv", F.col("call_id").alias("key"), "level", F.col("turn").alias("call_turn"), F.col("text").alias("call_text"),
-            F.col("tool").alias("call_tool"), (F.col("n") > 1).alias("several"),
+            F.col("tool").alias("call_tool"), F.when(F.col("n") > 1, F.col("after")).alias("call_after"),
+            F.when(F.col("n") > 1, F.col("arguments")).alias("call_arguments"), (F.col("n") > 1).alias("several"),
             (F.col("after").isNotNull() & F.col("met").isNull()).alias("unmet"),
         ),
         "call-facts",
@@ -140,7 +142,7 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         call, found, repeated = r["call_id"], [], False
         record: dict[str, Any] = {"conversation": r["conv"], "turn": r["turn"], "role": r["role"]}
         if call is not None:
-            repeated = bool(r["several"]) and (r["turn"], r["text"], r["tool"]) != (r["call_turn"], r["call_text"], r["call_tool"])
+            repeated = bool(r["several"]) and any(r[c] != r[f"call_{c}"] for c in ("turn", "text", "after", "tool", "arguments"))
             try:
                 arguments = json.loads(r["arguments"]) if r["arguments"] is not None else {}
             except ValueError:
