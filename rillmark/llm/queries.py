@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.llm import (
+    alignment,
     byte_bpe,
     chat_tools,
     decontaminate,
@@ -17,6 +18,8 @@ from rillmark.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    merkle,
+    multi_index,
     sharding,
     suffix_dedup,
     warc,
@@ -87,6 +90,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return multi_index.search(multi_index.build(vectors), vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(read(spark, sf_dir, "documents"), tampered, {"n_chars": F.col("n_chars") + 1})
+
+
 OP1_SQL = """
 WITH RECURSIVE cut AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -168,6 +187,62 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str = "n_chars") -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# A step of a path: the side its sibling stands on and the sibling, nothing where there is none.
+OP13_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql()} AS leaf, {_leaf_sql("n_chars + 1")} AS changed,
+    list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda crc, byte: CASE WHEN xor(crc, byte) & 1 = 1 THEN xor(xor(crc, byte) >> 1, 3988292384::BIGINT)
+        ELSE xor(crc, byte) >> 1 END) AS crc
+  FROM documents),
+leaves AS (
+  SELECT row_number() OVER () AS k, doc_id, tree, leaf,
+    CASE WHEN xor(crc, 4294967295::BIGINT) % 7 = 0 THEN changed ELSE leaf END AS shown,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM d),
+nodes AS (
+  SELECT tree, 0 AS lvl, i, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT tree, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY tree, lvl, i // 2, n),
+subroots AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, i, h, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY lvl, i // 2, n),
+levels AS (SELECT DISTINCT tree, lvl FROM nodes WHERE n > 1),
+top_levels AS (SELECT DISTINCT lvl FROM tops WHERE n > 1),
+steps AS (
+  SELECT k, l.lvl, CASE WHEN (d.i >> l.lvl) & 1 = 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '') AS step
+  FROM leaves d JOIN levels l ON l.tree = d.tree
+  LEFT JOIN nodes s ON s.tree = d.tree AND s.lvl = l.lvl AND s.i = xor(d.i >> l.lvl, 1)
+  UNION ALL
+  SELECT k, 1000 + l.lvl, CASE WHEN (r.i >> l.lvl) & 1 = 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '')
+  FROM leaves d JOIN subroots r ON r.tree = d.tree CROSS JOIN top_levels l
+  LEFT JOIN tops s ON s.lvl = l.lvl AND s.i = xor(r.i >> l.lvl, 1)),
+paths AS (SELECT k, list(step ORDER BY lvl) AS path, string_agg(substr(step, 2), '' ORDER BY lvl) AS siblings FROM steps GROUP BY k),
+back AS (
+  SELECT d.*, siblings, list_reduce(list_prepend(shown, coalesce(path, []::VARCHAR[])),
+    lambda h, s: sha256(CASE WHEN s[1] = 'L' THEN substr(s, 2) || h ELSE h || substr(s, 2) END)) AS folded_root
+  FROM leaves d LEFT JOIN paths USING (k))
+SELECT doc_id, leaf, r.h AS subroot, t.h AS root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
+  folded_root = t.h AS verified
+FROM back JOIN subroots r USING (tree) CROSS JOIN (SELECT h FROM tops WHERE n = 1) t
+"""
+
 QUERIES = {
     "op1_line_dedup": Query(op1_line_dedup, OP1_SQL),
     "op2_decontamination": Query(op2_decontamination, OP2_SQL),
@@ -179,5 +254,8 @@ QUERIES = {
     "op8_chat_tools": Query(op8_chat_tools),
     "op9_exact_dedup": Query(op9_exact_dedup, OP9_SQL),
     "op10_byte_bpe": Query(op10_byte_bpe),
+    "op11_multi_index": Query(op11_multi_index),
+    "op12_alignment": Query(op12_alignment),
+    "op13_merkle": Query(op13_merkle, OP13_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
