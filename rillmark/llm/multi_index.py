@@ -59,7 +59,7 @@ Batches = Iterator[pa.RecordBatch]
 def _matrix(column: pa.Array) -> np.ndarray:
     """Lists of one length as rows, each times a power of two that keeps squares finite."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = flat.reshape(len(column), -1)
+    rows = flat.reshape(len(column), len(flat) // max(1, len(column)))
     _, exponent = np.frexp(np.abs(rows).max(axis=1, initial=0.0))
     return np.ldexp(rows, -exponent[:, None])
 
@@ -254,6 +254,8 @@ def enough_entries(index: MultiIndex, queries: DataFrame, k: int, recall: float,
     entries finds their k nearest.
     """
     sample = queries.orderBy(spread(F.col("id")), "id").limit(trial).toArrow()
+    if not sample.num_rows:
+        return 0
     ids, rows = sample.column("id").to_numpy(), _matrix(sample.column("vec").combine_chunks())
 
     def nearest(batches: Batches) -> Batches:
