@@ -24,6 +24,8 @@ LANDING_TRIGGER = "60 seconds"
 CDC_TS = "cdc_ts_ms"
 CDC_OP = "cdc_op"
 DATE_PARTITIONS = ("year", "month", "day")
+# Ours: the column that says which micro-batch stored a row.
+BATCH_COL = "batch_id"
 
 # --- limits ----------------------------------------------------------------
 FRESHNESS_LIMIT_S = 900

@@ -83,6 +83,14 @@ def rule_values(
     at them. Each row is then handed to the rules that select it. The rules are
     a handful of literals in the plan, so nothing is joined or broadcast.
     """
+    values = _values(samples, rules, start_ms, end_ms, step_ms, lookback_ms)
+    return values.drop("divisors").where(F.col("value").isNotNull())
+
+
+def _values(
+    samples: DataFrame, rules: Sequence[RuleSpec], start_ms: int, end_ms: int, step_ms: int, lookback_ms: int
+) -> DataFrame:
+    """`rule_values` with rows that have no value, and the number of series that a row was divided by."""
     sides = _sides(rules)
     metrics = sorted({s.metric for _, _, s in sides})
     tagged = [
@@ -113,12 +121,13 @@ def rule_values(
     ).otherwise(F.col("value"))
     top = F.when(~F.col("is_divisor"), subject)
     low = F.max(F.when(F.col("is_divisor"), F.col("value")))
+    divisors = F.count(F.when(F.col("is_divisor"), 1))
     folds = {"max": F.max(top), "min": F.min(top), "sum": F.sum(top), "avg": F.avg(top)}
     folded = _by_rule(rules, lambda r: F.col(f"_{r.fold}"))
     is_ratio = F.col("rule").isin(*[r.name for r in rules if r.subject == "ratio"] or [""])
     return (
         ticks.groupBy("rule", "kept", "tick_ms")
-        .agg(*[c.alias(f"_{n}") for n, c in folds.items()], low.alias("_low"))
+        .agg(*[c.alias(f"_{n}") for n, c in folds.items()], low.alias("_low"), divisors.alias("divisors"))
         .withColumn("_top", folded)
         .select(
             "rule",
@@ -127,8 +136,8 @@ def rule_values(
             F.when(is_ratio, F.when(F.col("_low") != 0, F.col("_top") / F.col("_low")))
             .otherwise(F.col("_top"))
             .alias("value"),
+            "divisors",
         )
-        .where(F.col("value").isNotNull())
     )
 
 
@@ -152,18 +161,29 @@ def evaluate(
     counts as a breach, `NoData` does not.
     """
     values = rule_values(samples, rules, start_ms, end_ms, step_ms, lookback_ms)
-    compares = {
-        "gt": lambda v, t: v > t, "lt": lambda v, t: v < t,
-        "ge": lambda v, t: v >= t, "le": lambda v, t: v <= t,
-    }
-    breach = _by_rule(rules, lambda r: compares[r.compare](F.col("value"), F.lit(r.threshold)))
     measured = values.select(
-        "rule", "labels", "tick_ms", "value", breach.cast("boolean").alias("breach"),
-        F.lit("ok").alias("data_state"),
+        "rule", "labels", "tick_ms", "value", _breach(rules).alias("breach"), F.lit("ok").alias("data_state")
     )
+    return measured.unionByName(_missing(samples, values, rules, start_ms, end_ms, step_ms))
+
+
+COMPARES = {
+    "gt": lambda v, t: v > t, "lt": lambda v, t: v < t,
+    "ge": lambda v, t: v >= t, "le": lambda v, t: v <= t,
+}
+
+
+def _breach(rules: Sequence[RuleSpec]) -> Column:
+    return _by_rule(rules, lambda r: COMPARES[r.compare](F.col("value"), F.lit(r.threshold))).cast("boolean")
+
+
+def _missing(
+    samples: DataFrame, values: DataFrame, rules: Sequence[RuleSpec], start_ms: int, end_ms: int, step_ms: int
+) -> DataFrame:
+    """Steps at which a rule has no series, under its no-data policy."""
     seen = values.select("rule", "tick_ms").distinct()
     policy = _by_rule(rules, lambda r: F.lit(r.no_data))
-    missing = (
+    return (
         step_grid(samples, rules, start_ms, end_ms, step_ms)
         .join(seen, ["rule", "tick_ms"], "left_anti")
         .select(
@@ -175,7 +195,61 @@ def evaluate(
             policy.cast("string").alias("data_state"),
         )
     )
-    return measured.unionByName(missing)
+
+
+def faults(samples: DataFrame, rules: Sequence[RuleSpec]) -> dict[str, str]:
+    """Rules whose expression cannot be built or analysed, with the reason; no job is run."""
+    found = {}
+    for r in rules:
+        try:
+            evaluate(samples, (r,), 0, 0).schema  # noqa: B018 - analyses the plan
+        except Exception as error:  # noqa: BLE001 - any fault is that rule's own
+            found[r.name] = f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"
+    return found
+
+
+SEVERAL_DIVISORS = "several series to divide by"
+
+
+def evaluate_isolated(
+    samples: DataFrame, rules: Sequence[RuleSpec], start_ms: int, end_ms: int,
+    step_ms: int = fv.RULE_STEP_MS, lookback_ms: int = fv.LOOKBACK_MS,
+) -> DataFrame:
+    """`evaluate` where a rule that fails leaves the others alone; adds `error`.
+
+    A rule whose expression cannot be built is in error at every step, one whose
+    ratio has several series to divide by at the steps where that is so. Errors
+    have the data state `Error` and count as a breach under `Alerting` only.
+    """
+    broken = faults(samples, rules)
+    sound = [r for r in rules if r.name not in broken]
+    no_labels = F.create_map().cast("map<string,string>")
+    out = None
+    if sound:
+        alarms = F.col("rule").isin([r.name for r in sound if r.on_error == "Alerting"])
+        several = F.col("divisors") > 1
+        values = _values(samples, sound, start_ms, end_ms, step_ms, lookback_ms).where(several | F.col("value").isNotNull())
+        measured = values.select(
+            "rule", "labels", "tick_ms", F.when(~several, F.col("value")).alias("value"),
+            F.when(several, alarms).otherwise(_breach(sound)).alias("breach"),
+            F.when(several, _error_state(sound)).otherwise("ok").alias("data_state"),
+            F.when(several, SEVERAL_DIVISORS).alias("error"),
+        )
+        missing = _missing(samples, values, sound, start_ms, end_ms, step_ms)
+        out = measured.unionByName(missing.withColumn("error", F.lit(None).cast("string")))
+    lost = [r for r in rules if r.name in broken]
+    if lost:
+        failed = step_grid(samples, lost, start_ms, end_ms, step_ms).select(
+            "rule", no_labels.alias("labels"), "tick_ms", F.lit(None).cast("double").alias("value"),
+            F.col("rule").isin([r.name for r in lost if r.on_error == "Alerting"]).alias("breach"),
+            _error_state(lost).alias("data_state"), _by_rule(lost, lambda r: F.lit(broken[r.name])).cast("string").alias("error"),
+        )
+        out = failed if out is None else out.unionByName(failed)
+    return out
+
+
+def _error_state(rules: Sequence[RuleSpec]) -> Column:
+    return _by_rule(rules, lambda r: F.lit("ok" if r.on_error == "OK" else "Error")).cast("string")
 
 
 def with_state(
@@ -184,8 +258,10 @@ def with_state(
     """Adds `active_since_ms` and `state` (normal, pending, firing) at every step.
 
     A series is evaluated at most once per step, so its rows are bounded by the
-    length of the range. A missing step ends a pending run.
+    length of the range. A missing step ends a pending run. After
+    `evaluate_isolated`, an error that is no breach is the state `error`.
     """
+    in_error = F.col("data_state") == "Error" if "error" in evaluated.columns else F.lit(False)
     named = evaluated.withColumn(LABEL_SET, label_set(F.col("labels")))
     w = Window.partitionBy("rule", LABEL_SET).orderBy("tick_ms")
     goes_on = (
@@ -203,7 +279,7 @@ def with_state(
         .withColumn("active_since_ms", F.when(F.col("breach"), since))
         .withColumn(
             "state",
-            F.when(~F.col("breach"), "normal")
+            F.when(~F.col("breach"), F.when(in_error, "error").otherwise("normal"))
             .when(F.col("tick_ms") - F.col("active_since_ms") >= hold, "firing")
             .otherwise("pending"),
         )

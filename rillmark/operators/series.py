@@ -226,12 +226,14 @@ def counter_rate(
     keys: Sequence[str],
     window_ms: int = fv.LOOKBACK_MS,
     chunk_ms: int = 3_600_000,
+    extrapolate: bool = False,
 ) -> DataFrame:
     """Adds `increase` and `rate` (per second) over the window that ends at each sample.
 
     Takes one sample per key and `ts_ms`. A drop of the counter is a restart
-    from zero. No extrapolation to the window's edges. The work runs inside
-    time chunks that repeat one window length of the chunk before.
+    from zero. With `extrapolate` the increase is carried on to the window's
+    ends (`extrapolated`); a window with one sample then has none. The work runs
+    inside time chunks that repeat one window length of the chunk before.
 
     A sliding frame would go over a window's samples again for every row.
     Instead each sample also puts a probe at the start of its window, and one
@@ -244,7 +246,10 @@ def counter_rate(
     step = F.when(F.col("value") >= previous, F.col("value") - previous).otherwise(F.col("value"))
     climbed = cut.withColumn(
         "_step", F.when(previous.isNull(), F.lit(0.0)).otherwise(step)
-    ).withColumn("_climb", F.sum("_step").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ).withColumns({
+        "_climb": F.sum("_step").over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        "_no": F.row_number().over(order),
+    })
 
     sample = F.struct(F.col("ts_ms").alias("at"), F.lit(False).alias("is_probe"))
     probe = F.struct((F.col("ts_ms") - window_ms).alias("at"), F.lit(True).alias("is_probe"))
@@ -255,15 +260,48 @@ def counter_rate(
     back = Window.partitionBy(*keys, "_chunk").orderBy(F.col("_place.at").desc(), is_probe).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    first = F.last(F.when(~is_probe, F.col("_climb")), ignorenulls=True).over(back)
+    at_start = F.struct("_climb", "_no", "ts_ms", "value")
+    first = F.last(F.when(~is_probe, at_start), ignorenulls=True).over(back)
+    seen = placed.withColumn("_first", first).where(is_probe)
+    climb = F.col("_climb") - F.col("_first._climb")
+    if extrapolate:
+        climb = extrapolated(
+            climb, F.col("_no") - F.col("_first._no") + 1, F.col("_first.ts_ms"), F.col("ts_ms"), F.col("_first.value"),
+            F.col("ts_ms") - window_ms, F.col("ts_ms"),
+        )
     return (
-        placed.withColumn("increase", F.col("_climb") - first)
-        .where(is_probe)
+        seen.withColumn("increase", climb)
         .withColumn("rate", F.col("increase") / (window_ms / 1000.0))
-        .drop("_chunk", "_halo", "_step", "_climb", "_place")
+        .drop("_chunk", "_halo", "_step", "_climb", "_place", "_no", "_first")
     )
 
 
+#: Fixed value: a gap at an end of the window up to so many mean spacings is taken as covered by the series.
+COVERED_SPACINGS = 1.1
+
+
+def extrapolated(
+    climb: Column, n: Column, first_ms: Column, last_ms: Column, first_value: Column, start_ms: Column, end_ms: Column
+) -> Column:
+    """A counter's climb between its first and last sample, carried on to the ends of a window.
+
+    An end that lies within `COVERED_SPACINGS` mean spacings of a sample is
+    reached; towards one farther off, the series is taken to go on for half a
+    spacing. Backwards a counter goes no farther than to where it would have
+    been zero. Null for fewer than two samples.
+    """
+    length = (last_ms - first_ms).cast("double")
+    spacing = length / (n - 1)
+
+    def reach(gap: Column) -> Column:
+        gap = gap.cast("double")
+        return F.when(gap >= spacing * COVERED_SPACINGS, spacing / 2).otherwise(gap)
+
+    to_zero = F.when((climb > 0) & (first_value >= 0), length * (first_value / climb))
+    back = F.least(reach(first_ms - start_ms), to_zero)  # a null to_zero is no limit
+    return F.when((n > 1) & (length > 0), climb * (length + back + reach(end_ms - last_ms)) / length)
+
+
 def last_per_step(
     samples: DataFrame, keys: Sequence[str], start_ms: int, end_ms: int,
     step_ms: int = fv.RULE_STEP_MS, lookback_ms: int = fv.LOOKBACK_MS,

@@ -6,16 +6,18 @@ import time
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark import fixed_values as fv
 from rillmark.functions.times import run_date_parts
-from rillmark.operators import alerts, changes, quality, series
+from rillmark.operators import alerts, batches, changes, quality, series
 from rillmark.sinks import bronze, state
 from rillmark.sources import feed as feeds
 from rillmark.sources.catalog import missing_partitions, partitions
+from rillmark.sources.schema_ledger import SchemaLedger
 from rillmark.spec import TableSpec
 
 
@@ -31,8 +33,11 @@ class RunConfig:
     lookback_ms: int = 0
     freshness_limit_s: int = fv.FRESHNESS_LIMIT_S
     freshness_blocks: bool = False
-    ties: tuple[str, ...] = ()
+    #: Columns that order events of one millisecond; `seq` where the feed has it, unless given.
+    ties: tuple[str, ...] | None = None
     seq_path: str | None = None
+    #: Deletes are stored as rows with only their key, for a state that knows of them.
+    keep_deletes: bool = False
     dashboard_url: str = ""
     #: A mark that cannot be read fails the run; this reads the whole history instead.
     backfill_unreadable_mark: bool = False
@@ -59,34 +64,14 @@ class _Steps:
         self.name = name
 
 
-def batch_rows(new: DataFrame, spec: TableSpec, ties: tuple[str, ...] = ()) -> DataFrame:
-    """The rows a batch stores: newest version per key, in the declared types.
+def batch_rows(
+    new: DataFrame, spec: TableSpec, ties: tuple[str, ...] = (), keep_deletes: bool = False
+) -> DataFrame:
+    """The rows a batch stores: newest version per key, in the declared types, with what orders them.
 
-    Rows without a whole key are not versions of each other and are left to
-    `rejected_rows`.
+    Rows without a whole key are not versions of each other; they are left out.
     """
-    flat = changes.with_declared_keys(changes.flatten(changes.storable(new), ties), spec)
-    rows, _ = changes.split_null_keys(flat, spec.pk)
-    newest = changes.latest_per_key(rows, spec.pk, changes.newest_first(spec.ts_col, ties))
-    return changes.conform(newest, spec.stored_schema()).drop("n_bad", *ties)
-
-
-def rejected_rows(new: DataFrame, spec: TableSpec) -> DataFrame:
-    """Storable events without a whole key of the declared types."""
-    flat = changes.with_declared_keys(changes.flatten(changes.storable(new)), spec)
-    return changes.split_null_keys(flat, spec.pk)[1]
-
-
-def batch_profile(new: DataFrame, spec: TableSpec) -> DataFrame:
-    """Every figure of a batch in one scan, before filters and dedup can hide faults."""
-    seen = new.select(
-        *[F.col(f"after.{k}").alias(k) for k in spec.pk],
-        F.col("ts_ms").alias(spec.ts_col),
-        F.col("op").alias(spec.op_col),
-        F.col("after").isNotNull().alias("_has_row"),
-    )
-    keyed = changes.with_declared_keys(seen, spec)
-    return quality.batch_profile(keyed, spec.pk, spec.op_col, spec.ts_col, only=F.col("_has_row"))
+    return batches.per_key(new, spec, ties, keep_deletes).where(F.col("row").isNotNull()).select("row.*")
 
 
 def run_table(
@@ -94,8 +79,10 @@ def run_table(
 ) -> dict:
     """Processes one table; returns its outcome row.
 
-    Two passes over the new events: one aggregate for all checks and counts,
-    one write. Only single-row results come to the driver.
+    Two passes over the events: one aggregate for all checks and counts, late
+    events and misfits among them, and one write. Only single-row results come
+    to the driver. A run that ended between its write and its mark is found by
+    what it noted before the write; the next run then replaces its rows.
     """
     step = _Steps()
     out = {
@@ -112,35 +99,44 @@ def run_table(
 
         step("scan")
         since = None if mark is None else mark - config.lookback_ms
-        status, feed, error = feeds.try_scan(
-            spark, f"{config.raw_root}/{spec.name}", fmt=config.fmt, since_ms=since
-        )
+        root = f"{config.raw_root}/{spec.name}"
+        status, feed, error = feeds.try_open(spark, root, fmt=config.fmt, since_ms=since)
         if feed is None:
             out.update(status=status, message=error or None)
             return out
-        new = changes.newer_than(feed, mark, config.lookback_ms)
+        if config.fmt == "parquet":
+            # Under the columns of all files, not of whichever Spark looks at first.
+            ledger = SchemaLedger(spark, config.path("columns"), spec.name)
+            ledger.update(root)
+            feed = feeds.scan_change_log(spark, root, config.fmt, ledger.schema(), since)
         ties = config.ties
         if config.seq_path:
-            new, ties = changes.with_sequence(new, config.seq_path), (*ties, "seq")
+            feed, ties = changes.with_sequence(feed, config.seq_path), (*(ties or ()), "seq")
+        elif ties is None:
+            ties = ("seq",) if "seq" in feed.columns else ()
 
         step("profile")
-        found = batch_profile(new, spec)
-        profile = spark.createDataFrame(found.collect(), found.schema)
-        figures = profile.first()
-        if figures["feed_newest_ms"] is None:
-            out["status"] = "no_new_events"
+        grouped = batches.per_key(feed, spec, ties, config.keep_deletes, since, only_new=True)
+        found = grouped.agg(*batches.batch_figures(spec))
+        try:
+            figures = batches.filled(found.first().asDict())
+        except (PySparkException, Py4JJavaError) as fault:
+            # What Spark says of a file it cannot read reaches Python in either form.
+            out.update(status=feeds.UNREADABLE, message=str(fault).splitlines()[0])
+            return out
+        if not figures["taken"] or figures["feed_newest_ms"] is None:
+            out["status"] = "no_new_events" if figures["events"] else feeds.EMPTY
             return out
         report = quality.as_change_log(
             quality.graded(
-                quality.standard_checks(profile, spec.pk, run_ms, config.freshness_limit_s)
+                quality.standard_checks(
+                    batches.profile_row(spark, spec, figures), spec.pk, run_ms, config.freshness_limit_s
+                )
             )
         )
-        out["rows_read"] = figures["total"]
-        if mark is not None:
-            late = changes.late_events(feed, mark - config.lookback_ms)
-            out["rows_late"] = late.count()
-        out["values_misfit"] = misfit_values(new, spec, ties)
-        out["rows_rejected"] = figures["total"] - figures["keyed_rows"]
+        out["rows_read"], out["rows_late"] = figures["total"], figures["late"]
+        out["values_misfit"] = figures["misfits"]
+        out["rows_rejected"] = figures["unkeyed"]
         out["rows_deduped"] = figures["storable_keys"]
         if figures["total"]:
             step("checks")
@@ -163,19 +159,23 @@ def run_table(
                 out["status"] = "gate_failed"
                 return out
 
-            step("write")
-            path = f"{config.bronze_root}/{spec.name}"
-            rows = batch_rows(new, spec, ties).withColumns(run_date_parts(run_ms))
-            bronze.append(rows, path)
-            # One row per storable key was written; the key count is exact even
-            # when tasks ran twice, unlike a counter kept while writing.
-            out["rows_written"] = figures["storable_keys"]
-
-            written = path
         else:
-            written = None
             out["status"] = "only_deletes"
 
+        written = None
+        if figures["written"]:
+            step("write")
+            written = f"{config.bronze_root}/{spec.name}"
+            batch_id, again = state.begin_write(spark, config.path("begun"), spec.name, mark, run_ms)
+            new = changes.newer_than(feed, mark, config.lookback_ms)
+            rows = batch_rows(new, spec, ties, config.keep_deletes).withColumns(
+                {fv.BATCH_COL: F.lit(batch_id).cast("long"), **run_date_parts(run_ms)}
+            )
+            bronze.append_batch(rows, written, batch_id, config.path(f"staging/{spec.name}"), again)
+            # One row per key was written; the key count is exact even when
+            # tasks ran twice, unlike a counter kept while writing.
+            out["rows_written"] = figures["written"]
+
         step("save_mark")
         # Over all events read: a delete moves the mark on too.
         newest = figures["feed_newest_ms"]
@@ -199,12 +199,6 @@ def run_table(
         out["duration_s"] = time.monotonic() - began
 
 
-def misfit_values(new: DataFrame, spec: TableSpec, ties: tuple[str, ...] = ()) -> int:
-    """Values that do not fit their declared types, keys among them; they are stored as nulls or rejected."""
-    flat = changes.flatten(changes.storable(new), ties)
-    return changes.conform(flat, spec.stored_schema()).agg(F.coalesce(F.sum("n_bad"), F.lit(0))).first()[0]
-
-
 def registered(spark: SparkSession, database: str, table: str, path: str, run_ms: int) -> tuple[bool, str | None]:
     """Whether the run's partition is in the catalog now, and why not."""
     day = spark.range(1).select(*[c.alias(n) for n, c in run_date_parts(run_ms).items()])
@@ -227,7 +221,7 @@ def run_all(
     """
     outcomes = []
     specs = list(specs)
-    streaks = _failure_counts(spark, config, [spec.name for spec in specs], run_ms)
+    streaks = failure_counts_of(spark, config, [spec.name for spec in specs], run_ms)
     for spec in specs:
         so_far = streaks.get(spec.name, 0)
         try:
@@ -244,7 +238,7 @@ def run_all(
         )
         outcomes.append(outcome)
     state.save_outcomes(spark, config.path("outcomes"), outcomes, run_ms)
-    _report(spark, outcomes, config, run_ms)
+    report_runs(spark, outcomes, config, run_ms)
     return outcomes
 
 
@@ -267,7 +261,7 @@ def failure_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def _failure_counts(spark: SparkSession, config: RunConfig, tables: list[str], run_ms: int) -> dict[str, int]:
+def failure_counts_of(spark: SparkSession, config: RunConfig, tables: list[str], run_ms: int) -> dict[str, int]:
     """Each table's count from its last outcome: recent log days first, then all of them."""
     found: dict[str, int] = {}
     for since in (run_ms - fv.OUTCOME_DAYS * 86_400_000, None):
@@ -310,7 +304,8 @@ def run_gauges(spark: SparkSession, outcomes: list[dict], run_ms: int) -> DataFr
     return series.gauges_long(wide, gauges, labels, F.lit(run_ms))
 
 
-def _report(spark: SparkSession, outcomes: list[dict], config: RunConfig, run_ms: int) -> None:
+def report_runs(spark: SparkSession, outcomes: list[dict], config: RunConfig, run_ms: int) -> None:
+    """Gauges, crash events and freshness events of some table runs."""
     state.append_rows(run_gauges(spark, outcomes, run_ms), config.path("metrics"), run_ms)
     fields = [
         (o["table"], o["status"], o.get("failed_step"), o.get("exception"), o.get("message"),

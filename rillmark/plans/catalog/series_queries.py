@@ -14,7 +14,7 @@ from rillmark.plans.catalog.inputs import (
     CONNECTOR, DAY_MS, END_MS, MARK_MS, MS_SQL, READINGS_SQL, RUN_METRICS_SQL, SINK_GROUP, START_MS,
     WORKER, Query, instant_sql, read, readings, run_metrics,
 )
-from rillmark.spec import default_rules
+from rillmark.spec import RuleSpec, Selector, default_rules
 
 AT = MARK_MS
 BACK = 6 * 3_600_000
@@ -184,6 +184,13 @@ def rate(window_ms: int, chunk_ms: int):
     return run
 
 
+def rate_extrapolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates over two hours, carried on to the start of the window."""
+    found = series.counter_rate(counter(spark, sf_dir), ["event_type"], 2 * HOUR, 4 * HOUR, extrapolate=True)
+    per_minute = F.round(F.col("rate") * 60, 6).alias("per_minute")
+    return found.select("event_type", "ts_ms", F.round("increase", 6).alias("increase"), per_minute)
+
+
 def _breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = read(spark, sf_dir, "events").select(
         "event_type", epoch_ms(F.col("ts")).alias("ts_ms"), "value"
@@ -286,6 +293,28 @@ ctr AS (SELECT event_type, ts_ms, CAST(CAST(sum(n) OVER (PARTITION BY event_type
   AS BIGINT) % 500 AS DOUBLE) AS value FROM n)"""
 
 
+SHARE = "Share of all lag"
+BROKEN = (
+    RuleSpec("No such fold", Selector("kafka_brokers"), "lt", 1.0, 0, fold="median", on_error="Alerting"),
+    RuleSpec("No such comparison", Selector("kafka_brokers"), "below", 1.0, 0),
+    # Two groups read a topic, so there is no one divisor.
+    RuleSpec(
+        SHARE, Selector("kafka_consumergroup_lag"), "gt", 1.0, 0, subject="ratio",
+        divisor=Selector("kafka_consumergroup_lag"), by=("topic",), on_error="Alerting",
+    ),
+)
+
+
+def rule_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All standard rules beside three that fail: two as a whole, one at some steps."""
+    both = (*RULES, *BROKEN)
+    found = rules.with_state(
+        rules.evaluate_isolated(run_metrics(spark, sf_dir), both, START_MS, END_MS, STEP, LOOK), both, STEP
+    )
+    failed = F.col("error").isNotNull().alias("failed")
+    return found.groupBy("rule", "data_state", "breach", "state", failed).agg(F.count(F.lit(1)).alias("steps"))
+
+
 def _rate_sql(window_ms: int) -> str:
     return f"""WITH {COUNTER_SQL},
     d AS (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY ts_ms) AS p FROM ctr),
@@ -297,6 +326,24 @@ def _rate_sql(window_ms: int) -> str:
       round(increase / {window_ms / 1000.0} * 60, 6) AS per_minute FROM i"""
 
 
+def _extrapolated_sql(window_ms: int) -> str:
+    return f"""WITH {COUNTER_SQL},
+    d AS (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY ts_ms) AS p FROM ctr),
+    c AS (SELECT event_type, ts_ms, value, sum(CASE WHEN p IS NULL THEN 0 WHEN value >= p THEN value - p
+      ELSE value END) OVER (PARTITION BY event_type ORDER BY ts_ms) AS climb FROM d),
+    i AS (SELECT event_type, ts_ms, climb - first_value(climb) OVER w AS climb, count(*) OVER w AS n,
+      first_value(ts_ms) OVER w AS first_ms, first_value(value) OVER w AS first_value FROM c
+      WINDOW w AS (PARTITION BY event_type ORDER BY ts_ms RANGE BETWEEN {window_ms} PRECEDING AND CURRENT ROW)),
+    g AS (SELECT *, CAST(ts_ms - first_ms AS DOUBLE) AS length, (ts_ms - first_ms) / nullif(n - 1, 0)::DOUBLE AS spacing,
+      first_ms - (ts_ms - {window_ms}) AS gap FROM i),
+    r AS (SELECT *, CASE WHEN gap >= spacing * 1.1 THEN spacing / 2 ELSE gap END AS back,
+      CASE WHEN climb > 0 AND first_value >= 0 THEN length * (first_value / climb) END AS to_zero FROM g),
+    e AS (SELECT event_type, ts_ms,
+      CASE WHEN n > 1 THEN climb * (length + least(back, coalesce(to_zero, back))) / length END AS increase FROM r)
+    SELECT event_type, ts_ms, round(increase, 6) AS increase, round(increase / {window_ms / 1000.0} * 60, 6) AS per_minute
+    FROM e"""
+
+
 def _fold_sql(fold: str) -> str:
     return f"""WITH {VEC} SELECT event_type, round(CAST({fold}(value) AS DOUBLE), 6) AS value
     FROM vec GROUP BY event_type"""
@@ -483,6 +530,7 @@ QUERIES = {
     ),
     "rate_5m": Query(rate(300_000, HOUR), _rate_sql(300_000)),
     "rate_2h": Query(rate(2 * HOUR, 4 * HOUR), _rate_sql(2 * HOUR)),
+    "rate_extrapolated": Query(rate_extrapolated, _extrapolated_sql(2 * HOUR)),
     "sustained_for": Query(sustained_for, _sustained_sql(2 * HOUR)),
     "sustained_with_gaps": Query(sustained_with_gaps, _sustained_sql(HOUR, HOUR // 2)),
     "breach_runs": Query(
@@ -511,6 +559,21 @@ QUERIES = {
         f"""WITH {RULES_SQL} SELECT rule, data_state, breach, count(*) AS steps FROM evaluated
         GROUP BY 1, 2, 3""",
     ),
+    "rule_errors": Query(
+        rule_errors,
+        f"""WITH {RULES_SQL},
+        shares AS (SELECT kept, tick_ms, count(*) > 1 AS failed FROM at_tick WHERE rule = '{_N[1]}' GROUP BY 1, 2
+          HAVING count(*) > 1 OR max(value) <> 0),
+        every AS (
+          SELECT rule, data_state, breach, state, FALSE AS failed FROM stated
+          UNION ALL SELECT 'No such fold', 'Error', TRUE, 'firing', TRUE FROM ticks
+          UNION ALL SELECT 'No such comparison', 'Error', FALSE, 'error', TRUE FROM ticks
+          UNION ALL SELECT '{SHARE}', CASE WHEN failed THEN 'Error' ELSE 'ok' END, failed,
+            CASE WHEN failed THEN 'firing' ELSE 'normal' END, failed FROM shares
+          UNION ALL SELECT '{SHARE}', 'NoData', FALSE, 'normal', FALSE FROM ticks
+            WHERE tick_ms NOT IN (SELECT tick_ms FROM shares))
+        SELECT rule, data_state, breach, state, failed, count(*) AS steps FROM every GROUP BY 1, 2, 3, 4, 5""",
+    ),
     "rule_transitions": Query(
         rule_changes,
         f"""WITH {RULES_SQL}, f AS (SELECT *, state = 'firing' AS fi,

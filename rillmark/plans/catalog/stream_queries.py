@@ -5,6 +5,8 @@ Each stream writes to the shared folder and the query returns what it wrote.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +14,15 @@ from rillmark.functions.text import dedup_key
 from rillmark.functions.times import epoch_ms
 from rillmark.plans.catalog.alert_queries import incident_sql
 from rillmark.plans.catalog.change_queries import QUERIES as CHANGES
-from rillmark.plans.catalog.inputs import ALERTS_SQL, END_MS, MS_SQL, Query, event_op, read
+from rillmark.plans.catalog.inputs import (
+    ALERTS_SQL, DAY_MS, END_MS, FEED_SQL, MS_SQL, START_MS, Query, event_feed, event_op, read, user_alerts,
+)
 from rillmark.plans.catalog.series_queries import island_sql
 from rillmark.session import shared_dir
+from rillmark.sinks import bronze, state
+from rillmark.sources import catalog
 from rillmark.spec import TableSpec
-from rillmark.streaming import batched, ingest
+from rillmark.streaming import batched, ingest, timed
 
 USERS = TableSpec("users", ("user_id",), "user_id BIGINT, event_id BIGINT, value DOUBLE, props STRING")
 HOUR = 3_600_000
@@ -103,7 +109,104 @@ def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batched.output(spark, root, batched.NOTIFY_OUTPUT)
 
 
+SLICES = 4
+#: `event_id` declared too narrow: every larger one is a misfit.
+NARROW = TableSpec("users", ("user_id",), "user_id BIGINT, event_id TINYINT, value DOUBLE, props STRING")
+
+
+def _sliced(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The change feed as a stream of files, one slice of all events after another; times overlap."""
+    feed = event_feed(spark, sf_dir)
+    for n in range(SLICES):
+        feed.where(F.col("seq") % SLICES == n).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return ingest.file_stream(spark, f"{root}/in", feed.schema, files_per_trigger=1)
+
+
+def stream_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each micro-batch of a stream into bronze reports of itself."""
+    root = shared_dir(spark, "stream-outcomes")
+    write = ingest.bronze_writer(NARROW, f"{root}/bronze", f"{root}/state", lambda: END_MS)
+    _finish(ingest.keep_bronze(_sliced(spark, sf_dir, root), write, f"{root}/checkpoint", once=True))
+    return state.log_rows(spark, f"{root}/state/outcomes", state.OUTCOME_SCHEMA).select(
+        "batch_id", "status", "rows_read", "rows_late", "values_misfit", "rows_rejected", "rows_deduped",
+        "rows_written", "mark_state", "mark_saved", "mark_ms", "dq_passed",
+    )
+
+
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed bronze as SQL sees it: rows of each day that the catalog lists."""
+    root = shared_dir(spark, "catalog-roundtrip")
+    database = f"streamed_{uuid.uuid4().hex}"
+    bronze.create_database(spark, database, f"{root}/bronze")
+    bronze.create_tables(spark, database, f"{root}/bronze", [USERS])
+    write = ingest.bronze_writer(USERS, f"{root}/bronze/users", f"{root}/state", lambda: END_MS, database=database)
+    _finish(ingest.keep_bronze(_sliced(spark, sf_dir, root), write, f"{root}/checkpoint", once=True))
+    rows = spark.table(f"{database}.users").groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("user_id").alias("users"), F.max("event_id").alias("last_event")
+    )
+    listed = catalog.partitions(spark, database, "users")
+    return listed.join(rows, ["year", "month", "day"], "left").select(
+        *[F.col(c).cast("long").alias(c) for c in ("year", "month", "day")], "rows", "users", "last_event"
+    )
+
+
+def _alert_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Alerts as a stream of files of about six days each; every third one comes in up to two hours late.
+
+    One alert long after all others ends the stream's time, so nothing waits for the watermark any more.
+    """
+    alerts = user_alerts(spark, sf_dir).select(
+        dedup_key(F.col("table"), F.col("error_type")).alias("dedup_key"), "event_action", "ts_ms", "seq"
+    )
+    arrives = F.floor((F.col("ts_ms") - START_MS + F.col("seq") % 3 * HOUR) / (6 * DAY_MS))
+    for n in range(6):
+        alerts.where(F.least(arrives, F.lit(5)) == n).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    last = spark.createDataFrame([("end", "trigger", END_MS + 30 * DAY_MS, 0)], alerts.schema)
+    last.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return ingest.file_stream(spark, f"{root}/in", alerts.schema, files_per_trigger=1)
+
+
+def stream_incidents_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents closed by a resolve, from the state store and its timers, over files with late events."""
+    root = shared_dir(spark, "stream-timed")
+    closed = timed.incidents(_alert_files(spark, sf_dir, root), ttl_ms=365 * DAY_MS, late="3 hours")
+    _finish(
+        closed.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    )
+    return spark.read.schema(batched.INCIDENT_OUTPUT).parquet(f"{root}/out")
+
+
+STORED_SQL = f"""{FEED_SQL},
+  batches AS (SELECT *, event_id % {SLICES} AS batch_id FROM feed),
+  newest AS (SELECT * FROM (SELECT *, row_number() OVER (
+      PARTITION BY batch_id, user_id ORDER BY ts_ms DESC, event_id DESC) AS rank FROM batches) WHERE rank = 1)"""
+
 QUERIES = {
+    "stream_outcomes": Query(
+        stream_outcomes,
+        f"""WITH {STORED_SQL},
+        marks AS (SELECT batch_id, max(ts_ms) AS newest FROM batches GROUP BY 1),
+        before AS (SELECT batch_id, newest, max(newest) OVER (ORDER BY batch_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM marks)
+        SELECT b.batch_id, 'ok' AS status, count(*) FILTER (op <> 'd') AS rows_read,
+          count(*) FILTER (b.ts_ms <= coalesce(m.mark, -1)) AS rows_late,
+          count(*) FILTER (op <> 'd' AND b.event_id > 127) AS values_misfit, CAST(0 AS BIGINT) AS rows_rejected,
+          count(DISTINCT user_id) FILTER (op <> 'd') AS rows_deduped,
+          count(DISTINCT user_id) AS rows_written,
+          CASE WHEN m.mark IS NULL THEN 'none' ELSE 'loaded' END AS mark_state, TRUE AS mark_saved,
+          greatest(m.newest, coalesce(m.mark, m.newest)) AS mark_ms,
+          {END_MS} - max(b.ts_ms) FILTER (op <> 'd') <= 900000 AS dq_passed
+        FROM batches b JOIN before m USING (batch_id) GROUP BY b.batch_id, m.mark, m.newest""",
+    ),
+    "catalog_roundtrip": Query(
+        catalog_roundtrip,
+        f"""WITH {STORED_SQL},
+        days AS (SELECT make_timestamp(ts_ms * 1000) AS moment, * FROM newest)
+        SELECT CAST(year(moment) AS BIGINT) AS year, CAST(month(moment) AS BIGINT) AS month, CAST(day(moment) AS BIGINT) AS day,
+          count(*) AS "rows", count(DISTINCT user_id) AS users, max(CASE WHEN op <> 'd' THEN event_id END) AS last_event
+        FROM days GROUP BY 1, 2, 3""",
+    ),
     "stream_cdc": Query(stream_cdc, CHANGES["current_state_deletes"].sql),
     "stream_landing": Query(
         stream_landing,
@@ -116,6 +219,11 @@ QUERIES = {
         f"""WITH {ALERTS_SQL}, {incident_sql('dedup_key')}
         SELECT dedup_key, opened_ms, resolved_ms, triggers, state FROM pairs WHERE state = 'resolved'""",
     ),
+    "stream_incidents_timed": Query(
+        stream_incidents_timed,
+        f"""WITH {ALERTS_SQL}, {incident_sql('dedup_key')}
+        SELECT dedup_key, opened_ms, resolved_ms, triggers, state FROM pairs WHERE state = 'resolved'""",
+    ),
     "stream_sustained": Query(
         stream_sustained,
         f"""WITH {island_sql()} SELECT event_type AS series, start_ms AS active_since_ms,

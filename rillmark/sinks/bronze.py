@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillmark import fixed_values as fv
+from rillmark.sinks.storage import folders, remove
 from rillmark.sources.catalog import missing_partitions, partitions, table_exists
 from rillmark.spec import TableSpec
 
@@ -72,6 +76,43 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = fv.DATE_PAR
     )
 
 
+def append_batch(
+    rows: DataFrame, path: str, batch_id: int, staging: str, may_repeat: bool
+) -> None:
+    """Appends a micro-batch's rows, which carry `BATCH_COL`, to the days they belong to.
+
+    A batch that may have been written before (the first one after a restart)
+    is looked for first; if it is there, its days are rewritten without it and
+    with `rows`, so that it is stored once. Its rows are found by the column's
+    extremes in file footers.
+    """
+    if may_repeat:
+        spark, schema = rows.sparkSession, rows.schema
+        stored = written_before(spark, path, schema)
+        mine = F.col(fv.BATCH_COL) == batch_id
+        if stored is not None and not stored.where(mine).isEmpty():
+            # Written once: what is observed of `rows` counts one pass over them.
+            rows.write.mode("overwrite").parquet(f"{staging}/new")
+            new = spark.read.schema(schema).parquet(f"{staging}/new")
+            days = stored.where(mine).unionByName(new).select(*[F.col(c).alias(f"_{c}") for c in fv.DATE_PARTITIONS])
+            same_day = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in fv.DATE_PARTITIONS]
+            others = stored.where(~F.coalesce(mine, F.lit(False))).join(days.distinct(), same_day, "left_semi")
+            others.unionByName(new).write.mode("overwrite").parquet(f"{staging}/all")
+            replace_partitions(spark.read.schema(schema).parquet(f"{staging}/all"), path)
+            return
+    append(rows, path)
+
+
+def written_before(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The rows below a path, None where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def register_partition(
     spark: SparkSession, database: str, table: str, path: str, year: int, month: int, day: int
 ) -> bool:
@@ -125,12 +166,47 @@ def compact(
 
 
 def _partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> tuple[DataFrame, list[str]]:
-    """A partition's rows, and its files as they are listed now."""
-    rows = spark.read.parquet(path)
-    for column, value in values.items():
-        rows = rows.where(F.col(column) == F.lit(value))
-    found = rows.select(F.col("_metadata.file_path").alias("f")).groupBy("f").agg(F.count(F.lit(1))).collect()
-    return rows, sorted(r["f"] for r in found)
+    """A partition's rows, and its files as they are listed now; no row is read for the list.
+
+    Only the partition's own folder is listed. The rows are those of the listed
+    files, whatever arrives while they are copied.
+    """
+    folder = "/".join([path, *[f"{column}={value}" for column, value in values.items()]])
+    reader = spark.read.option("basePath", path).option("mergeSchema", "true")
+    files = sorted(reader.parquet(folder).inputFiles())
+    return reader.parquet(*files), files
+
+
+def expire(
+    spark: SparkSession, path: str, before: date, database: str | None = None, table: str | None = None
+) -> list[date]:
+    """Drops the days before a date from the catalog, then from storage; returns them.
+
+    The catalog goes first: a reader then never meets a partition without its
+    files, and a run that ends between the two is finished by the next one,
+    which finds the days by their folders.
+    """
+    old = [day for day in stored_days(spark, path) if day < before]
+    if database and table:
+        known = {date(*row) for row in partitions(spark, database, table).collect()}
+        for day in sorted(known):
+            if day < before:
+                spark.sql(
+                    f"ALTER TABLE {database}.{table} DROP IF EXISTS PARTITION "
+                    f"(year={day.year}, month={day.month}, day={day.day})"
+                )
+    for day in old:
+        remove(spark, f"{path}/year={day.year}/month={day.month}/day={day.day}")
+    return old
+
+
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """Days that have a folder, in order; no file is opened."""
+    found = []
+    for year, month, day in ((y, m, d) for y in folders(spark, path, "year") for m in folders(spark, f"{path}/year={y}", "month")
+                             for d in folders(spark, f"{path}/year={y}/month={m}", "day")):
+        found.append(date(int(year), int(month), int(day)))
+    return sorted(found)
 
 
 def compact_day(

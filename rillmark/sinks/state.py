@@ -8,9 +8,11 @@ are partitioned by UTC day: readers prune to the days they need, and
 
 from __future__ import annotations
 
+import threading
 import time
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,18 +22,27 @@ OUTCOME_SCHEMA = (
     "table string, status string, failed_step string, exception string, message string, "
     "rows_read long, rows_late long, values_misfit long, rows_rejected long, rows_deduped long, rows_written long, "
     "partition_registered boolean, mark_state string, mark_saved boolean, mark_ms long, dq_passed boolean, "
-    "consecutive_failures long, started_ms long, ts_ms long, duration_s double"
+    "consecutive_failures long, started_ms long, ts_ms long, duration_s double, batch_id long"
 )
 
 
+#: Queries of one process append to the same folders, and a commit clears what another has not committed yet.
+_ONE_AT_A_TIME = threading.RLock()
+
+
+def _append(rows: DataFrame, path: str, by: str) -> None:
+    with _ONE_AT_A_TIME:
+        rows.write.mode("append").partitionBy(by).parquet(path)
+
+
 def save_mark(spark: SparkSession, path: str, table: str, mark_ms: int, saved_ms: int | None = None) -> bool:
     """Appends a table's mark; false if that failed."""
     saved = int(time.time() * 1000) if saved_ms is None else saved_ms
     try:
         row = spark.createDataFrame([(table, int(mark_ms), saved)], MARK_SCHEMA)
-        row.coalesce(1).write.mode("append").partitionBy("table").parquet(path)
+        _append(row.coalesce(1), path, "table")
         return True
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return False
 
 
@@ -65,9 +76,32 @@ def load_mark(spark: SparkSession, path: str, table: str) -> int | None:
     return read_mark(spark, path, table)[1]
 
 
+BEGUN_SCHEMA = "table string, batch_id long, mark_ms long, saved_ms long"
+
+
+def begin_write(spark: SparkSession, path: str, table: str, mark_ms: int | None, run_ms: int) -> tuple[int, bool]:
+    """(batch id, whether it may have been written before) of a write that starts from a mark.
+
+    A write that began from the same mark never came to save the next one: its
+    number is taken again. Otherwise a new write is noted under the run's time.
+    """
+    try:
+        begun = spark.read.schema(BEGUN_SCHEMA).parquet(path).where(F.col("table") == table)
+        last = begun.orderBy(F.desc("saved_ms"), F.desc("batch_id")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    if last is not None and last["mark_ms"] == mark_ms:
+        return last["batch_id"], True
+    row = spark.createDataFrame([(table, run_ms, mark_ms, run_ms)], BEGUN_SCHEMA)
+    _append(row.coalesce(1), path, "table")
+    return run_ms, False
+
+
 def append_rows(df: DataFrame, path: str, ts_ms: int) -> None:
     """Appends metrics, messages or outcomes to the log of their day."""
-    df.withColumn("log_day", F.lit(_day(ts_ms))).write.mode("append").partitionBy("log_day").parquet(path)
+    _append(df.withColumn("log_day", F.lit(_day(ts_ms))), path, "log_day")
 
 
 def log_rows(spark: SparkSession, path: str, schema: str, since_ms: int | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,14 @@ def scan_change_log(
     return df.where(_from_day(day))
 
 
+def try_open(spark: SparkSession, path: str, **options) -> tuple[str, DataFrame | None, str]:
+    """(status, feed, error) without reading a row: a path that cannot be listed is an outcome."""
+    try:
+        return OK, scan_change_log(spark, path, **options), ""
+    except (AnalysisException, PySparkException, Py4JJavaError) as error:
+        return UNREADABLE, None, str(error).splitlines()[0]
+
+
 def try_scan(spark: SparkSession, path: str, **options) -> tuple[str, DataFrame | None, str]:
     """(status, feed, error): an unreadable or empty source is an outcome, not a crash."""
     try:

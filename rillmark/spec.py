@@ -82,7 +82,9 @@ class RuleSpec:
     `subject` says how a series value becomes the compared value: ``value`` as
     it is, ``age`` (evaluation time minus the value, in seconds) or ``ratio``
     (value divided by the `divisor` series with the same labels). `by` keeps
-    only these labels and takes `fold` over the rest; None keeps all labels.
+    only these labels and takes `fold` over the rest; None keeps all labels. A rule
+    that cannot be evaluated takes `on_error`: `Error` (a state of its own),
+    `Alerting` (a breach) or `OK`.
     """
 
     name: str
@@ -96,6 +98,7 @@ class RuleSpec:
     fold: str = "max"
     no_data: str = "NoData"
     severity: str = "error"
+    on_error: str = "Error"
 
 
 def replicated_tables() -> dict[str, TableSpec]:

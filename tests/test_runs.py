@@ -266,3 +266,41 @@ def test_compaction_refuses_a_partition_that_changes(spark, folder, monkeypatch)
     with pytest.raises(RuntimeError):
         bronze.compact_day(spark, path, folder + "/staging", 2023, 11, 14)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_a_run_repeated_after_a_fault_stores_its_rows_once(spark, folder, monkeypatch):
+    cfg = config(folder)
+    put(spark, folder, [ev("c", NOW, 1, "a"), ev("c", NOW, 2, "a")])
+    assert run_table(spark, SPEC, cfg, NOW)["status"] == "ok"
+    put(spark, folder, [ev("u", NOW + 1, 1, "b")])
+    with monkeypatch.context() as m:
+        m.setattr(state, "save_mark", lambda *a, **k: False)
+        assert run_table(spark, SPEC, cfg, NOW + 2)["status"] == "mark_failed"
+    put(spark, folder, [ev("c", NOW + 3, 3, "c")])
+    out = run_table(spark, SPEC, cfg, NOW + 86_400_000)
+    assert (out["status"], out["rows_written"]) == ("ok", 2)
+    rows = spark.read.parquet(folder + "/bronze/items").collect()
+    assert sorted((r.id, r.v) for r in rows) == [(1, "a"), (1, "b"), (2, "a"), (3, "c")]
+    assert run_table(spark, SPEC, cfg, NOW + 86_400_001)["status"] == "no_new_events"
+
+
+def test_deletes_are_stored_on_request_and_order_by_seq(spark, folder):
+    cfg = RunConfig(folder + "/raw", folder + "/bronze", folder + "/state", keep_deletes=True)
+    put(spark, folder, [ev("c", NOW, 1, "a", 1), ev("u", NOW, 1, "b", 2), ev("d", NOW, 2, None, 5), ev("c", NOW, 2, "x", 4)])
+    out = run_table(spark, SPEC, cfg, NOW)
+    assert (out["rows_read"], out["rows_deduped"], out["rows_written"]) == (3, 2, 2)
+    rows = {(r.id, r.v, r.cdc_op, r.seq) for r in spark.read.parquet(folder + "/bronze/items").collect()}
+    assert rows == {(1, "b", "u", 2), (2, None, "d", 5)}
+    put(spark, folder, [ev("d", NOW + 1, 1)])
+    assert run_table(spark, SPEC, cfg, NOW + 1)["status"] == "only_deletes"
+    assert spark.read.parquet(folder + "/bronze/items").count() == 3
+
+
+def test_a_broken_file_is_an_outcome(spark, folder):
+    cfg = config(folder)
+    put(spark, folder, [ev("c", NOW, 1, "a")])
+    (path,) = spark.read.parquet(folder + "/raw/items").inputFiles()
+    with open(path.removeprefix("file://"), "r+b") as f:
+        f.seek(4)
+        f.write(b"\xff" * 60)
+    assert run_table(spark, SPEC, cfg, NOW)["status"] == "unreadable"

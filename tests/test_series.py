@@ -187,3 +187,86 @@ def test_message_texts(spark):
         [("UniquenessConstraint(Uniqueness(List(id)))", "Empty state for analyzer X"), ("plain", None)], "c string, m string")
     got = con.select(text.failed_constraint_message(F.col("c"), F.col("m"))).collect()
     assert [r[0] for r in got] == ["Uniqueness: no rows to evaluate", "plain: no detail"]
+
+
+def plain_extrapolated(points, window):
+    """Increase over the window before each point, carried on to its start, point by point."""
+    out = []
+    for at, _ in points:
+        inside = [(t, v) for t, v in points if at - window <= t <= at]
+        if len(inside) < 2:
+            out.append(None)
+            continue
+        climb = sum(b - a if b >= a else b for (_, a), (_, b) in zip(inside, inside[1:], strict=False))
+        length = inside[-1][0] - inside[0][0]
+        spacing = length / (len(inside) - 1)
+        back = inside[0][0] - (at - window)
+        back = spacing / 2 if back >= spacing * 1.1 else back
+        if climb > 0:
+            back = min(back, length * inside[0][1] / climb)
+        out.append(climb * (length + back) / length)
+    return out
+
+
+def test_rates_carried_on_to_the_ends_of_the_window(spark):
+    import random
+
+    from rillmark.operators import series
+
+    rnd, at, value, points = random.Random(6), 1_700_000_000_000, 0.0, []
+    for _ in range(200):
+        at += rnd.choice([200, 900, 1000, 4000, 11_000])
+        value = 0.0 if rnd.random() < 0.05 else value + rnd.choice([0, 0, 1, 5])
+        points.append((at, value))
+    df = spark.createDataFrame([("s", t, v) for t, v in points], "k string, ts_ms long, value double")
+    for window in (5000, 30_000):
+        got = series.counter_rate(df, ["k"], window, 60_000, extrapolate=True).orderBy("ts_ms").collect()
+        for r, want in zip(got, plain_extrapolated(points, window), strict=True):
+            assert (r.increase is None) == (want is None)
+            assert want is None or abs(r.increase - want) < 1e-9
+
+
+def test_both_ends_and_zero_limit_an_extrapolation(spark):
+    from pyspark.sql import functions as F
+
+    from rillmark.operators.series import extrapolated
+
+    def of(*args):
+        return spark.range(1).select(extrapolated(*[F.lit(a) for a in args]).alias("x")).first()["x"]
+
+    # Ten samples a second apart, half a second from both ends.
+    assert of(9.0, 10, 500, 9500, 100.0, 0, 10_000) == 10.0
+    # Far from the start and the end: half a spacing each.
+    assert of(9.0, 10, 50_000, 59_000, 100.0, 0, 100_000) == 10.0
+    # The counter was zero a quarter of a second before its first sample.
+    assert of(9.0, 10, 500, 9500, 0.25, 0, 9500) == 9.25
+    assert of(0.0, 2, 10, 20, 3.0, 0, 30) == 0.0 and of(1.0, 1, 10, 10, 1.0, 0, 30) is None
+
+
+def test_a_rule_that_fails_leaves_the_others_alone(spark):
+    from rillmark.operators import rules
+    from rillmark.spec import RuleSpec, Selector
+
+    minute, t = 60_000, 1_700_000_040_000
+    rows = [("m", {"a": "x"}, t, 5.0), ("m", {"a": "x"}, t + minute, 5.0), ("d", {"a": "x", "b": "1"}, t, 2.0), ("d", {"a": "x", "b": "2"}, t, 3.0)]
+    df = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts_ms long, value double")
+    ratio = {"subject": "ratio", "divisor": Selector("d"), "by": ("a",)}
+    some = (
+        RuleSpec("good", Selector("m"), "gt", 1.0, 0),
+        RuleSpec("fold", Selector("m"), "gt", 1.0, 0, by=("a",), fold="median", on_error="Alerting"),
+        RuleSpec("compare", Selector("m"), "near", 1.0, 0),
+        RuleSpec("no divisor", Selector("m"), "gt", 1.0, 0, subject="ratio", on_error="OK"),
+        RuleSpec("several", Selector("m"), "gt", 1.0, 0, **ratio), RuleSpec("alarm", Selector("m"), "gt", 1.0, minute, on_error="Alerting", **ratio),
+    )
+    assert set(rules.faults(df, some)) == {"fold", "compare", "no divisor"}
+    stated = rules.with_state(rules.evaluate_isolated(df, some, t, t + minute, minute, minute), some, minute)
+    got = {(r.rule, (r.tick_ms - t) // minute): (r.data_state, r.breach, r.state, r.error is not None) for r in stated.collect()}
+    assert got == {
+        ("good", 0): ("ok", True, "firing", False), ("good", 1): ("ok", True, "firing", False),
+        ("fold", 0): ("Error", True, "firing", True), ("fold", 1): ("Error", True, "firing", True),
+        ("compare", 0): ("Error", False, "error", True), ("compare", 1): ("Error", False, "error", True),
+        ("no divisor", 0): ("ok", False, "normal", True), ("no divisor", 1): ("ok", False, "normal", True),
+        ("several", 0): ("Error", False, "error", True), ("several", 1): ("NoData", False, "normal", False),
+        ("alarm", 0): ("Error", True, "pending", True), ("alarm", 1): ("NoData", False, "normal", False),
+    }
+    assert rules.evaluate_isolated(df, some[2:3], t, t, minute).count() == 1
