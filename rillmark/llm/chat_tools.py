@@ -16,7 +16,9 @@ text, need, tool and arguments, is the call, the others are marked `repeated`
 (calls alike in all of these are not told apart: none of them is marked); a result without a call
 is `orphan`; a need that no call meets counts as none but is an error; calls
 that need each other in a circle get level -1. A message without conversation,
-turn or identifier links with nothing. Null texts are JSON nulls.
+turn or identifier links with nothing. Null texts are JSON nulls. Arguments that
+are no JSON, say NaN, repeat a name, hold half a character, a number beyond range
+or nesting over `DEEPEST`, are an error of their row and null in its record.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ def errors_in(value: Any, schema: dict, at: str = "") -> list[str]:
     """Where a value breaks a schema: type, enum, required, properties, lengths, bounds, items."""
     kinds = schema.get("type", [])
     kinds = [kinds] if isinstance(kinds, str) else kinds
-    fits = lambda k: isinstance(value, KINDS[k]) and not (isinstance(value, bool) and k in ("integer", "number"))
+    fits = lambda k: k in KINDS and isinstance(value, KINDS[k]) and not (isinstance(value, bool) and k in ("integer", "number"))
     if kinds and not any(map(fits, kinds)):
         return [f"{at or '.'}: not {' or '.join(kinds)}"]
     found = []
@@ -64,8 +66,50 @@ def errors_in(value: Any, schema: dict, at: str = "") -> list[str]:
     return found
 
 
+#: Arguments nested deeper are an error of their row.
+DEEPEST = 100
+
+
 def canonical(value: Any) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False, default=str)
+
+
+def _once(pairs: list[tuple[str, Any]]) -> dict:
+    found = dict(pairs)
+    if len(found) < len(pairs):
+        raise ValueError("a name stands twice in one object")
+    return found
+
+
+def _no_number(text: str) -> Any:
+    raise ValueError(f"{text} is no JSON")
+
+
+def _real(text: str) -> float:
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise ValueError("a number is too large")
+    return value
+
+
+def parsed(text: str) -> Any:
+    """JSON that can be written again: ValueError for what is no JSON, for names
+    that stand twice, numbers out of range, characters that no UTF-8 has, and
+    nesting over `DEEPEST`.
+    """
+    depth = deepest = 0
+    # An upper bound of the nesting, brackets in texts among them, before any recursion.
+    for sign in text:
+        depth += (sign in "[{") - (sign in "]}")
+        deepest = max(deepest, depth)
+    if deepest > DEEPEST:
+        raise ValueError("nested too deep")
+    value = json.loads(text, object_pairs_hook=_once, parse_constant=_no_number, parse_float=_real)
+    try:
+        canonical(value).encode()
+    except UnicodeEncodeError as fault:
+        raise ValueError("half a character") from fault
+    return value
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -144,7 +188,7 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         if call is not None:
             repeated = bool(r["several"]) and any(r[c] != r[f"call_{c}"] for c in ("turn", "text", "after", "tool", "arguments"))
             try:
-                arguments = json.loads(r["arguments"]) if r["arguments"] is not None else {}
+                arguments = parsed(r["arguments"]) if r["arguments"] is not None else {}
             except ValueError:
                 arguments, found = None, [".: not JSON"]
             if r["tool"] not in schemas:

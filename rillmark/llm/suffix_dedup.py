@@ -22,9 +22,10 @@ bring too many pieces together: its windows are dealt out by their own hash.
 A task settles what repeats within it before the shuffle.
 
 Defined cases: a null text is empty; texts under 50 bytes never match; a row
-without id loses nothing and covers nothing; rows that repeat an id are one
-document, so they do not cover each other, and all of them lose what the
-smallest id before them has. Anchors, whole pieces and heavy windows are
+without id loses nothing and covers nothing; rows that repeat an id and a text
+are one document, so they do not cover each other, and all of them lose what the
+smallest id before them has; rows of an id with different texts cover later
+documents and lose nothing, since spans are known by id alone. Anchors, whole pieces and heavy windows are
 compared by 64-bit hashes, other suffixes by their bytes.
 """
 
@@ -423,10 +424,20 @@ def dedup(
     many = width * B.SPREAD
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
     known = rows.where("id IS NOT NULL")
+    texts_of = known.groupBy("id").agg(F.min(F.xxhash64("body")).alias("low"), F.max(F.xxhash64("body")).alias("high"))
+    shared_ids = saved(texts_of.where("low <> high").select("id"), "shared-ids")
+    n_shared = shared_ids.count()
+
+    def of_one_text(df: DataFrame) -> DataFrame:
+        # What is found of one text must not be taken out of another of the same id.
+        if not n_shared:
+            return df
+        return df.join(F.broadcast(shared_ids) if n_shared <= BROADCAST_IDS else shared_ids, "id", "left_anti")
+
     digests = known.where(F.octet_length("body") >= SPAN).select("id", F.sha2(F.col("body").cast("binary"), 256).alias("digest"))
     groups = digests.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = saved(groups.select("digest", "first"), "text-groups")
-    copies = saved(digests.join(groups, "digest").where("id > first").select("id").distinct(), "copies")
+    copies = saved(of_one_text(digests.join(groups, "digest").where("id > first").select("id").distinct()), "copies")
     aside = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
     texts = known.where(F.octet_length("body") >= SPAN).join(aside, "id", "left_anti")
     packed = texts.mapInArrow(_anchors(many, part), B.ROW_DDL)
@@ -439,7 +450,7 @@ def dedup(
     asked = squeezed(texts).join(places, "id").select("id", "body", "places")
     met = asked.mapInArrow(_cut_pieces(heavy, many, part), B.ROW_DDL).repartition(width, "p")
     covered = saved(met.mapInArrow(_cover, "id long, span long"), "covered")
-    ranges = covered.groupBy("id").agg(F.collect_list("span").alias("spans"))
+    ranges = of_one_text(covered).groupBy("id").agg(F.collect_list("span").alias("spans"))
     marked = copies.withColumn("copy", F.lit(True)).join(ranges, "id", "full")
     ddl = "id long, body binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     marked = saved(marked, "marked")
