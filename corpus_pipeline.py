@@ -65,10 +65,16 @@ def one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id stays; one without id is in no class and stays."""
+    """Of each class of near duplicates the document with the smallest id stays.
+
+    A document without id is in no class and stays, and so do the documents of
+    an id that several have: a class is known by ids, and it may be another of
+    them that is a near duplicate.
+    """
     classes = jaccard_join.link(docs, SHINGLE_WORDS, LEAST_PERCENT)
-    gone = classes.where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
+    several = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id")
+    return docs.join(gone.join(several, "doc_id", "left_anti"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
