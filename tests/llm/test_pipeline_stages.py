@@ -31,3 +31,11 @@ def test_benchmark_text_goes_without_an_id(spark, folder):
     rows = [(None, f"x {item} y", "a"), (None, "clean", "a"), (7, item, "a"), (7, "clean too", "a"), (8, None, "a")]
     got = corpus_pipeline.without_benchmark(spark, docs_of(spark, rows), folder)
     assert Counter(tuple(r) for r in got.collect()) == Counter([(None, "clean", "a"), (7, "clean too", "a"), (8, None, "a")])
+
+
+def test_near_duplicates_of_a_shared_id_take_no_other_text_with_them(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, words, "en"), (2, words + " more", "en"), (2, "a text that is like no other one here at all", "en"), (3, words + " extra", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.one_of_near(spark, docs, "").collect())
+    assert kept == sorted((i, t) for i, t, _ in rows[:3])
