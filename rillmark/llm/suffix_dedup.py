@@ -47,8 +47,9 @@ from rillmark.llm.common import saved, shuffle_width
 SPAN = 50
 GRAM = 26
 WIDTH = SPAN - GRAM + 1  # anchor candidates in a window
-MOST_ANCHORS = 1_500_000  # kept by a task before it passes them on
+MOST_ANCHORS = 750_000  # kept by a task before it passes them on
 PART = 1 << 20
+ROWS = 512  # texts decompressed together
 BROADCAST_IDS = 1_000_000
 HEAVY_SHARE, HEAVY_LEAST = 1000, 1000
 TOGETHER = 20_000  # pieces put into suffix order together
@@ -64,13 +65,20 @@ def unsqueeze(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most `ROWS` texts: what is made of a batch's texts is held for the whole batch."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            yield whole.slice(at, ROWS)
+
+
 def squeezed(rows: DataFrame) -> DataFrame:
     """id, body: with each text compressed before it is shuffled; null stays null."""
     schema = pa.schema([("id", pa.int64()), ("body", pa.binary())])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in few_rows(batches):
             body = [None if t is None else press.compress(t.encode()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, pa.binary())], schema=schema)
 
@@ -201,7 +209,7 @@ def _cut_pieces(heavy: np.ndarray, width: int, part: int) -> Callable:
     """Pieces at shared anchors, packed by anchor; windows at heavy anchors, packed by their hash."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             wanted = batch.column(2)
             texts = pa.array([unsqueeze(z) for z in batch.column(1).to_pylist()], pa.large_binary())
@@ -388,7 +396,7 @@ RESULT = pa.schema(
 
 def _remove(with_text: bool, pressed: bool) -> Callable:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             out = []
             for i, text, copy, found in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
                 data = b"" if text is None else unsqueeze(text) if pressed else text.encode()
