@@ -1,6 +1,9 @@
 """Two rows with one id and different texts."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from rillmark.llm import line_dedup
 
@@ -19,3 +22,18 @@ def test_chunks_leave_only_their_own_text(spark, fine):
     assert sorted(r.text for r in out)[-2:] == sorted([copied, other])
     assert sorted((r.doc_id, r.n_removed_lines) for r in out)[:2] == [(1, 0), (2, 0)]
     assert [r.n_removed_lines for r in out if r.doc_id == 2 and r.text != other] == [max(r.n_removed_lines for r in out)] * 2
+
+
+def test_chunks_whose_hashes_clash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "chunk_key", lambda body: F.xxhash64(body) % 3)
+    rnd = random.Random(8)
+    passages = ["\n".join(f"{rnd.random()}" for _ in range(12)) for _ in range(6)]
+    rows = [(i, "\n".join([f"own {i}", rnd.choice(passages), f"end {i}", rnd.choice(passages)])) for i in range(40)]
+    rows += [(None, passages[0]), (None, passages[0]), (40, rows[3][1]), (40, rows[3][1])]
+    clashing = line_dedup.dedup_lines(docs_of(spark, rows)).collect()
+    monkeypatch.undo()
+    plain = line_dedup.dedup_lines(docs_of(spark, rows)).collect()
+    order = lambda r: (r.doc_id or -1, r.text, r.n_removed_lines)
+    assert sorted(clashing, key=order) == sorted(plain, key=order)
+    assert sum(r.n_removed_lines for r in plain) > 200
+    assert all(r.n_removed_lines == 0 for r in plain if r.doc_id is None)
