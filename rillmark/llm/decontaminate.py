@@ -13,8 +13,9 @@ one end mark to the postings, which gives its length without a third reading.
 
 Defined cases: null or wordless texts have no words and no hits; a test item
 without words is ignored, one without id marks words but is not listed; a
-document without id is counted but never hit, as postings need an id; rows that
-repeat an id count as one document for hits. Empty tables give empty results.
+document without id is counted but never hit, as postings need an id. Postings
+name a document by id and text, so rows that share an id only have hits of their
+own, and rows that repeat both are treated alike. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -51,6 +52,14 @@ def windows(items: DataFrame, size: int, id_col: str = "item_id", text_col: str
     )
 
 
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc (id and a digest of the text; null without id), text."""
+    text = F.col(text_col)
+    digest = F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+    named = F.struct(F.col(id_col).alias("id"), digest.alias("sum"))
+    return docs.select(F.when(F.col(id_col).isNotNull(), named).alias("doc"), text.alias("text"))
+
+
 def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int, text_col: str = "text") -> DataFrame:
     """term, n: occurrences of each wanted term in all documents."""
     tokens = docs.select(F.explode(words_and_end(F.col(text_col))).alias("term"))
@@ -139,21 +148,22 @@ def decontaminate(
 ) -> DataFrame:
     """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
     spark = docs.sparkSession
+    docs = keyed(docs, id_col, text_col)
     owned = saved(windows(items, size), "test-windows")
     phrases = owned.select("phrase").distinct()
     terms = saved(phrases.select(F.explode("phrase").alias("term")).distinct(), "test-terms")
-    counts = saved(term_counts(docs, terms, terms.count(), text_col), "term-counts")
+    counts = saved(term_counts(docs, terms, terms.count()), "term-counts")
     probes = saved(rarest(phrases, counts), "probes")
     wanted = probes.select(F.explode(F.array("a", "b")).alias("term")).where("term IS NOT NULL").distinct()
     wanted = saved(wanted.unionByName(spark.range(1).select(F.lit(END).alias("term"))), "probe-terms")
-    index = saved(postings(docs, wanted, wanted.count(), size - 1, id_col, text_col), "postings")
+    index = saved(postings(docs, wanted, wanted.count(), size - 1, "doc"), "postings")
     matches = saved(phrase_matches(index.where(F.col("term") != END), probes, probes.count()), "matches")
     named = matches.select("phrase", "doc").distinct().join(owned.where("item IS NOT NULL"), "phrase")
     listed = named.groupBy("doc").agg(F.sort_array(F.collect_set("item")).alias("items"))
     hits = covered(matches).join(listed, "doc", "left")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return index.where(F.col("term") == END).select("doc", "pos").join(hits, "doc", "left").select(
-        F.col("doc").alias(id_col),
+        F.col("doc.id").alias(id_col),
         F.col("pos").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items_of).cast("long").alias("n_items"),

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rillmark.llm import line_dedup
+from rillmark.llm import decontaminate, line_dedup
 
 
 def docs_of(spark, rows):
@@ -37,3 +37,12 @@ def test_chunks_whose_hashes_clash_are_told_apart(spark, monkeypatch):
     assert sorted(clashing, key=order) == sorted(plain, key=order)
     assert sum(r.n_removed_lines for r in plain) > 200
     assert all(r.n_removed_lines == 0 for r in plain if r.doc_id is None)
+
+
+def test_hits_belong_to_a_text(spark):
+    item = " ".join(f"w{i}" for i in range(10))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, f"before {item} after"), (1, "three clean words"), (1, f"before {item} after"), (2, "clean"), (None, item)]
+    out = decontaminate.decontaminate(docs_of(spark, rows), items).collect()
+    got = sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in out)
+    assert got == [(0, 10, 0, 0, False), (1, 3, 0, 0, False), (1, 12, 10, 1, True), (1, 12, 10, 1, True), (2, 1, 0, 0, False)]
