@@ -72,6 +72,20 @@ def few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield whole.slice(at, ROWS)
 
 
+def parts_in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each `p`, one list after the other; the rows come sorted by it, so no more than one is held."""
+    held: list[dict] = []
+    for batch in batches:
+        for at in range(batch.num_rows):
+            (row,) = batch.slice(at, 1).to_pylist()
+            if held and held[0]["p"] != row["p"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
 def squeezed(rows: DataFrame) -> DataFrame:
     """id, body: with each text compressed before it is shuffled; null stays null."""
     schema = pa.schema([("id", pa.int64()), ("body", pa.binary())])
@@ -173,20 +187,20 @@ def _shared(least: int) -> Callable:
             none = pa.nulls(n, pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(np.full(n, B.KNOWN, np.int32)), pa.array(docs), pa.array(places), none, none], schema=SHARED)
 
-        open_rows = []
-        for batch in batches:
-            for r in batch.to_pylist():
+        for found in parts_in_turn(batches):
+            open_rows = []
+            for r in found:
                 if r["kind"] == B.OPEN:
                     open_rows.append((r["a"], r["b"], r["c"], r["d"]))
                 else:
                     yield rows(B.from_planes(r["b"], np.int64), B.from_planes(r["d"], np.int32))
-        _, docs, places, keys, times = B.settle(open_rows, least)
-        yield rows(docs, places)
-        n = len(keys)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, HEAVY, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(keys.view(np.int64)), pa.array(times)],
-            schema=SHARED,
-        )
+            _, docs, places, keys, times = B.settle(open_rows, least)
+            yield rows(docs, places)
+            n = len(keys)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, HEAVY, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(keys.view(np.int64)), pa.array(times)],
+                schema=SHARED,
+            )
 
     return over
 
@@ -371,22 +385,22 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array((start << LENGTH_BITS) | length)], schema=COVERED)
 
-    met, windows = [], []
-    for batch in batches:
-        for r in batch.to_pylist():
+    join = lambda found, c, kind: np.frombuffer(b"".join(r[c] for r in found), dtype=kind)
+    for found in parts_in_turn(batches):
+        met, windows = [], []
+        for r in found:
             if r["kind"] == GONE:
                 yield rows(*(np.frombuffer(r[c], dtype=np.int64) for c in "abc"))
             elif r["kind"] == WINDOW:
                 windows.append(r)
             else:
                 met.append(r)
-    join = lambda found, c, kind: np.frombuffer(b"".join(r[c] for r in found), dtype=kind)
-    if windows:
-        key, doc, start = join(windows, "a", U64), join(windows, "b", np.int64), join(windows, "c", np.int64)
-        later = doc > _earliest(key, doc)
-        yield rows(doc[later], start[later], np.full(later.sum(), SPAN))
-    if met:
-        yield rows(*covered_windows(join(met, "a", U64), join(met, "b", np.int64), join(met, "c", PIECE), np.frombuffer(b"".join(unsqueeze(r["d"]) for r in met), np.uint8)))
+        if windows:
+            key, doc, start = join(windows, "a", U64), join(windows, "b", np.int64), join(windows, "c", np.int64)
+            later = doc > _earliest(key, doc)
+            yield rows(doc[later], start[later], np.full(later.sum(), SPAN))
+        if met:
+            yield rows(*covered_windows(join(met, "a", U64), join(met, "b", np.int64), join(met, "c", PIECE), np.frombuffer(b"".join(unsqueeze(r["d"]) for r in met), np.uint8)))
 
 
 RESULT = pa.schema(
@@ -449,14 +463,14 @@ def dedup(
     aside = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
     texts = known.where(F.octet_length("body") >= SPAN).join(aside, "id", "left_anti")
     packed = texts.mapInArrow(_anchors(many, part), B.ROW_DDL)
-    shared = saved(packed.repartition(width, "p").mapInArrow(_shared(heavy_least), SHARED_DDL), "shared-anchors")
+    shared = saved(packed.repartition(width, "p").sortWithinPartitions("p").mapInArrow(_shared(heavy_least), SHARED_DDL), "shared-anchors")
     total = shared.where(F.col("kind") == B.KNOWN).count()
     # At most heavy_share keys can have that share of the rows.
     frequent = shared.where((F.col("kind") == HEAVY) & (F.col("times") * heavy_share >= total)).select("key").distinct()
     heavy = np.array([r.key for r in frequent.collect()], dtype=np.int64).view(U64)
     places = shared.where(F.col("kind") == B.KNOWN).groupBy("id").agg(F.collect_list("place").alias("places"))
     asked = squeezed(texts).join(places, "id").select("id", "body", "places")
-    met = asked.mapInArrow(_cut_pieces(heavy, many, part), B.ROW_DDL).repartition(width, "p")
+    met = asked.mapInArrow(_cut_pieces(heavy, many, part), B.ROW_DDL).repartition(width, "p").sortWithinPartitions("p")
     covered = saved(met.mapInArrow(_cover, "id long, span long"), "covered")
     ranges = of_one_text(covered).groupBy("id").agg(F.collect_list("span").alias("spans"))
     marked = copies.withColumn("copy", F.lit(True)).join(ranges, "id", "full")
