@@ -96,7 +96,7 @@ def squeezed(rows: DataFrame) -> DataFrame:
             body = [None if t is None else press.compress(t.encode()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, pa.binary())], schema=schema)
 
-    return rows.select("id", "body").mapInArrow(over, "id long, body binary")
+    return rows.select("id", "body").mapInArrow(B.tidy(over), "id long, body binary")
 
 
 def window_hash(data: np.ndarray, n: int) -> np.ndarray:
@@ -462,16 +462,16 @@ def dedup(
     copies = saved(of_one_text(digests.join(groups, "digest").where("id > first").select("id").distinct()), "copies")
     aside = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
     texts = known.where(F.octet_length("body") >= SPAN).join(aside, "id", "left_anti")
-    packed = texts.mapInArrow(_anchors(many, part), B.ROW_DDL)
-    shared = saved(packed.repartition(width, "p").sortWithinPartitions("p").mapInArrow(_shared(heavy_least), SHARED_DDL), "shared-anchors")
+    packed = texts.mapInArrow(B.tidy(_anchors(many, part)), B.ROW_DDL)
+    shared = saved(packed.repartition(width, "p").sortWithinPartitions("p").mapInArrow(B.tidy(_shared(heavy_least)), SHARED_DDL), "shared-anchors")
     total = shared.where(F.col("kind") == B.KNOWN).count()
     # At most heavy_share keys can have that share of the rows.
     frequent = shared.where((F.col("kind") == HEAVY) & (F.col("times") * heavy_share >= total)).select("key").distinct()
     heavy = np.array([r.key for r in frequent.collect()], dtype=np.int64).view(U64)
     places = shared.where(F.col("kind") == B.KNOWN).groupBy("id").agg(F.collect_list("place").alias("places"))
     asked = squeezed(texts).join(places, "id").select("id", "body", "places")
-    met = asked.mapInArrow(_cut_pieces(heavy, many, part), B.ROW_DDL).repartition(width, "p").sortWithinPartitions("p")
-    covered = saved(met.mapInArrow(_cover, "id long, span long"), "covered")
+    met = asked.mapInArrow(B.tidy(_cut_pieces(heavy, many, part)), B.ROW_DDL).repartition(width, "p").sortWithinPartitions("p")
+    covered = saved(met.mapInArrow(B.tidy(_cover), "id long, span long"), "covered")
     ranges = of_one_text(covered).groupBy("id").agg(F.collect_list("span").alias("spans"))
     marked = copies.withColumn("copy", F.lit(True)).join(ranges, "id", "full")
     ddl = "id long, body binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -483,7 +483,7 @@ def dedup(
         touched = squeezed(rows.join(F.broadcast(ids), "id", "left_semi"))
         clean = rows.join(F.broadcast(ids), "id", "left_anti")
         bare = clean.select("id", "body", F.lit(None).cast("boolean").alias("copy"), F.lit(None).cast("array<bigint>").alias("spans"))
-        cut = touched.join(marked, "id").select("id", "body", "copy", "spans").mapInArrow(_remove(with_text, True), ddl)
-        return cut.unionByName(bare.mapInArrow(_remove(with_text, False), ddl)).withColumnsRenamed(names)
+        cut = touched.join(marked, "id").select("id", "body", "copy", "spans").mapInArrow(B.tidy(_remove(with_text, True)), ddl)
+        return cut.unionByName(bare.mapInArrow(B.tidy(_remove(with_text, False)), ddl)).withColumnsRenamed(names)
     whole = squeezed(rows).join(marked, "id", "left").select("id", "body", "copy", "spans")
-    return whole.mapInArrow(_remove(with_text, True), ddl).withColumnsRenamed(names)
+    return whole.mapInArrow(B.tidy(_remove(with_text, True)), ddl).withColumnsRenamed(names)
