@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +44,35 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_held: dict[tuple[int, str], tuple[int, str | None]] = {}
+_holding = threading.Lock()
+
+
+@contextmanager
+def holding(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the caller's session for the time of a block; its own value is back afterwards.
+
+    Blocks of several threads share it: the last one to end puts the caller's
+    value back, so none loses the setting half way.
+    """
+    name = (id(spark), key)
+    with _holding:
+        n, own = _held.get(name) or (0, spark.conf.get(key, None))
+        _held[name] = (n + 1, own)
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        with _holding:
+            n, own = _held.pop(name)
+            if n > 1:
+                _held[name] = (n - 1, own)
+            elif own is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, own)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 

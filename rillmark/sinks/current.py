@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from rillmark import fixed_values as fv
 from rillmark.operators import changes
-from rillmark.sinks.storage import exists, remove
+from rillmark.sinks.storage import exists, overwrite_partitions, remove
 from rillmark.spec import TableSpec
 
 SHARD = "shard"
@@ -124,7 +124,7 @@ class CurrentTable:
     def _write(self, rows: DataFrame) -> None:
         # Rows come bucket by bucket, so a task writes one file for each of its shards.
         names = [*_schema(self.spec, self.ties).fieldNames(), SHARD]
-        rows.select(*names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.table)
+        overwrite_partitions(rows.select(*names), self.table)
         self.spark.catalog.refreshTable(self.table)
 
 

@@ -1,8 +1,10 @@
-"""Folders of a table in whatever store its path names."""
+"""Folders and partitions of a table in whatever store its path names."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from rillmark.session import holding
 
 
 def _store(spark: SparkSession, path: str):
@@ -30,3 +32,13 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Deletes a folder with its files; false if there was none."""
     store, where = _store(spark, path)
     return bool(store.delete(where, True))
+
+
+def overwrite_partitions(rows: DataFrame, table: str) -> None:
+    """Writes rows in place of the table's partitions that they fall into; the others stay.
+
+    `insertInto` takes the overwrite mode from the session alone, not from an
+    option of the writer, and the default mode empties the whole table first.
+    """
+    with holding(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.write.mode("overwrite").insertInto(table)
