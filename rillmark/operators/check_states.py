@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from rillmark import fixed_values as fv
 from rillmark.operators import quality
 from rillmark.session import use_utc
-from rillmark.sinks.storage import exists
+from rillmark.sinks.storage import exists, overwrite_partitions
 
 DAY, BATCH = "state_day", "state_batch"
 
@@ -123,5 +123,5 @@ class CheckStates:
         return whole
 
     def _put(self, part: str, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(f"{self.table}_{part}")
+        overwrite_partitions(rows, f"{self.table}_{part}")
         self.spark.catalog.refreshTable(f"{self.table}_{part}")

@@ -22,7 +22,7 @@ def plain(spark):
         spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", ["current_state_incremental"])
+@pytest.mark.parametrize("name", ["current_state_incremental", "dq_report_from_states"])
 def test_query(plain, name):
     found = entry.queries()[name](plain, SF_DIR)
     assert difference(found, connect(SF_DIR), entry.oracle_sql()[name]) is None
