@@ -170,10 +170,13 @@ def stream_incidents_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents closed by a resolve, from the state store and its timers, over files with late events."""
     root = shared_dir(spark, "stream-timed")
     closed = timed.incidents(_alert_files(spark, sf_dir, root), ttl_ms=365 * DAY_MS, late="3 hours")
-    _finish(
+    write = (
         closed.writeStream.format("parquet").option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
     )
+    with timed.state_store(spark):
+        query = write.start()
+    _finish(query)
     return spark.read.schema(batched.INCIDENT_OUTPUT).parquet(f"{root}/out")
 
 

@@ -2,7 +2,8 @@
 
 A key's events wait in its state until the watermark has passed them, so they
 are taken in the order of their time whatever order they came in; what comes
-later than the watermark is left out, as everywhere in Structured Streaming. A
+later than the watermark is left out, as everywhere in Structured Streaming.
+Streams are started inside `state_store`, whatever store the session names. A
 timer per key stands at the next moment at which something is due: an event
 whose time has come, the end of a silence, a notification that waits. So holds,
 waits and expiries end without a further event, and a micro-batch pays for the
@@ -17,16 +18,18 @@ allowed lateness late.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import AbstractContextManager
 from dataclasses import dataclass
 from itertools import groupby
 from typing import Any, ClassVar
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from rillmark import fixed_values as fv
+from rillmark.session import STATE_STORE, holding
 from rillmark.streaming.batched import FIRING_OUTPUT, INCIDENT_OUTPUT, NOTIFY_OUTPUT
 
 State = tuple | None
@@ -232,6 +235,15 @@ class KeyedTimers(StatefulProcessor):
         """Nothing to close."""
 
 
+def state_store(spark: SparkSession) -> AbstractContextManager[None]:
+    """A block in which streams start with a state store that has several states and timers for a key.
+
+    Spark's default store has one state for a key, and the stream fails at its
+    first batch. A stream keeps the store that it was started with.
+    """
+    return holding(spark, "spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+
+
 def _run(events: DataFrame, machine: Machine, late: str) -> DataFrame:
     names = [f.split()[0] for f in machine.event.split(", ")]
     types = dict(f.split() for f in machine.event.split(", "))

@@ -9,7 +9,11 @@ import __spark_entry__ as entry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-DEFAULTS = {"spark.sql.sources.partitionOverwriteMode": "STATIC"}
+DEFAULTS = {
+    "spark.sql.sources.partitionOverwriteMode": "STATIC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
 
 
 @pytest.fixture
@@ -22,7 +26,7 @@ def plain(spark):
         spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", ["current_state_incremental", "dq_report_from_states"])
+@pytest.mark.parametrize("name", ["current_state_incremental", "dq_report_from_states", "stream_incidents_timed"])
 def test_query(plain, name):
     found = entry.queries()[name](plain, SF_DIR)
     assert difference(found, connect(SF_DIR), entry.oracle_sql()[name]) is None
