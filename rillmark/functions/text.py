@@ -84,6 +84,11 @@ def _four_digits(x: Column) -> Column:
         .when(size < 999.95, F.format_string("%.1f", x))
         .otherwise(F.format_string("%.0f", x))
     )
+    return _trimmed(shown)
+
+
+def _trimmed(shown: Column) -> Column:
+    """Without trailing zeros of the fraction."""
     return F.regexp_replace(F.regexp_replace(shown, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 
@@ -97,12 +102,20 @@ def _small(x: Column, unit: str) -> Column:
     )
 
 
-def humanize(x: Column) -> Column:
-    """Number with a metric prefix: 1234567 -> 1.235M."""
+def humanize(x: Column, largest: str | None = None) -> Column:
+    """Number with a metric prefix: 1234567 -> 1.235M.
+
+    With a `largest` prefix, larger numbers keep it and one decimal: 1234.6k.
+    """
     size = F.abs(x)
     # Metric prefixes.
     steps = ((1e12, "T"), (1e9, "G"), (1e6, "M"), (1e3, "k"), (1.0, ""))
     shown = F.when(x == 0, F.lit("0"))
+    if largest is not None:
+        steps = steps[[prefix for _, prefix in steps].index(largest):]
+        scale = steps[0][0]
+        beyond = F.concat(_trimmed(F.format_string("%.1f", x / scale)), F.lit(largest))
+        shown = shown.when(size >= 1000 * scale, beyond)
     for scale, prefix in steps:
         shown = shown.when(size >= scale, F.concat(_four_digits(x / scale), F.lit(prefix)))
     return F.when(x.isNotNull(), shown.otherwise(_small(x, "")))
