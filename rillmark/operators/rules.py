@@ -105,8 +105,9 @@ def _values(
         for r, is_divisor, s in sides
     ]
     grid = (start_ms, end_ms, step_ms, lookback_ms)
+    ties = [c for c in samples.columns if c == "seq"]
     watched = samples.where(F.col("metric").isin(*metrics)).select(
-        "metric", label_set(F.col("labels")).alias(LABEL_SET), "ts_ms", "value"
+        "metric", label_set(F.col("labels")).alias(LABEL_SET), "ts_ms", "value", *ties
     )
     last = last_per_step(watched, ["metric", LABEL_SET], *grid)
     chosen = (

@@ -1,7 +1,8 @@
 """Metric time series as DataFrames.
 
 Samples have the columns ``metric``, ``labels`` (MAP<STRING,STRING>), ``ts_ms``
-and ``value``. An instant vector has one row per series: ``metric``, ``labels``,
+and ``value``, and ``seq`` where samples have an order of their own: of several
+in one millisecond the one that came first counts. An instant vector has one row per series: ``metric``, ``labels``,
 ``value``. Labels are grouped and joined through their sorted entries.
 """
 
@@ -49,6 +50,11 @@ def matching(
     return out
 
 
+def _order(samples: DataFrame) -> Column:
+    """What the newest sample is largest by: its time and, where `seq` tells, having come first."""
+    return F.struct("ts_ms", -F.col("seq")) if "seq" in samples.columns else F.col("ts_ms")
+
+
 def instant_vector(
     samples: DataFrame, at_ms: int, lookback_ms: int = fv.LOOKBACK_MS
 ) -> DataFrame:
@@ -58,7 +64,7 @@ def instant_vector(
     sample is an aggregate that combines before the shuffle.
     """
     near = samples.where((F.col("ts_ms") <= at_ms) & (F.col("ts_ms") > at_ms - lookback_ms))
-    return _per_series(near, F.max_by("value", "ts_ms"))
+    return _per_series(near, F.max_by("value", _order(near)))
 
 
 def _per_series(samples: DataFrame, value: Column) -> DataFrame:
@@ -75,10 +81,10 @@ def reduce_series(samples: DataFrame, at_ms: int, range_ms: int, reducer: str |
 
     With several reducers, one row per series and `reducer`, from one aggregate.
     """
-    value, ts = F.col("value"), F.col("ts_ms")
+    value, ts, order = F.col("value"), F.col("ts_ms"), _order(samples)
     reducers = {
-        "last": F.max_by(value, ts),
-        "lastNotNull": F.max_by(value, F.when(value.isNotNull(), ts)),
+        "last": F.max_by(value, order),
+        "lastNotNull": F.max_by(value, F.when(value.isNotNull(), order)),
         "max": F.max(value),
         "min": F.min(value),
         "mean": F.avg(value),
@@ -315,7 +321,7 @@ def last_per_step(
     return (
         samples.where((F.col("ts_ms") > start_ms - lookback_ms) & (F.col("ts_ms") <= end_ms))
         .groupBy(*keys, tick.alias("_tick"))
-        .agg(F.max_by("value", "ts_ms").alias("value"), F.max("ts_ms").alias("_ts"))
+        .agg(F.max_by("value", _order(samples)).alias("value"), F.max("ts_ms").alias("_ts"))
     )
 
 

@@ -107,6 +107,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("labels"),
         epoch_ms(F.col("ts")).alias("ts_ms"),
         "value",
+        F.col("event_id").alias("seq"),
     )
 
 
@@ -163,9 +164,9 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                    one(F.lit("connector"), F.lit(CONNECTOR)), value * 100000)
         )
     )
-    return read(spark, sf_dir, "events").select(ms.alias("ts_ms"), chosen.alias("s")).select(
-        "s.metric", "s.labels", "ts_ms", "s.value"
-    )
+    return read(spark, sf_dir, "events").select(
+        ms.alias("ts_ms"), chosen.alias("s"), F.col("event_id").alias("seq")
+    ).select("s.metric", "s.labels", "ts_ms", "s.value", "seq")
 
 
 RUN_METRICS_SQL = f"""m AS (
