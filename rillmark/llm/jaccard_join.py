@@ -15,7 +15,11 @@ cut into groups, and two steps use the groups:
   the sum of the smaller coordinates of two points bounds the overlap from
   above. Points are packed into an R-tree, whose boxes carry the largest
   coordinates and smallest sizes, and pairs of boxes that cannot reach the
-  threshold are left out. What survives is verified on the whole sets.
+  threshold are left out. Two texts that share many keys meet in many blocks;
+  a block leaves a pair to an earlier one that it can tell both are in. What
+  survives is first held against a part of both sets (SLICE of the 64 groups),
+  whose overlap with the other coordinates is a closer bound, and only what
+  is left is verified on the whole sets.
 
 An R-tree over all points by itself gives right results too, but random texts
 lie closer in 64 dimensions than boxes can tell apart, so it compares nearly all
@@ -40,7 +44,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmark.llm import bytes_np as B
@@ -55,7 +59,8 @@ LOWER[65:91] += 32
 MOST_KEYS = 1_500_000  # kept by a task before it passes them on
 DIMENSIONS = 64
 LEAF, FANOUT, SMALL = 256, 16, 4096
-MOST_PAIRS = 500_000  # kept by a task before it passes them on
+SLICE = 16  # groups of a point whose shingles are compared before whole sets are
+BEFORE = 8  # earlier blocks of a member that a block knows of
 NODE = "kind int, id long, n long, d1 long, d2 long, key long"
 NODE_ARROW = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("id", "n", "d1", "d2", "key"))])
 # Sets of this many ids are looked up by a broadcast; beyond it by a shuffle.
@@ -199,9 +204,35 @@ def _counts(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes & U64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """id, hashes (sorted, packed), point (counts, packed), n: of the wanted ids."""
-    schema = pa.schema([("id", pa.int64()), ("hashes", pa.binary()), ("point", pa.binary()), ("n", pa.int64())])
+def _slice(hashes: np.ndarray) -> np.ndarray:
+    """Half of each hash that falls into the first SLICE groups, in order."""
+    return (hashes[(hashes & U64(DIMENSIONS - 1)) < U64(SLICE)] >> U64(32)).astype(np.uint32)
+
+
+def wanted_rows(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, body of the wanted ids."""
+    ids = saved(ids, "wanted-ids")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body")).join(wanted, "id", "left_semi")
+
+
+def sets_of(rows: DataFrame, k: int) -> DataFrame:
+    """id, hashes (sorted, packed) of rows (id, body)."""
+    schema = pa.schema([("id", pa.int64()), ("hashes", pa.binary())])
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                sets = shingle_sets(part.column(1), k)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+
+    return saved(rows.mapInArrow(over, "id long, hashes binary"), "sets")
+
+
+def outlines_of(rows: DataFrame, k: int) -> DataFrame:
+    """id, slice (packed), point (counts, packed), n of rows (id, body): what bounds an overlap."""
+    schema = pa.schema([("id", pa.int64()), ("slice", pa.binary()), ("point", pa.binary()), ("n", pa.int64())])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,16 +241,13 @@ def sets_of(docs: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str)
                 sets = shingle_sets(part.column(1), k)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
+                        part.column(0), pa.array([_slice(s).tobytes() for s in sets], pa.binary()),
                         pa.array([_counts(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                     ],
                     schema=schema,
                 )
 
-    ids = saved(ids, "wanted-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body")).join(wanted, "id", "left_semi")
-    return saved(rows.mapInArrow(over, "id long, hashes binary, point binary, n long"), "sets")
+    return saved(rows.mapInArrow(over, "id long, slice binary, point binary, n long"), "outlines")
 
 
 def reaches(shared, a, b, percent: int):
@@ -227,36 +255,70 @@ def reaches(shared, a, b, percent: int):
     return 100 * shared >= percent * (a + b - shared)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold; `pairs` is a written table.
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two sorted arrays have in common; values that an array repeats may count more often."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
 
-    Where the pairs are few enough to be sent to all tasks, only sets that stand
+def _beside(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """a, b and for each column `c` of rows (by id) `c` of a and `c_b` of b; `pairs` is a written table.
+
+    Where the pairs are few enough to be sent to all tasks, only rows that stand
     in a pair move, and the first of a pair moves once.
     """
     few = pairs.count() <= BROADCAST_IDS
     near = F.broadcast(pairs) if few else pairs
-    one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"), F.col("point").alias("left_point"), F.col("n").alias("na"))
-    two = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"), F.col("point").alias("right_point"), F.col("n").alias("nb"))
+    one = rows.select(F.col("id").alias("a"), *columns)
+    two = rows.select(F.col("id").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     if few:
         two = two.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    return one.join(near, "a").join(two, "b")
+
+
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def bounded(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose slices and points leave it open whether they reach the threshold.
+
+    The overlap is at most that of the slices, whose half hashes can only make
+    it larger, and the smaller coordinates of all other groups.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for left, right, lp, rp in zip(*(batch.column(c) for c in ("left", "right", "left_point", "right_point")), strict=True):
-                x, y = np.frombuffer(left.as_py(), dtype=U64), np.frombuffer(right.as_py(), dtype=U64)
-                p, q = np.frombuffer(lp.as_py(), dtype=np.int32), np.frombuffer(rp.as_py(), dtype=np.int32)
-                bound = int(np.minimum(p, q).sum())
-                ok = reaches(bound, len(x), len(y), percent)
+            for left, right, lp, rp, na, nb in zip(*(batch.column(c) for c in ("slice", "slice_b", "point", "point_b", "n", "n_b")), strict=True):
+                p, q = np.frombuffer(lp.as_buffer(), dtype=np.int32), np.frombuffer(rp.as_buffer(), dtype=np.int32)
+                least, sizes = np.minimum(p, q), (na.as_py(), nb.as_py())
+                ok = reaches(int(least.sum()), *sizes, percent)
                 if ok:
-                    both = np.sort(np.concatenate([x, y]))
-                    ok = reaches(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent)
+                    shared = _common(np.frombuffer(left.as_buffer(), dtype=np.uint32), np.frombuffer(right.as_buffer(), dtype=np.uint32))
+                    ok = reaches(shared + int(least[SLICE:].sum()), *sizes, percent)
                 keep.append(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=PAIR).filter(pa.array(keep, pa.bool_()))
+
+    alike = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
+    met = _beside(pairs, outlines, ["slice", "point", "n"]).where(alike)
+    return saved(met.select("a", "b", "slice", "slice_b", "point", "point_b", "n", "n_b").mapInArrow(over, "a long, b long").distinct(), "bounded-pairs")
+
 
-    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    met = one.join(near, "a").join(two, "b").where(alike).select("a", "b", "left", "right", "left_point", "right_point")
+def verified(pairs: DataFrame, docs: DataFrame, outlines: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the threshold; `pairs` is a written table."""
+    left = bounded(pairs, outlines, percent)
+    ids = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = sets_of(wanted_rows(docs, ids, id_col, text_col), k)
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for one, two in zip(batch.column("hashes"), batch.column("hashes_b"), strict=True):
+                x, y = np.frombuffer(one.as_buffer(), dtype=U64), np.frombuffer(two.as_buffer(), dtype=U64)
+                keep.append(reaches(_common(x, y), len(x), len(y), percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=PAIR).filter(pa.array(keep, pa.bool_()))
+
+    met = _beside(left, sets, ["hashes"]).select("a", "b", "hashes", "hashes_b")
     return saved(met.mapInArrow(over, "a long, b long"), "links")
 
 
@@ -322,15 +384,20 @@ def tree_join(p: np.ndarray, np_: np.ndarray, q: np.ndarray, nq: np.ndarray, per
     return (np.concatenate(found_p), np.concatenate(found_q)) if found_p else (np.zeros(0, int), np.zeros(0, int))
 
 
-def open_pairs(blocks: DataFrame, linked: DataFrame, sets: DataFrame, percent: int, best: bool) -> DataFrame:
+def open_pairs(blocks: DataFrame, linked: DataFrame, outlines: DataFrame, percent: int, best: bool) -> DataFrame:
     """a, b: pairs of a block in different components that the R-tree does not rule out.
 
     With `best`, of the pairs that a task finds between two components only the
     one with the highest bound, which is enough to join components that are near.
 
     The largest component of a block needs no pairs inside itself: the other
-    members (minor) meet each other and it. Both sides are cut into leaves of
-    about LEAF members, and a task joins one pair of leaves.
+    members (minor) meet each other and it. A block of up to LEAF members is one
+    leaf. Of a larger one both sides are cut into leaves of about LEAF members,
+    and a task joins one pair of leaves.
+
+    All blocks are in one order, the largest first, and a member brings the
+    BEFORE blocks that come next before this one in its own list: a pair that
+    has one of them in common is that block's.
     """
     placed = saved(in_parts(blocks, linked), "placed")
     parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("m"))
@@ -339,46 +406,62 @@ def open_pairs(blocks: DataFrame, linked: DataFrame, sets: DataFrame, percent: i
     )
     mixed = saved(
         sums.where("parts > 1").select(
-            "key", F.col("top.part").alias("major"),
+            "key", "all", F.col("top.part").alias("major"),
             F.ceil(F.col("top.m") / LEAF).alias("major_leaves"), F.ceil((F.col("all") - F.col("top.m")) / LEAF).alias("minor_leaves"),
         ),
         "mixed-blocks",
     )
-    rows = placed.join(mixed, "key")
+    # A pair in different components is in mixed blocks only, so those are the ones to look back at.
+    earlier = Window.partitionBy("id").orderBy(F.col("all").desc(), "key").rowsBetween(-BEFORE, -1)
+    rows = placed.join(mixed, "key").withColumn("before", F.collect_list("key").over(earlier))
+    rows = rows.join(outlines.select("id", "point", "n"), "id")
     minor = F.col("part") != F.col("major")
     leaf = lambda n: F.pmod(F.xxhash64("id"), n)
     mine = F.when(minor, leaf(F.col("minor_leaves"))).otherwise(F.col("minor_leaves") + leaf(F.col("major_leaves")))
     rows = rows.withColumns({"minor": minor, "leaf": mine})
+    cell = lambda i, j, first, second: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), first.alias("first"), second.alias("second"))
+    yes, no, here, start = F.lit(True), F.lit(False), F.col("leaf"), F.lit(0).cast("long")
+    one = F.array(cell(start, start, F.col("minor"), yes))
     # As the first of a pair: minor leaves only. As the second: minor leaves from there on, and major ones.
-    first = F.when(minor, F.transform(F.sequence(F.col("leaf"), F.col("minor_leaves") + F.col("major_leaves") - 1), lambda x: F.struct(F.col("leaf").alias("i"), x.alias("j"), F.lit(True).alias("first"))))
-    second = F.transform(F.sequence(F.lit(0), F.least(F.col("leaf"), F.col("minor_leaves") - 1)), lambda x: F.struct(x.alias("i"), F.col("leaf").alias("j"), F.lit(False).alias("first")))
-    cells = F.concat(F.coalesce(first, F.array().cast("array<struct<i:bigint,j:bigint,first:boolean>>")), second.cast("array<struct<i:bigint,j:bigint,first:boolean>>"))
-    dealt = rows.select("key", "id", "part", F.explode(cells).alias("c")).select("key", "id", "part", "c.*")
-    dealt = dealt.join(sets.select("id", "point", "n"), "id")
-
-    together = dealt.select("key", "i", "j", "id", "part", "first", "point", "n").repartition("key", "i", "j")
+    end = F.col("minor_leaves") + F.col("major_leaves") - 1
+    first = F.when(F.col("minor"), F.transform(F.sequence(here, end), lambda x: cell(here, x, yes, x == here)))
+    last = F.least(here, F.col("minor_leaves")) - 1
+    second = F.when(last >= 0, F.transform(F.sequence(start, last), lambda x: cell(x, here, no, yes)))
+    none = F.array().cast("array<struct<i:bigint,j:bigint,first:boolean,second:boolean>>")
+    cells = F.when(F.col("all") <= LEAF, one).otherwise(F.concat(F.coalesce(first, none), F.coalesce(second, none)))
+    dealt = rows.select("key", "id", "part", "before", "point", "n", F.explode(cells).alias("c"))
+    together = dealt.select("key", "c.*", "id", "part", "before", "point", "n").repartition("key", "i", "j")
     return together.sortWithinPartitions("key", "i", "j").mapInArrow(_join_leaves(percent, best), "a long, b long").distinct()
 
 
+def _earlier(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of up to BEFORE keys as rows of a matrix, filled up with -1; keys are never negative."""
+    lists = column.combine_chunks()
+    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.full((len(lists), BEFORE), -1, dtype=np.int64)
+    out[np.arange(BEFORE) < size[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
 def _join_leaves(percent: int, best: bool):
     """Pairs of each run of rows with one (key, i, j); a run has two leaves at most."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs(rows: pa.Table, last: bool) -> tuple[np.ndarray, pa.Table]:
         label = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
         starts = np.flatnonzero(np.concatenate([[True], (label[:, 1:] != label[:, :-1]).any(axis=0)]))
         ends = [*starts[1:], rows.num_rows]
         done = len(starts) if last else len(starts) - 1
-        ids, parts, n = (rows.column(c).to_numpy() for c in ("id", "part", "n"))
-        first = rows.column("first").to_numpy()
+        ids, parts, n, first, second = (rows.column(c).to_numpy() for c in ("id", "part", "n", "first", "second"))
         points = np.frombuffer(b"".join(rows.column("point").to_pylist()), dtype=np.int32).reshape(-1, DIMENSIONS)
+        before = _earlier(rows.column("before"))
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for a, b in zip(starts[:done], ends[:done], strict=True):
-            x, y = a + np.flatnonzero(first[a:b]), a + np.flatnonzero(~first[a:b])
+            x, y = a + np.flatnonzero(first[a:b]), a + np.flatnonzero(second[a:b])
             if len(x) and len(y):
                 i, j = tree_join(points[x], n[x], points[y], n[y], percent)
                 i, j = x[i], y[j]
-                apart = parts[i] != parts[j]
+                # Two that are both first and second meet twice.
+                apart = (parts[i] != parts[j]) & ~(second[i] & first[j] & (i > j))
                 i, j = i[apart], j[apart]
                 if best and len(i) > 1:
                     bound = np.minimum(points[i], points[j]).sum(axis=1)
@@ -387,28 +470,28 @@ def _join_leaves(percent: int, best: bool):
                     fresh = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
                     first_of = order[np.concatenate([[True], fresh])]
                     i, j = i[first_of], j[first_of]
-                found.append((ids[i], ids[j]))
+                met = np.zeros(len(i), dtype=bool)
+                for back in range(BEFORE):
+                    key = before[i, back]
+                    met |= (key >= 0) & (before[j] == key[:, None]).any(axis=1)
+                found.append((ids[i[~met]], ids[j[~met]]))
         one, two = (np.concatenate(c) for c in zip(*found, strict=True))
         return np.stack([np.minimum(one, two), np.maximum(one, two)]), rows.slice(starts[done] if done < len(starts) else rows.num_rows)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, held = None, np.zeros((2, 0), dtype=np.int64)
+        rest = None
 
         def batch_of(found: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], schema=schema)
+            found = np.unique(found, axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], schema=PAIR)
 
         for batch in batches:
             if batch.num_rows:
                 rows = pa.Table.from_batches([batch])
                 out, rest = pairs(rows if rest is None else pa.concat_tables([rest, rows]), last=False)
-                # Two documents that share many keys are found in many blocks of a task.
-                held = np.unique(np.concatenate([held, out], axis=1), axis=1)
-                if held.shape[1] > MOST_PAIRS:
-                    yield batch_of(held)
-                    held = held[:, :0]
+                yield batch_of(out)
         if rest is not None and rest.num_rows:
-            held = np.unique(np.concatenate([held, pairs(rest, last=True)[0]], axis=1), axis=1)
-        yield batch_of(held)
+            yield batch_of(pairs(rest, last=True)[0])
 
     return over
 
@@ -449,18 +532,19 @@ def link(
     shared = saved(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "shared-keys")
     blocks = saved(met.join(shared, "key", "left_semi"), "blocks")
     meets = blocks.groupBy("id").agg(F.count(F.lit(1)).alias("meets"))
-    sets = sets_of(docs, meets.select("id"), words, id_col, text_col)
-    share = meets.join(sets.select("id", "n"), "id").select("id", (F.col("meets") / F.col("n")).alias("share"))
+    outlines = outlines_of(wanted_rows(docs, meets.select("id"), id_col, text_col), words)
+    check = lambda pairs: verified(pairs, docs, outlines, words, percent, id_col, text_col)
+    share = meets.join(outlines.select("id", "n"), "id").select("id", (F.col("meets") / F.col("n")).alias("share"))
     blocks = saved(blocks.join(share, "id"), "shared-blocks")
     tried = hub_pairs(blocks.withColumn("part", F.col("id")))
-    linked = saved(components(verified(tried, sets, percent)), "hub-components")
+    linked = saved(components(check(tried)), "hub-components")
     # The trees join near components by their best pairs, then all pairs of those still apart.
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = saved(open_pairs(blocks, linked, sets, percent, best=True).join(tried, ["a", "b"], "left_anti"), "near-pairs")
-    linked = joined(linked, verified(near, sets, percent))
-    left = open_pairs(blocks, linked, sets, percent, best=False)
+    near = saved(open_pairs(blocks, linked, outlines, percent, best=True).join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    linked = joined(linked, check(near))
+    left = open_pairs(blocks, linked, outlines, percent, best=False)
     left = left.join(tried.unionByName(near), ["a", "b"], "left_anti")
-    linked = joined(linked, verified(saved(left, "open-pairs"), sets, percent))
+    linked = joined(linked, check(saved(left, "open-pairs")))
     placed = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", "n", F.coalesce("component", "rep").alias("component")
     )
