@@ -24,6 +24,8 @@ LEAVES, BRANCHES = 65_536, 256
 SUMS = ("n", "sum_a", "sum_b")
 #: Differing leaves that a scan is filtered by; more are joined.
 LISTED = 1_000
+#: Rows of both sides that a task compares. Left to itself AQE sizes tasks by compressed bytes, many times less than their rows in memory.
+TASK_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -58,13 +60,13 @@ def tree(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], leaves: i
 
 
 def _differ(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
-    """Places whose sums are not the same on both sides, or on one side only."""
+    """Places whose sums are not the same on both sides, or on one side only, and their rows on both."""
     named = right.select(F.col(by).alias("_by"), *[F.col(c).alias(f"_{c}") for c in SUMS])
     same = F.lit(True)
     for c in SUMS:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
     return left.join(named, F.col(by) == F.col("_by"), "full_outer").where(~same).select(
-        F.coalesce(by, "_by").alias(by)
+        F.coalesce(by, "_by").alias(by), (F.coalesce("n", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("rows")
     )
 
 
@@ -87,8 +89,9 @@ def reconcile_values(
     each occurs on either side being counted. Null keys are keys.
     """
     lost = differing_leaves(tree(source, keys, columns, leaves, branches), tree(stored, keys, columns, leaves, branches)).persist()
-    n = lost.count()
-    if n <= LISTED:
+    found = lost.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
+    tasks = -(-(found["rows"] or 1) // TASK_ROWS)
+    if found["n"] <= LISTED:
         # Bounded: at most LISTED numbers, so the scan of each side drops all other rows.
         listed = [r["leaf"] for r in lost.collect()]
         within = lambda df: df.where(leaf_of(keys, leaves).isin(listed))
@@ -99,13 +102,15 @@ def reconcile_values(
     lost.unpersist()
 
     def of(df: DataFrame, side: str) -> DataFrame:
-        # Rows alike are one row with their number, before keys are brought together.
-        return within(df).groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("n")).select(
-            *keys, *columns, *[(F.col("n") if s == side else F.lit(0).cast("long")).alias(s) for s in ("n_source", "n_stored")]
-        )
-
-    both = of(source, "n_source").unionByName(of(stored, "n_stored"))
-    values = both.groupBy(*keys, *columns).agg(F.sum("n_source").alias("n_source"), F.sum("n_stored").alias("n_stored"))
+        counts = [F.lit(int(s == side)).cast("long").alias(s) for s in ("n_source", "n_stored")]
+        return within(df).select(*keys, *columns, *counts)
+
+    sums = [F.sum("n_source").alias("n_source"), F.sum("n_stored").alias("n_stored")]
+    both = of(source, "n_source").unionByName(of(stored, "n_stored")).withColumn("_from", F.spark_partition_id())
+    # Rows alike are one row with their number, before keys are brought together; those of each task that read them meet
+    # apart, so a row that fills a side is spread.
+    alike = both.repartition(tasks, *keys, *columns, "_from").groupBy(*keys, *columns, "_from").agg(*sums)
+    values = alike.drop("_from").repartition(tasks, *keys).groupBy(*keys, *columns).agg(*sums)
     return values.groupBy(*keys).agg(
         F.sum("n_source").alias("source"), F.sum("n_stored").alias("stored"),
         F.max((F.col("n_source") != F.col("n_stored")).cast("int")).alias("differs"),

@@ -181,6 +181,16 @@ def test_few_leaves_differ_where_few_rows_do(spark):
     assert differing_leaves(none, sides[0]).count() == sides[0].leaves.count()
 
 
+def test_rows_are_compared_in_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr("rillmark.operators.value_tree.TASK_ROWS", 1_000, raising=False)
+    a = spark.range(20_000).selectExpr("cast(id as int) as k", "cast(id % 7 as string) as name", "id / 3 as amount")
+    b = a.withColumn("amount", F.when(F.col("k") % 10 == 1, 0.0).otherwise(F.col("amount")))
+    out = reconcile_values(a, b, ["k"], ["name", "amount"], 64, 8)
+    rows = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in rows) == 2_000 and len(rows) >= 20
+    assert max(r["count"] for r in rows) <= 200
+
+
 # --- keys ------------------------------------------------------------------
 def test_bitmaps_equal_an_anti_join(spark, folder):
     rnd = random.Random(8)
