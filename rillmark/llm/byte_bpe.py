@@ -31,6 +31,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from rillmark.llm import bytes_np as B
+
 CACHE = 500_000
 ROWS = 512  # texts encoded together
 # White space as tokenizers with this pattern take it: Unicode's White_Space.
@@ -201,7 +203,7 @@ def _with_texts(
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=arrow)
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("body"))
-    return rows.mapInArrow(over, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(B.tidy(over), schema).withColumnRenamed("id", id_col)
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,7 +226,7 @@ def decode(encoded: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], schema=arrow)
 
     rows = encoded.select(encoded[id_col].cast("long").alias("id"), "ids")
-    return rows.mapInArrow(over, "id long, data binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(B.tidy(over), "id long, data binary").withColumnRenamed("id", id_col)
 
 
 def digests(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,7 +9,8 @@ Profiles are learned from at most `limit` labelled texts of each language, those
 with the smallest hashes of their ids; every text is predicted from all of its
 n-grams. Prediction is one pass without a shuffle. Profiles hold `size` n-grams
 per language and go to the tasks with the function; with them go the letters seen
-in training. Letters never seen there count as one letter of their own.
+in training. Letters never seen there count as one letter of their own. A task
+holds the n-grams of PART characters, or of one longer text, at a time.
 
 Defined cases: a null text or one without any letter is `und` with score 0; so is
 everything where there is nothing to learn from; equal distances go to the
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rillmark.llm import bytes_np as B
 from rillmark.llm.common import bounded_broadcast, saved
 
 LIMIT = 1000
@@ -88,6 +90,18 @@ def symbol_rows(texts: list[str], table: Callable[[np.ndarray], np.ndarray]) ->
     return symbols[keep], text[keep]
 
 
+def cuts(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of texts: up to PART characters and `most` texts together, or one longer text."""
+    i = 0
+    while i < len(texts):
+        j, held = i, 0
+        while j < len(texts) and j - i < most and (j == i or held + len(texts[j]) <= PART):
+            held += len(texts[j])
+            j += 1
+        yield i, j
+        i = j
+
+
 def grams(texts: list[str], table: Callable[[np.ndarray], np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, code, count) of the distinct n-grams of each text, in this order."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -107,12 +121,7 @@ def grams(texts: list[str], table: Callable[[np.ndarray], np.ndarray], bits: int
         found.append((which + at, code, np.diff([*starts, len(keys)])))
 
     most = 1 << min(20, 63 - bits * LONGEST) if bits * LONGEST < 63 else 1
-    i = 0
-    while i < len(texts):
-        j, held = i, 0
-        while j < len(texts) and j - i < most and (j == i or held + len(texts[j]) <= PART):
-            held += len(texts[j])
-            j += 1
+    for i, j in cuts(texts, most):
         if j == i + 1 and len(texts[i]) > 4 * PART:
             # A very long text: parts that end between words, then one count.
             first, lo, whole = len(found), 0, texts[i]
@@ -129,7 +138,6 @@ def grams(texts: list[str], table: Callable[[np.ndarray], np.ndarray], bits: int
             found.append((np.full(len(code), i), code, total))
         else:
             count(texts[i:j], i)
-        i = j
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -163,13 +171,15 @@ def learn(docs: DataFrame, limit: int = LIMIT, size: int = SIZE, id_col: str = "
         for batch in batches:
             frame = batch.to_pandas()
             for lang, part in frame.groupby("lang"):
-                # Code points themselves are the symbols here.
-                _, code, n = grams(list(part.body), lambda points: points, CODE_BITS)
-                found = pd.Series(n).groupby(code).sum()
-                columns = [pa.array([lang] * len(found)), pa.array(found.index.to_numpy().view(np.int64)), pa.array(found.to_numpy())]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    counts = taken.mapInArrow(over, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+                bodies = list(part.body)
+                for i, j in cuts(bodies, len(bodies)):
+                    # Code points themselves are the symbols here.
+                    _, code, n = grams(bodies[i:j], lambda points: points, CODE_BITS)
+                    found = pd.Series(n).groupby(code).sum()
+                    columns = [pa.array([lang] * len(found)), pa.array(found.index.to_numpy().view(np.int64)), pa.array(found.to_numpy())]
+                    yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    counts = taken.mapInArrow(B.tidy(over), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code")))
     single = F.col("code") < (1 << CODE_BITS)
     kept = ranked.where((F.col("r") <= size) | single).select("lang", "code", "r").toPandas()
@@ -206,6 +216,16 @@ def predict_texts(texts: list[str], known: Profiles) -> tuple[list[str], np.ndar
     if table is None or not known.langs:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     table[known.letters] = np.arange(len(known.letters)) + OTHER + 1
+    langs, scores = [], [np.zeros(0)]
+    # Of each run only the names and scores are kept, however many texts come together.
+    for i, j in cuts(texts, len(texts)):
+        some, score = _predict_run(texts[i:j], known, table)
+        langs += some
+        scores.append(score)
+    return langs, np.concatenate(scores)
+
+
+def _predict_run(texts: list[str], known: Profiles, table: np.ndarray) -> tuple[list[str], np.ndarray]:
     text, code, count = grams(texts, lambda points: table[points], known.bits)
     top, rank = _top(text, count, known.size)
     text, code = text[top], code[top]
@@ -217,7 +237,7 @@ def predict_texts(texts: list[str], known: Profiles) -> tuple[list[str], np.ndar
         there = ranks[at]
         out = np.where(hit & (there >= 0), np.abs(there - rank), known.size)
         far[i] = np.bincount(text, weights=out, minlength=len(texts))
-    best = far.argmin(axis=0) if len(texts) else np.zeros(0, int)
+    best = far.argmin(axis=0)
     share = far[best, np.arange(len(texts))] / np.maximum(n * known.size, 1)
     lettered = n > 0
     return [known.langs[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)], np.where(lettered, 1 - share, 0.0)
@@ -232,6 +252,7 @@ def predict(docs: DataFrame, known: Profiles, text_col: str = "text") -> DataFra
         for body in bodies:
             lang, score = predict_texts([t or "" for t in body], known)
             yield pd.DataFrame({"lang_pred": lang, "score": score})
+        B.give_back()
 
     both = kept.select(F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("row"), guess(F.col(text_col)).alias("guess"))
     return both.select("row.*", "guess.lang_pred", "guess.score")
