@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, language_id
-from rillmark.llm.common import bounded_broadcast, saved
+from rillmark.llm.common import bounded_broadcast, saved, saved_in_small_batches
 from rillmark.plans.catalog.inputs import read
 from rillmark.session import shared_dir, use_utc
 
@@ -88,7 +88,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and checksums of the ids and of the decoded text."""
-    return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    digests = byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return saved_in_small_batches(digests, "token-digests")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

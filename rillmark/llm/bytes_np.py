@@ -191,6 +191,20 @@ def settle(rows: list[tuple[bytes, bytes, bytes, bytes]], heavy: int = 0) -> tup
     return keys[keep], docs[keep], places[keep], keys[order[starts]][count >= heavy], count[count >= heavy]
 
 
+def parts_in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each `p`, one list after the other; the rows come sorted by it, so no more than one is held."""
+    held: list[dict] = []
+    for batch in batches:
+        for at in range(batch.num_rows):
+            (row,) = batch.slice(at, 1).to_pylist()
+            if held and held[0]["p"] != row["p"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
 TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
@@ -201,6 +215,19 @@ def give_back() -> None:
         TRIM(0)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of up to `rows` rows whose texts have about a SEGMENT of bytes together, or of one longer text."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(size, dtype=np.int64)
+        lo = 0
+        while lo < batch.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = min(max(lo + 1, int(np.searchsorted(ends, before + SEGMENT, "right"))), lo + rows)
+            yield batch.slice(lo, min(hi, batch.num_rows) - lo)
+            lo = hi
+
+
 def tidy(over: Callable) -> Callable:
     """`over`, after which the worker gives freed memory back."""
 

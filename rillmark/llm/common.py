@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmark.session import shared_dir
+from rillmark.session import holding, shared_dir
 
+#: Batches for Python of rows with texts or sets: the JVM holds a batch several times over, outside its heap.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -20,6 +24,14 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_in_small_batches(df: DataFrame, purpose: str) -> DataFrame:
+    """`saved` of rows made in Python from texts or sets, which go there in SMALL_BATCHES."""
+    with ExitStack() as held:
+        for key, value in SMALL_BATCHES.items():
+            held.enter_context(holding(df.sparkSession, key, value))
+        return saved(df, purpose)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -49,14 +49,14 @@ from pyspark.sql import functions as F
 
 from rillmark.llm import bytes_np as B
 from rillmark.llm.bytes_np import U64, mix
-from rillmark.llm.common import saved, shuffle_width
+from rillmark.llm.common import saved, saved_in_small_batches, shuffle_width
 from rillmark.llm.components import components
 
 GAP = np.zeros(256, dtype=bool)
 GAP[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-MOST_KEYS = 1_500_000  # kept by a task before it passes them on
+MOST_KEYS = 400_000  # kept by a task before it passes them on
 DIMENSIONS = 64
 LEAF, FANOUT, SMALL = 256, 16, 4096
 SLICE = 16  # groups of a point whose shingles are compared before whole sets are
@@ -150,23 +150,21 @@ def _emit(k: int, percent: int, width: int):
                 docs.clear()
                 seen.clear()
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = part.column(0).to_pylist()
-                sets = shingle_sets(part.column(1), k)
-                n = np.array([len(s) for s in sets], dtype=np.int64)
-                d1 = np.array([s.sum(dtype=U64) for s in sets], dtype=U64).view(np.int64)
-                d2 = np.array([mix(s ^ B.MIX_A).sum(dtype=U64) for s in sets], dtype=U64).view(np.int64)
-                known = np.array([i is not None for i in ids])
-                number = np.array([i if i is not None else 0 for i in ids], dtype=np.int64)
-                yield from B.packed(B.STATS, mix(number[known].astype(U64)) % U64(width), [number[known], n[known], d1[known], d2[known]])
-                for i in np.flatnonzero(known & (n > 0)):
-                    if (copy := (int(n[i]), int(d1[i]), int(d2[i]))) not in seen:
-                        seen.add(copy)
-                        keys.append(block_keys(sets[i], percent))
-                        docs.append(number[i])
-                        held += len(keys[-1])
+        for part in B.slices(batches, 1):
+            ids = part.column(0).to_pylist()
+            sets = shingle_sets(part.column(1), k)
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            d1 = np.array([s.sum(dtype=U64) for s in sets], dtype=U64).view(np.int64)
+            d2 = np.array([mix(s ^ B.MIX_A).sum(dtype=U64) for s in sets], dtype=U64).view(np.int64)
+            known = np.array([i is not None for i in ids])
+            number = np.array([i if i is not None else 0 for i in ids], dtype=np.int64)
+            yield from B.packed(B.STATS, mix(number[known].astype(U64)) % U64(width), [number[known], n[known], d1[known], d2[known]])
+            for i in np.flatnonzero(known & (n > 0)):
+                if (copy := (int(n[i]), int(d1[i]), int(d2[i]))) not in seen:
+                    seen.add(copy)
+                    keys.append(block_keys(sets[i], percent))
+                    docs.append(number[i])
+                    held += len(keys[-1])
                 if held > MOST_KEYS:
                     yield from flush()
                     held = 0
@@ -176,7 +174,7 @@ def _emit(k: int, percent: int, width: int):
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unpacks rows: the statistics of every document, and (key, id) of keys that several documents have."""
+    """Unpacks rows, sorted by `p`: the statistics of every document, and (key, id) of keys that several documents have."""
     none = lambda n: pa.nulls(n, pa.int64())
     kinds = lambda kind, n: pa.array(np.full(n, kind, dtype=np.int32))
 
@@ -185,9 +183,9 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [kinds(B.KNOWN, n), pa.array(docs), none(n), none(n), none(n), pa.array(keys.view(np.int64))]
         return pa.RecordBatch.from_arrays(columns, schema=NODE_ARROW)
 
-    open_rows = []
-    for batch in batches:
-        for r in batch.to_pylist():
+    for rows in B.parts_in_turn(batches):
+        open_rows = []
+        for r in rows:
             if r["kind"] == B.OPEN:
                 open_rows.append((r["a"], r["b"], r["c"], r["d"]))
             elif r["kind"] == B.KNOWN:
@@ -195,8 +193,8 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 cols = [pa.array(np.frombuffer(r[c], dtype=np.int64)) for c in "abcd"]
                 yield pa.RecordBatch.from_arrays([kinds(B.STATS, len(cols[0])), *cols, none(len(cols[0]))], schema=NODE_ARROW)
-    keys, docs, _ = B.settle(open_rows)
-    yield pairs(keys, docs)
+        keys, docs, _ = B.settle(open_rows)
+        yield pairs(keys, docs)
 
 
 def _counts(hashes: np.ndarray) -> np.ndarray:
@@ -221,13 +219,11 @@ def sets_of(rows: DataFrame, k: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("hashes", pa.binary())])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                sets = shingle_sets(part.column(1), k)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+        for part in B.slices(batches, 1):
+            sets = shingle_sets(part.column(1), k)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
-    return saved(rows.mapInArrow(over, "id long, hashes binary"), "sets")
+    return saved_in_small_batches(rows.mapInArrow(B.tidy(over), "id long, hashes binary"), "sets")
 
 
 def outlines_of(rows: DataFrame, k: int) -> DataFrame:
@@ -235,19 +231,17 @@ def outlines_of(rows: DataFrame, k: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("slice", pa.binary()), ("point", pa.binary()), ("n", pa.int64())])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                sets = shingle_sets(part.column(1), k)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), pa.array([_slice(s).tobytes() for s in sets], pa.binary()),
-                        pa.array([_counts(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                    ],
-                    schema=schema,
-                )
+        for part in B.slices(batches, 1):
+            sets = shingle_sets(part.column(1), k)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), pa.array([_slice(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([_counts(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                ],
+                schema=schema,
+            )
 
-    return saved(rows.mapInArrow(over, "id long, slice binary, point binary, n long"), "outlines")
+    return saved_in_small_batches(rows.mapInArrow(B.tidy(over), "id long, slice binary, point binary, n long"), "outlines")
 
 
 def reaches(shared, a, b, percent: int):
@@ -301,7 +295,7 @@ def bounded(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
 
     alike = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
     met = _beside(pairs, outlines, ["slice", "point", "n"]).where(alike)
-    return saved(met.select("a", "b", "slice", "slice_b", "point", "point_b", "n", "n_b").mapInArrow(over, "a long, b long").distinct(), "bounded-pairs")
+    return saved_in_small_batches(met.select("a", "b", "slice", "slice_b", "point", "point_b", "n", "n_b").mapInArrow(B.tidy(over), "a long, b long").distinct(), "bounded-pairs")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, outlines: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -319,7 +313,7 @@ def verified(pairs: DataFrame, docs: DataFrame, outlines: DataFrame, k: int, per
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=PAIR).filter(pa.array(keep, pa.bool_()))
 
     met = _beside(left, sets, ["hashes"]).select("a", "b", "hashes", "hashes_b")
-    return saved(met.mapInArrow(over, "a long, b long"), "links")
+    return saved_in_small_batches(met.mapInArrow(B.tidy(over), "a long, b long"), "links")
 
 
 def hub_pairs(placed: DataFrame) -> DataFrame:
@@ -431,7 +425,7 @@ def open_pairs(blocks: DataFrame, linked: DataFrame, outlines: DataFrame, percen
     cells = F.when(F.col("all") <= LEAF, one).otherwise(F.concat(F.coalesce(first, none), F.coalesce(second, none)))
     dealt = rows.select("key", "id", "part", "before", "point", "n", F.explode(cells).alias("c"))
     together = dealt.select("key", "c.*", "id", "part", "before", "point", "n").repartition("key", "i", "j")
-    return together.sortWithinPartitions("key", "i", "j").mapInArrow(_join_leaves(percent, best), "a long, b long").distinct()
+    return together.sortWithinPartitions("key", "i", "j").mapInArrow(B.tidy(_join_leaves(percent, best)), "a long, b long").distinct()
 
 
 def _earlier(column: pa.ChunkedArray) -> np.ndarray:
@@ -518,8 +512,8 @@ def link(
     """One row per document: id, n_shingles, component_id (smallest id reachable by links of `percent` or more)."""
     width = shuffle_width(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
-    packed = rows.mapInArrow(_emit(words, percent, width * B.SPREAD), B.ROW_DDL)
-    nodes = saved(packed.repartition(width, "p").mapInArrow(_gather, NODE), "shingle-nodes")
+    packed = rows.mapInArrow(B.tidy(_emit(words, percent, width * B.SPREAD)), B.ROW_DDL)
+    nodes = saved_in_small_batches(packed.repartition(width, "p").sortWithinPartitions("p").mapInArrow(B.tidy(_gather), NODE), "shingle-nodes")
     stats = nodes.where(F.col("kind") == B.STATS).select("id", "n", "d1", "d2")
     classes = saved(stats.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "set-classes")
     members = saved(

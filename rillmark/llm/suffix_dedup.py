@@ -72,20 +72,6 @@ def few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield whole.slice(at, ROWS)
 
 
-def parts_in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The rows of each `p`, one list after the other; the rows come sorted by it, so no more than one is held."""
-    held: list[dict] = []
-    for batch in batches:
-        for at in range(batch.num_rows):
-            (row,) = batch.slice(at, 1).to_pylist()
-            if held and held[0]["p"] != row["p"]:
-                yield held
-                held = []
-            held.append(row)
-    if held:
-        yield held
-
-
 def squeezed(rows: DataFrame) -> DataFrame:
     """id, body: with each text compressed before it is shuffled; null stays null."""
     schema = pa.schema([("id", pa.int64()), ("body", pa.binary())])
@@ -187,7 +173,7 @@ def _shared(least: int) -> Callable:
             none = pa.nulls(n, pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(np.full(n, B.KNOWN, np.int32)), pa.array(docs), pa.array(places), none, none], schema=SHARED)
 
-        for found in parts_in_turn(batches):
+        for found in B.parts_in_turn(batches):
             open_rows = []
             for r in found:
                 if r["kind"] == B.OPEN:
@@ -386,7 +372,7 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array((start << LENGTH_BITS) | length)], schema=COVERED)
 
     join = lambda found, c, kind: np.frombuffer(b"".join(r[c] for r in found), dtype=kind)
-    for found in parts_in_turn(batches):
+    for found in B.parts_in_turn(batches):
         met, windows = [], []
         for r in found:
             if r["kind"] == GONE:
