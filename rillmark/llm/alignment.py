@@ -8,7 +8,9 @@ together, in as many steps as the logarithm of the longest chain.
 
 A text is taken in units of white space and what follows it, where both
 tokenizers start anew: words come again and again, so a worker encodes and
-aligns a unit once and remembers it. Texts with characters on which engines may
+aligns a unit once and remembers it, those that came again for longest. New units
+are encoded in runs, one after another as in a text, and a run that does not end
+its tokens where its units end, unit by unit. Texts with characters on which engines may
 not agree what is white space or a letter are one unit of their own, and so are
 texts with white space that a piece of B joins to what stands before it.
 
@@ -38,7 +40,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -52,6 +54,7 @@ from rillmark.llm.common import saved
 
 BLOCK_BYTES = 2 << 20
 CALL_BYTES = 256 << 10  # encoded in one call: an encoder's own results are much larger than the ids
+RUN = 256  # units encoded as one text
 SHORT = 64  # units of more characters are not remembered
 REMEMBERED = 48 << 20  # bytes of remembered units, about
 SPACE_MARK = "▁"
@@ -73,15 +76,50 @@ PARTS = [
 BLOCK_ARROW = pa.schema([("block", pa.int64()), *PARTS])
 
 
-class Unit(NamedTuple):
-    """A unit's alignment; one that does not give its bytes back has no links."""
+A, B, GROUPS, LINKS, CHARS = range(5)
 
-    whole: bool
-    n_a: int
-    n_b: int
-    n_groups: int
-    text: str
-    links: bytes  # 64-bit numbers: A id times the size of B's vocabulary plus B id
+
+class Aligned(NamedTuple):
+    """Alignments of units, one after another; a unit that does not give its bytes back has no tokens."""
+
+    whole: np.ndarray
+    sizes: np.ndarray  # of each unit: tokens of A and of B, groups, links, characters of its text
+    text: str  # the groups of all units, each with a `;` behind it
+    links: np.ndarray  # 64-bit numbers: A id times the size of B's vocabulary plus B id
+
+    def texts(self) -> list[str]:
+        ends = np.cumsum(self.sizes[:, CHARS], dtype=np.int64).tolist()
+        return [self.text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def chosen(self, rows: np.ndarray) -> Aligned:
+        """The units at these places, in this order."""
+        sizes = self.sizes[rows]
+        ends = np.cumsum(self.sizes[:, CHARS], dtype=np.int64)[rows]
+        text = "".join([self.text[a:b] for a, b in zip((ends - sizes[:, CHARS]).tolist(), ends.tolist(), strict=True)])
+        many, starts = sizes[:, LINKS], np.cumsum(self.sizes[:, LINKS], dtype=np.int64)[rows] - sizes[:, LINKS]
+        at = np.arange(many.sum()) + np.repeat(starts - np.cumsum(many, dtype=np.int64) + many, many)
+        return Aligned(self.whole[rows], sizes, text, self.links[at])
+
+
+def one_after_another(parts: list[Aligned]) -> Aligned:
+    whole, sizes, text, links = zip(*parts, strict=True)
+    return Aligned(np.concatenate(whole), np.concatenate(sizes), "".join(text), np.concatenate(links))
+
+
+NO_UNITS = Aligned(np.zeros(0, dtype=bool), np.zeros((0, 5), dtype=np.int32), "", np.zeros(0, dtype=np.int64))
+
+
+def joined_units(units: list[str]) -> list[list[str]]:
+    """Units in runs that both tokenizers cut as they would cut them one by one."""
+    runs, run = [], []
+    for unit in units:
+        run.append(unit)
+        # White space at the end of a unit would join that of the next.
+        if len(run) == RUN or unit[-1] in WHITE:
+            runs.append(run)
+            run = []
+    runs.append(run)
+    return [some for r in runs if r for some in ([r] if PLAIN.fullmatch("".join(r)) else [[u] for u in r])]
 
 
 class Pair:
@@ -108,7 +146,8 @@ class Pair:
         crosses = re.compile(f"[^{WHITE}{SPACE_MARK}]([{WHITE}{SPACE_MARK}])")
         real = [self.second.id_to_piece(i) for i in range(len(self.b_bytes)) if not self.second.is_byte(i)]
         self.crossing = {c for piece in real for c in crosses.findall(piece)}
-        self.known: dict[str, Unit] = {}
+        self.known: dict[str, int] = {}  # places in `aligned`, rising
+        self.aligned, self.again = NO_UNITS, np.zeros(0, dtype=bool)  # again: has come again
         self.held = 0
         # What the text of groups says for a token, by what follows it.
         self.a_text = np.array([[f"{i},", f"{i}|"] for i in range(len(self.a_bytes))], dtype=object)
@@ -126,78 +165,115 @@ class Pair:
         whole = SPACE_MARK in self.crossing or any(c in text for c in self.crossing) or not PLAIN.fullmatch(text)
         return [spaced] if whole else UNIT.findall(spaced)
 
-    def look_up(self, units: list[str]) -> dict[str, Unit]:
+    def look_up(self, units: list[str]) -> Aligned:
         """The alignments of some different units, new ones learned together."""
-        found, new, held = {}, [], 0
-        for unit in units:
-            known = self.known.get(unit)
-            if known is None:
-                new.append(unit)
-            else:
-                found[unit] = known
-        at = 0
-        while at < len(new):
-            end, held = at, 0
-            while end < len(new) and (end == at or held + len(new[end]) <= CALL_BYTES):
+        at = np.array([self.known.get(u, -1) for u in units], dtype=np.int64)
+        fresh = at < 0
+        self.again[at[~fresh]] = True
+        new = [units[i] for i in np.flatnonzero(fresh).tolist()]
+        parts, start = [self.aligned], 0
+        while start < len(new):
+            end, held = start, 0
+            while end < len(new) and (end == start or held + len(new[end]) <= CALL_BYTES):
                 held += len(new[end])
                 end += 1
-            for unit, aligned in zip(new[at:end], self.align(new[at:end]), strict=True):
-                found[unit] = aligned
-                if len(unit) <= SHORT:
-                    # The links, the text and Python's own share.
-                    self.held += 350 + 4 * len(unit) + len(aligned.text) + len(aligned.links)
-                    self.known[unit] = aligned
-            at = end
-        if self.held > REMEMBERED:
-            self.known.clear()
-            self.held = 0
+            parts.append(self.align(new[start:end]))
+            start = end
+        at[fresh] = len(self.known) + np.arange(len(new))
+        together = one_after_another(parts)
+        found = together.chosen(at)
+        self._remember(new, together)
         return found
 
-    def align(self, units: list[str]) -> list[Unit]:
+    def _remember(self, new: list[str], together: Aligned) -> None:
+        """Takes in new units, `together` behind the known ones; beyond REMEMBERED only known ones that came again stay."""
+        short = [len(u) <= SHORT for u in new]
+        sizes = together.sizes[len(self.known):][np.array(short, dtype=bool)]
+        # A unit's string, place and sizes with Python's own share, the text and the links.
+        held = self.held + sum(200 + 2 * len(u) for u in new if len(u) <= SHORT) + int(sizes[:, CHARS].sum() + 8 * sizes[:, LINKS].sum())
+        if held <= REMEMBERED:
+            stay = np.concatenate([np.ones(len(self.known), dtype=bool), np.array(short, dtype=bool)])
+            self.aligned = together if stay.all() else together.chosen(np.flatnonzero(stay))
+            self.known.update({u: i for i, u in enumerate((u for u in new if len(u) <= SHORT), len(self.known))})
+            self.again = np.concatenate([self.again, np.zeros(len(self.known) - len(self.again), dtype=bool)])
+            self.held = held
+            return
+        kept = [u for u, again in zip(self.known, self.again.tolist(), strict=True) if again]
+        aligned = self.aligned.chosen(np.flatnonzero(self.again))
+        held = sum(200 + 2 * len(u) for u in kept) + len(aligned.text) + aligned.links.nbytes
+        if held > REMEMBERED // 2:
+            kept, aligned, held = [], NO_UNITS, 0
+        self.known, self.aligned, self.held = {u: i for i, u in enumerate(kept)}, aligned, held
+        self.again = np.zeros(len(kept), dtype=bool)
+
+    def align(self, units: list[str]) -> Aligned:
         """Encodes and aligns some units."""
-        a_all = [e.ids for e in self.first.encode_batch_fast(units, add_special_tokens=False)]
-        # B puts a space before what it is given: the unit's own, or one that is taken off again.
-        b_all = self.second.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        for i, unit in enumerate(units):
-            if unit == " ":
-                b_all[i] = [self.space]  # nothing is put before nothing
-            elif unit[0] != " ":
-                b_all[i] = b_all[i][1:] if b_all[i][:1] == [self.space] else []
-        raw = [u.encode() for u in units]
-        whole = [True] * len(units)
-        if not self._give_back(raw, a_all, b_all):
-            for i, (unit, a, b) in enumerate(zip(raw, a_all, b_all, strict=True)):
-                if not self._give_back([unit], [a], [b]):
-                    whole[i], a_all[i], b_all[i] = False, [], []
-        n_a, n_b = np.array([len(a) for a in a_all], dtype=np.int64), np.array([len(b) for b in b_all], dtype=np.int64)
+        runs = joined_units(units)
+        a_all, b_all = self._encode(["".join(r) for r in runs])
+        whole = np.ones(len(units), dtype=bool)
+        if not self._give_back(runs, a_all, b_all):
+            whole, a_all, b_all = self._one_by_one(runs, a_all, b_all)
         a, b = (np.array(list(chain.from_iterable(ids)), dtype=np.int64) for ids in (a_all, b_all))
         # Units one after another: both sides end together at the end of each, so no group or link crosses it.
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        unit_ends = np.cumsum(np.array([len(u.encode()) for u in units], dtype=np.int64) * whole)
+        a_stop, b_stop = np.searchsorted(a_ends, unit_ends, "right"), np.searchsorted(b_ends, unit_ends, "right")
         a_last, b_last = components(a_ends, b_ends)
         place = np.concatenate([a_ends, b_ends])  # groups by where they end, so in order
         a_group, b_group = (place[x] if len(x) else x for x in (a_last, b_last))
         link_a, link_b = overlaps(a_ends, b_ends)
-        links = (a[link_a] * len(self.b_bytes) + b[link_b]).astype("<i8").tobytes()
         said = group_pieces(self, a, b, a_group, b_group)
-        a_stop = np.cumsum(n_a)
-        link_stop = np.searchsorted(link_a, a_stop)
-        groups = per_part(np.diff(a_group, prepend=-1) != 0, a_stop)
-        ends = np.cumsum(per_part([len(w) for w in said], a_stop + np.cumsum(n_b))).tolist()
-        text, at, link_at, out = "".join(said), 0, 0, []
-        for ok, na, nb, ng, end, link_end in zip(
-            whole, n_a.tolist(), n_b.tolist(), groups.tolist(), ends, (link_stop * 8).tolist(), strict=True
-        ):
-            out.append(Unit(ok, na, nb, ng, text[at:end - 1], links[link_at:link_end]))
-            at, link_at = end, link_end
-        return out
-
-    def _give_back(self, raw: list[bytes], a_all: list[list[int]], b_all: list[list[int]]) -> bool:
-        """Whether the tokens of every text give its bytes back, on both sides."""
-        together, sizes = b"".join(raw), [len(r) for r in raw]
+        sizes = np.empty((len(units), 5), dtype=np.int32)
+        sizes[:, A], sizes[:, B] = np.diff(a_stop, prepend=0), np.diff(b_stop, prepend=0)
+        sizes[:, GROUPS] = per_part(np.diff(a_group, prepend=-1) != 0, a_stop)
+        sizes[:, LINKS] = np.diff(np.searchsorted(link_a, a_stop), prepend=0)
+        sizes[:, CHARS] = per_part([len(w) for w in said], a_stop + b_stop)
+        return Aligned(whole, sizes, "".join(said), a[link_a] * len(self.b_bytes) + b[link_b])
+
+    def _encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B of texts that have their own space before them."""
+        a_all = [e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
+        # B puts a space before what it is given: the text's own, or one that is taken off again.
+        b_all = self.second.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        for i, text in enumerate(texts):
+            if text == " ":
+                b_all[i] = [self.space]  # nothing is put before nothing
+            elif text[0] != " ":
+                b_all[i] = b_all[i][1:] if b_all[i][:1] == [self.space] else []
+        return a_all, b_all
+
+    def _one_by_one(
+        self, runs: list[list[str]], a_all: list[list[int]], b_all: list[list[int]]
+    ) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
+        """Which units give their bytes back, and their ids: those of a run that does not, encoded by themselves."""
+        fine = [self._give_back([r], [a], [b]) for r, a, b in zip(runs, a_all, b_all, strict=True)]
+        alone = [u for r, ok in zip(runs, fine, strict=True) if not ok for u in r]
+        again = zip(alone, *self._encode(alone), strict=True)
+        whole, a_out, b_out = [], [], []
+        for run, ok, a, b in zip(runs, fine, a_all, b_all, strict=True):
+            if ok:
+                whole += [True] * len(run)
+                a_out.append(a)
+                b_out.append(b)
+                continue
+            for unit, own_a, own_b in islice(again, len(run)):
+                whole.append(self._give_back([[unit]], [own_a], [own_b]))
+                if whole[-1]:
+                    a_out.append(own_a)
+                    b_out.append(own_b)
+        return np.array(whole, dtype=bool), a_out, b_out
+
+    def _give_back(self, runs: list[list[str]], a_all: list[list[int]], b_all: list[list[int]]) -> bool:
+        """Whether the tokens of every run give its bytes back and end where its units do, on both sides."""
+        raw = [u.encode() for r in runs for u in r]
+        together, stops = b"".join(raw), np.cumsum([len(r) for r in raw])
+        run_stops = stops[np.cumsum([len(r) for r in runs]) - 1]
         for all_ids, own, own_sizes in ((a_all, self.a_bytes, self.a_sizes), (b_all, self.b_bytes, self.b_sizes)):
             ids = list(chain.from_iterable(all_ids))
-            given = per_part(own_sizes[np.array(ids, dtype=np.int64)], np.cumsum([len(x) for x in all_ids]))
-            if not np.array_equal(given, sizes) or b"".join([own[t] for t in ids]) != together:
+            ends = np.concatenate([[0], np.cumsum(own_sizes[np.array(ids, dtype=np.int64)])])
+            at = np.minimum(np.searchsorted(ends, stops), len(ids))
+            given = ends[np.cumsum([len(x) for x in all_ids])]
+            if not np.array_equal(ends[at], stops) or not np.array_equal(given, run_stops) or b"".join([own[t] for t in ids]) != together:
                 return False
         return True
 
@@ -277,30 +353,29 @@ def align_block(pair: Pair, texts: list[bytes]) -> dict[str, Any]:
         except UnicodeDecodeError:
             cut.append([])
     number = {u: i for i, u in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
-    known = pair.look_up(list(number))
-    aligned = [known[u] for u in number]
-    broken = {i for i, u in enumerate(aligned) if not u.whole}
-    said, digests, places = [u.text for u in aligned], [], []
+    aligned = pair.look_up(list(number))
+    broken = set(np.flatnonzero(~aligned.whole).tolist())
+    said, digests, places = aligned.texts(), [], []
     for units in cut:
         at = [number[u] for u in units]
         if broken and not broken.isdisjoint(at):
             at = []
         places.append(at)
-        digests.append(hashlib.sha256(";".join([said[i] for i in at]).encode()).hexdigest() if at else "")
+        digests.append(hashlib.sha256("".join([said[i] for i in at])[:-1].encode()).hexdigest() if at else "")
     units = np.array(list(chain.from_iterable(places)), dtype=np.int64)
     unit_stops = np.cumsum([len(at) for at in places])
-    n_links = np.array([len(u.links) // 8 for u in aligned], dtype=np.int64)
-    pairs, at = np.unique(np.frombuffer(b"".join([u.links for u in aligned]), dtype="<i8"), return_inverse=True)
+    n_links = aligned.sizes[:, LINKS].astype(np.int64)
+    pairs, at = np.unique(aligned.links, return_inverse=True)
     # Units of texts that do not count leave pairs without links.
-    times = np.repeat(np.bincount(units, minlength=len(aligned)), n_links)
+    times = np.repeat(np.bincount(units, minlength=len(number)), n_links)
     n = np.bincount(at, weights=times, minlength=len(pairs)).astype(np.int64)
 
-    def per_text(of_units: list[int] | np.ndarray) -> np.ndarray:
-        return per_part(np.array(of_units, dtype=np.int64)[units], unit_stops)
+    def per_text(of_units: np.ndarray) -> np.ndarray:
+        return per_part(of_units[units], unit_stops)
 
     return {
-        "n_a": per_text([u.n_a for u in aligned]), "n_b": per_text([u.n_b for u in aligned]),
-        "n_groups": per_text([u.n_groups for u in aligned]), "n_links": per_text(n_links), "groups_sha256": digests,
+        **{name: per_text(aligned.sizes[:, of]) for name, of in (("n_a", A), ("n_b", B), ("n_groups", GROUPS), ("n_links", LINKS))},
+        "groups_sha256": digests,
         "unit_stops": _packed(unit_stops, "<i8"), "units": _packed(units, "<i4"),
         "link_stops": _packed(np.cumsum(n_links), "<i8"), "links": _packed(at, "<i4"),
         "a": (pairs // len(pair.b_bytes)).astype(np.int32), "b": (pairs % len(pair.b_bytes)).astype(np.int32), "n": n,

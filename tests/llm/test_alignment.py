@@ -149,3 +149,48 @@ def test_the_query_over_documents(spark):
     out = {r.doc_id: tuple(r)[1:] for r in QUERIES["op12_alignment"].run(spark, SF_DIR).select(*ORDER).collect()}
     assert len(out) == len(docs)
     assert [out[i] for i, _ in docs] == walked([t for _, t in docs])
+
+
+class Counted:
+    """The first tokenizer, with the texts that it was given."""
+
+    def __init__(self, real):
+        self.real, self.texts = real, []
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts += texts
+        return self.real.encode_batch_fast(texts, **how)
+
+
+def test_new_units_are_encoded_in_runs_and_those_that_come_again_stay(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 80_000)
+    pair = alignment.Pair(BPE, PIECES)
+    pair.first = counted = Counted(pair.first)
+    often = [f"often{i}" for i in range(50)]
+    new = units = 0
+    for block in range(40):
+        own = [f"own{block}x{i}" for i in range(50)]
+        alignment.align_block(pair, [" ".join([*often, *own]).encode()])
+        units += len(own)
+        new += sum(text.count(" ") for text in counted.texts)
+        assert all(text.count(" ") > 10 for text in counted.texts)
+        counted.texts.clear()
+    assert new == units + len(often) and pair.held <= 80_000
+
+
+def test_runs_give_what_units_give_one_by_one(monkeypatch):
+    rnd = random.Random(12)
+    words = ["the", "don't", "été", "1st", "²", "x²y", "½", "日本", "\x07", "(a)", "<s>", "--", "naïve", "ĳ"]
+    texts = ["".join(rnd.choice([" ", " ", "\n", "  ", "\t"]) + rnd.choice(words) + str(rnd.randrange(50)) for _ in range(30)) for _ in range(300)]
+    raw = [t.encode() for t in texts]
+
+    def aligned(run):
+        monkeypatch.setattr(alignment, "RUN", run)
+        pair = alignment.Pair(BPE, PIECES)
+        # As if a token of B did not give its bytes back.
+        pair.b_bytes[pair.second.encode(" 37")[-1]] = b"?"
+        return {k: list(v) for k, v in alignment.align_block(pair, raw).items()}
+
+    runs = aligned(256)
+    assert runs == aligned(1) == aligned(7)
+    assert 0 < runs["groups_sha256"].count("") < len(texts)
