@@ -111,6 +111,10 @@ class Tokenizer:
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
         self.joined = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
 
+    def forget(self) -> None:
+        """Drops what it has seen: a worker waits on after its task, beside the JVM and other stages."""
+        self.known, self.spaced = {}, {}
+
     def _mapped(self, raw: bytes) -> str:
         # Latin-1 turns each byte into the character of that number.
         return raw.decode("latin-1").translate(self.table)
@@ -192,15 +196,19 @@ def tokenizer(rank_path: str, pattern: str) -> Tokenizer:
 
 
 def _with_texts(
-    docs: DataFrame, id_col: str, text_col: str, schema: str, arrow: pa.Schema, each: Callable[[list[str]], list[tuple]]
+    docs: DataFrame, id_col: str, text_col: str, schema: str, arrow: pa.Schema,
+    model: Callable[[], Tokenizer], each: Callable[[Tokenizer, list[str]], list[tuple]],
 ) -> DataFrame:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                rows = each([t or "" for t in batch.column(1).to_pylist()])
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), arrow.types[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=arrow)
+        try:
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(at, ROWS)
+                    rows = each(model(), [t or "" for t in batch.column(1).to_pylist()])
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), arrow.types[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=arrow)
+        finally:
+            model().forget()
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("body"))
     return rows.mapInArrow(B.tidy(over), schema).withColumnRenamed("id", id_col)
@@ -210,10 +218,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     """id, ids (array of ids): every whole text."""
     arrow = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
-    def ids(texts: list[str]) -> list[tuple]:
-        return [(np.frombuffer(x, dtype="<i4"),) for x in tokenizer(rank_path, pattern).encode_all(texts)]
+    def ids(model: Tokenizer, texts: list[str]) -> list[tuple]:
+        return [(np.frombuffer(x, dtype="<i4"),) for x in model.encode_all(texts)]
 
-    return _with_texts(docs, id_col, text_col, "id long, ids array<int>", arrow, ids)
+    return _with_texts(docs, id_col, text_col, "id long, ids array<int>", arrow, lambda: tokenizer(rank_path, pattern), ids)
 
 
 def decode(encoded: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
@@ -235,12 +243,11 @@ def digests(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id
         [("id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     )
 
-    def both(texts: list[str]) -> list[tuple]:
-        model = tokenizer(rank_path, pattern)
+    def both(model: Tokenizer, texts: list[str]) -> list[tuple]:
         return [
             (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(model.decode(ids)).hexdigest())
             for ids in model.encode_all(texts)
         ]
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _with_texts(docs, id_col, text_col, schema, arrow, both)
+    return _with_texts(docs, id_col, text_col, schema, arrow, lambda: tokenizer(rank_path, pattern), both)

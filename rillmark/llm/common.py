@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from contextlib import ExitStack
+from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +25,18 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def saved_in_small_batches(df: DataFrame, purpose: str) -> DataFrame:
-    """`saved` of rows made in Python from texts or sets, which go there in SMALL_BATCHES."""
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """SMALL_BATCHES for the time of a block."""
     with ExitStack() as held:
         for key, value in SMALL_BATCHES.items():
-            held.enter_context(holding(df.sparkSession, key, value))
+            held.enter_context(holding(spark, key, value))
+        yield
+
+
+def saved_in_small_batches(df: DataFrame, purpose: str) -> DataFrame:
+    """`saved` of rows made in Python from texts or sets, which go there in SMALL_BATCHES."""
+    with small_batches(df.sparkSession):
         return saved(df, purpose)
 
 

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from rillmark.llm import bytes_np as B
 from rillmark.llm.bytes_np import U64, mix
-from rillmark.llm.common import saved, saved_in_small_batches, shuffle_width
+from rillmark.llm.common import saved, shuffle_width, small_batches
 from rillmark.llm.components import components
 
 GAP = np.zeros(256, dtype=bool)
@@ -67,6 +67,12 @@ NODE_ARROW = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("id",
 BROADCAST_IDS = 1_000_000
 
 
+def _saved_small(df: DataFrame, purpose: str) -> DataFrame:
+    """`saved` of rows made in Python from texts, sets or points, which go there in small batches."""
+    with small_batches(df.sparkSession):
+        return saved(df, purpose)
+
+
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; fewer than k words are one shingle."""
     data, offsets = B.column_bytes(column)
@@ -223,7 +229,7 @@ def sets_of(rows: DataFrame, k: int) -> DataFrame:
             sets = shingle_sets(part.column(1), k)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
-    return saved_in_small_batches(rows.mapInArrow(B.tidy(over), "id long, hashes binary"), "sets")
+    return _saved_small(rows.mapInArrow(B.tidy(over), "id long, hashes binary"), "sets")
 
 
 def outlines_of(rows: DataFrame, k: int) -> DataFrame:
@@ -241,7 +247,7 @@ def outlines_of(rows: DataFrame, k: int) -> DataFrame:
                 schema=schema,
             )
 
-    return saved_in_small_batches(rows.mapInArrow(B.tidy(over), "id long, slice binary, point binary, n long"), "outlines")
+    return _saved_small(rows.mapInArrow(B.tidy(over), "id long, slice binary, point binary, n long"), "outlines")
 
 
 def reaches(shared, a, b, percent: int):
@@ -295,7 +301,7 @@ def bounded(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
 
     alike = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
     met = _beside(pairs, outlines, ["slice", "point", "n"]).where(alike)
-    return saved_in_small_batches(met.select("a", "b", "slice", "slice_b", "point", "point_b", "n", "n_b").mapInArrow(B.tidy(over), "a long, b long").distinct(), "bounded-pairs")
+    return _saved_small(met.select("a", "b", "slice", "slice_b", "point", "point_b", "n", "n_b").mapInArrow(B.tidy(over), "a long, b long").distinct(), "bounded-pairs")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, outlines: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -313,7 +319,7 @@ def verified(pairs: DataFrame, docs: DataFrame, outlines: DataFrame, k: int, per
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=PAIR).filter(pa.array(keep, pa.bool_()))
 
     met = _beside(left, sets, ["hashes"]).select("a", "b", "hashes", "hashes_b")
-    return saved_in_small_batches(met.mapInArrow(B.tidy(over), "a long, b long"), "links")
+    return _saved_small(met.mapInArrow(B.tidy(over), "a long, b long"), "links")
 
 
 def hub_pairs(placed: DataFrame) -> DataFrame:
@@ -513,7 +519,7 @@ def link(
     width = shuffle_width(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
     packed = rows.mapInArrow(B.tidy(_emit(words, percent, width * B.SPREAD)), B.ROW_DDL)
-    nodes = saved_in_small_batches(packed.repartition(width, "p").sortWithinPartitions("p").mapInArrow(B.tidy(_gather), NODE), "shingle-nodes")
+    nodes = _saved_small(packed.repartition(width, "p").sortWithinPartitions("p").mapInArrow(B.tidy(_gather), NODE), "shingle-nodes")
     stats = nodes.where(F.col("kind") == B.STATS).select("id", "n", "d1", "d2")
     classes = saved(stats.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "set-classes")
     members = saved(
@@ -534,11 +540,12 @@ def link(
     linked = saved(components(check(tried)), "hub-components")
     # The trees join near components by their best pairs, then all pairs of those still apart.
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = saved(open_pairs(blocks, linked, outlines, percent, best=True).join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    near = open_pairs(blocks, linked, outlines, percent, best=True).join(tried, ["a", "b"], "left_anti")
+    near = _saved_small(near, "near-pairs")
     linked = joined(linked, check(near))
     left = open_pairs(blocks, linked, outlines, percent, best=False)
     left = left.join(tried.unionByName(near), ["a", "b"], "left_anti")
-    linked = joined(linked, check(saved(left, "open-pairs")))
+    linked = joined(linked, check(_saved_small(left, "open-pairs")))
     placed = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", "n", F.coalesce("component", "rep").alias("component")
     )

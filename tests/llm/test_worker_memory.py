@@ -5,9 +5,10 @@ import tracemalloc
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 
 from rillmark.llm import bytes_np as B
-from rillmark.llm import jaccard_join, language_id
+from rillmark.llm import byte_bpe, jaccard_join, language_id
 
 
 def peak(work):
@@ -87,3 +88,46 @@ def test_sets_come_from_small_batches(spark, folder, monkeypatch):
         sizes = [int(x) for x in f]
     assert sum(sizes) > 10_000_000 > 2 * max(sizes)
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_words_that_a_task_has_seen_do_not_stay_in_its_worker(spark, monkeypatch):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    tasks = []
+
+    class Docs:
+        """Runs a mapInArrow's function here."""
+
+        columns = ("doc_id", "text")
+
+        def __getitem__(self, name):
+            return spark.range(1).id
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, over, schema):
+            tasks.append(over)
+            return self
+
+        def withColumnRenamed(self, *_):
+            return self
+
+    byte_bpe.digests(Docs(), path, pattern)
+    batch = B.pa.RecordBatch.from_pydict({"id": [1, 2], "body": ["some words here", None]})
+    first = [b.to_pylist() for b in tasks[0](iter([batch]))]
+    model = byte_bpe.tokenizer(path, pattern)
+    assert not model.known and not model.spaced
+    assert [b.to_pylist() for b in tasks[0](iter([batch]))] == first and first[0][0]["n_tokens"] > 0
+
+
+def test_points_of_leaves_come_in_small_batches(spark, monkeypatch):
+    sizes, real = {}, jaccard_join.saved
+
+    def seen(df, purpose):
+        sizes[purpose] = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        return real(df, purpose)
+
+    monkeypatch.setattr(jaccard_join, "saved", seen)
+    rows = [(i, " ".join(f"w{j + i // 2}" for j in range(60))) for i in range(6)]
+    jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert sizes["near-pairs"] == sizes["open-pairs"] == "1000"
