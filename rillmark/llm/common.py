@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.session import holding, shared_dir
+from rillmark.sinks import storage
 
+#: Spark then removes the shuffle files of a query at its end, not when the driver happens to collect its garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Batches for Python of rows with texts or sets: the JVM holds a batch several times over, outside its heap.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -18,11 +21,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """The rows written as a table in the cluster's shared folder and read again.
 
-    Cuts the lineage: later steps re-read files when an executor is lost.
+    Cuts the lineage: later steps re-read files when an executor is lost. What
+    was shuffled to make the rows is removed once they are written.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with holding(df.sparkSession, CLEAN_SHUFFLES, "true"):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of tables as `saved` gave them, which nothing that is still to run reads."""
+    for table in tables:
+        storage.remove(table.sparkSession, table.saved_at)
 
 
 @contextmanager

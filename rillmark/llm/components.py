@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.llm.common import saved
+from rillmark.llm.common import dropped, saved
 
 
 def _star(links: DataFrame, small: bool) -> DataFrame:
-    """u > v in, u > v out: each node's (small: smaller; else: larger) neighbours, hung on its smallest."""
+    """u > v in, u > v out, written: each node's (small: smaller; else: larger) neighbours, hung on its smallest."""
     both = links if small else links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
     if not small:
@@ -28,16 +28,22 @@ def _star(links: DataFrame, small: bool) -> DataFrame:
         )
     else:
         hung = met.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v"))
-    return hung.where(F.col("u") != F.col("v")).distinct()
+    out = saved(hung.where(F.col("u") != F.col("v")).distinct(), "small-star" if small else "large-star")
+    if not small:
+        dropped(least)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
     """id, component (its smallest id) of every id in `links` (a, b), a written table."""
     u, v = F.greatest("a", "b"), F.least("a", "b")
     now = links.where("a <> b").select(u.alias("u"), v.alias("v")).distinct()
+    before = None
     while True:
-        now = saved(_star(now, small=False), "large-star")
-        now = saved(_star(now, small=True), "small-star")
+        large = _star(now, small=False)
+        now = _star(large, small=True)
+        dropped(large, *([before] if before is not None else []))
+        before = now
         # Done when nothing that others hang on hangs on anything.
         heads = now.select(F.col("v").alias("u")).distinct()
         if heads.join(now.select("u"), "u", "left_semi").isEmpty():

@@ -15,8 +15,12 @@ cut into groups, and two steps use the groups:
   the sum of the smaller coordinates of two points bounds the overlap from
   above. Points are packed into an R-tree, whose boxes carry the largest
   coordinates and smallest sizes, and pairs of boxes that cannot reach the
-  threshold are left out. Two texts that share many keys meet in many blocks;
-  a block leaves a pair to an earlier one that it can tell both are in. What
+  threshold are left out. What the tree leaves open is held against the numbers
+  in finer groups, as many more as the sets are larger: in 64 groups sets of a
+  thousand shingles look alike whatever they hold. Two texts that share many
+  keys meet in many blocks; a block leaves a pair to an earlier one that it can
+  tell both are in. Blocks of up to PAIRED members, which are most, give their
+  pairs without any point: the same two texts meet in dozens of them. What
   survives is first held against a part of both sets (SLICE of the 64 groups),
   whose overlap with the other coordinates is a closer bound, and only what
   is left is verified on the whole sets.
@@ -28,9 +32,11 @@ texts of a similar size; hence the blocks first.
 Copies (equal sets) are one class from the start. All others are first compared
 with the best hub of their blocks; only members of a block that are still in
 different components go through the R-tree, in leaves of bounded size: first the
-best pair of each two components, then all pairs of components still apart. So a
-group of thousands of near copies costs links in proportion to its size, and no
-block is gathered in one task.
+best pair of each component in a leaf, then all pairs of components still apart.
+So a group of thousands of near copies costs links in proportion to its size, and
+no block is gathered in one task.
+
+Tables between the steps are deleted as soon as what was made of them is written.
 
 Defined cases: null and wordless texts have no shingles and link with nothing;
 a row without id is returned with no component; rows that repeat an id count as
@@ -49,7 +55,7 @@ from pyspark.sql import functions as F
 
 from rillmark.llm import bytes_np as B
 from rillmark.llm.bytes_np import U64, mix
-from rillmark.llm.common import saved, shuffle_width, small_batches
+from rillmark.llm.common import dropped, saved, shuffle_width, small_batches
 from rillmark.llm.components import components
 
 GAP = np.zeros(256, dtype=bool)
@@ -59,6 +65,8 @@ LOWER[65:91] += 32
 MOST_KEYS = 400_000  # kept by a task before it passes them on
 DIMENSIONS = 64
 LEAF, FANOUT, SMALL = 256, 16, 4096
+PAIRED = 8  # members of a block whose pairs are listed
+AT_ONCE = 1 << 21  # coordinates compared together
 SLICE = 16  # groups of a point whose shingles are compared before whole sets are
 BEFORE = 8  # earlier blocks of a member that a block knows of
 NODE = "kind int, id long, n long, d1 long, d2 long, key long"
@@ -203,9 +211,64 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(keys, docs)
 
 
-def _counts(hashes: np.ndarray) -> np.ndarray:
-    """How many hashes fall into each of the DIMENSIONS groups."""
-    return np.bincount((hashes & U64(DIMENSIONS - 1)).astype(np.int64), minlength=DIMENSIONS).astype(np.int32)
+def groups_of(n: int) -> int:
+    """Groups, a power of 2, in which a set of n shingles is counted: one for 2 shingles, from 1,024 on for up to 8."""
+    up = lambda x: 1 << max(0, x - 1).bit_length()
+    return max(DIMENSIONS, min(8 * DIMENSIONS, up(-(-n // 2))), up(-(-n // 8)))
+
+
+def _point(hashes: np.ndarray) -> bytes:
+    """How many hashes fall into each group, up to 15 in half a byte, and in 8 bytes how many are beyond that."""
+    groups = groups_of(len(hashes))
+    counts = np.bincount((hashes & U64(groups - 1)).astype(np.int64), minlength=groups)
+    low = np.minimum(counts, 15).astype(np.uint8)
+    return (low[::2] | low[1::2] << 4).tobytes() + (counts - low).sum(keepdims=True, dtype=np.int64).tobytes()
+
+
+class Points:
+    """Points of several sets, in groups of their own numbers; coarser groups are sums of finer ones.
+
+    The smaller numbers of two sets, summed over groups, and the smaller number
+    beyond 15 bound the overlap of the sets.
+    """
+
+    def __init__(self, packed: list[bytes]):
+        self.groups = np.array([2 * (len(x) - 8) for x in packed], dtype=np.int64)
+        self.beyond = np.array([int.from_bytes(x[-8:], "little") for x in packed], dtype=np.int64)
+        self.place, self.low = np.zeros(len(packed), dtype=np.int64), {}
+        for groups in np.unique(self.groups).tolist():
+            here = np.flatnonzero(self.groups == groups)
+            both = np.frombuffer(b"".join(packed[x][:-8] for x in here), dtype=np.uint8).reshape(len(here), -1)
+            self.low[groups] = np.stack([both & 15, both >> 4], axis=2).reshape(len(here), groups)
+            self.place[here] = np.arange(len(here))
+
+    def at(self, rows: np.ndarray, groups: int) -> np.ndarray:
+        """The points of rows in as many groups, which are no more than any of them has."""
+        out = np.zeros((len(rows), groups), dtype=np.int32)
+        for own, low in self.low.items():
+            here = self.groups[rows] == own
+            if own == groups:
+                out[here] = low[self.place[rows[here]]]
+            elif here.any():
+                out[here] = low[self.place[rows[here]]].reshape(-1, own // groups, groups).sum(axis=1, dtype=np.int32)
+        return out
+
+    def coarse(self) -> np.ndarray:
+        """DIMENSIONS coordinates, and what is beyond as one more."""
+        return np.column_stack([self.at(np.arange(len(self.groups)), DIMENSIONS), self.beyond.astype(np.int32)])
+
+
+def bounds(p: Points, i: np.ndarray, q: Points, j: np.ndarray, skip: int = 0) -> np.ndarray:
+    """For each k the most that p[i[k]] and q[j[k]] can have in common in all but the first `skip` of DIMENSIONS groups."""
+    out = np.minimum(p.beyond[i], q.beyond[j])
+    groups = np.minimum(p.groups[i], q.groups[j])
+    for g in np.unique(groups).tolist():
+        here = np.flatnonzero(groups == g)
+        for k in range(0, len(here), step := max(1, AT_ONCE // g)):
+            at = here[k : k + step]
+            least = np.minimum(p.at(i[at], g), q.at(j[at], g)).reshape(len(at), -1, DIMENSIONS)
+            out[at] += least[:, :, skip:].sum(axis=(1, 2))
+    return out
 
 
 def _slice(hashes: np.ndarray) -> np.ndarray:
@@ -214,8 +277,7 @@ def _slice(hashes: np.ndarray) -> np.ndarray:
 
 
 def wanted_rows(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, body of the wanted ids."""
-    ids = saved(ids, "wanted-ids")
+    """id, body of the wanted ids, a written table."""
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body")).join(wanted, "id", "left_semi")
 
@@ -233,7 +295,7 @@ def sets_of(rows: DataFrame, k: int) -> DataFrame:
 
 
 def outlines_of(rows: DataFrame, k: int) -> DataFrame:
-    """id, slice (packed), point (counts, packed), n of rows (id, body): what bounds an overlap."""
+    """id, slice (packed), point (packed), n of rows (id, body): what bounds an overlap."""
     schema = pa.schema([("id", pa.int64()), ("slice", pa.binary()), ("point", pa.binary()), ("n", pa.int64())])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +304,7 @@ def outlines_of(rows: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array([_slice(s).tobytes() for s in sets], pa.binary()),
-                    pa.array([_counts(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_point(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                 ],
                 schema=schema,
             )
@@ -280,34 +342,39 @@ PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def bounded(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose slices and points leave it open whether they reach the threshold.
+    """The pairs (a, b) whose points, and then slices, leave it open whether they reach the threshold.
 
-    The overlap is at most that of the slices, whose half hashes can only make
-    it larger, and the smaller coordinates of all other groups.
+    With slices the overlap is at most that of the slices, whose half hashes can
+    only make it larger, and the smaller coordinates of all other groups.
     """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for left, right, lp, rp, na, nb in zip(*(batch.column(c) for c in ("slice", "slice_b", "point", "point_b", "n", "n_b")), strict=True):
-                p, q = np.frombuffer(lp.as_buffer(), dtype=np.int32), np.frombuffer(rp.as_buffer(), dtype=np.int32)
-                least, sizes = np.minimum(p, q), (na.as_py(), nb.as_py())
-                ok = reaches(int(least.sum()), *sizes, percent)
-                if ok:
-                    shared = _common(np.frombuffer(left.as_buffer(), dtype=np.uint32), np.frombuffer(right.as_buffer(), dtype=np.uint32))
-                    ok = reaches(shared + int(least[SLICE:].sum()), *sizes, percent)
-                keep.append(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=PAIR).filter(pa.array(keep, pa.bool_()))
+            p, q = (Points(batch.column(c).to_pylist()) for c in ("point", "point_b"))
+            na, nb = (batch.column(c).to_numpy() for c in ("n", "n_b"))
+            each, sliced = np.arange(batch.num_rows), "slice" in batch.schema.names
+            most = bounds(p, each, q, each, SLICE if sliced else 0)
+            if sliced:
+                halves = ([np.frombuffer(x.as_buffer(), dtype=np.uint32) for x in batch.column(c)] for c in ("slice", "slice_b"))
+                most += np.array([_common(x, y) for x, y in zip(*halves, strict=True)], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=PAIR).filter(pa.array(reaches(most, na, nb, percent)))
 
     alike = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
-    met = _beside(pairs, outlines, ["slice", "point", "n"]).where(alike)
-    return _saved_small(met.select("a", "b", "slice", "slice_b", "point", "point_b", "n", "n_b").mapInArrow(B.tidy(over), "a long, b long").distinct(), "bounded-pairs")
+
+    def left(of: DataFrame, columns: list[str], purpose: str) -> DataFrame:
+        met = _beside(of, outlines, columns).where(alike).select("a", "b", *[x for c in columns for x in (c, f"{c}_b")])
+        return _saved_small(met.mapInArrow(B.tidy(over), "a long, b long").distinct(), purpose)
+
+    near = left(pairs, ["point", "n"], "near-points")
+    out = left(near, ["slice", "point", "n"], "bounded-pairs")
+    dropped(near)
+    return out
 
 
 def verified(pairs: DataFrame, docs: DataFrame, outlines: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold; `pairs` is a written table."""
     left = bounded(pairs, outlines, percent)
-    ids = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = saved(left.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted-ids")
     sets = sets_of(wanted_rows(docs, ids, id_col, text_col), k)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,7 +386,9 @@ def verified(pairs: DataFrame, docs: DataFrame, outlines: DataFrame, k: int, per
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=PAIR).filter(pa.array(keep, pa.bool_()))
 
     met = _beside(left, sets, ["hashes"]).select("a", "b", "hashes", "hashes_b")
-    return _saved_small(met.mapInArrow(B.tidy(over), "a long, b long"), "links")
+    out = _saved_small(met.mapInArrow(B.tidy(over), "a long, b long"), "links")
+    dropped(left, ids, sets)
+    return out
 
 
 def hub_pairs(placed: DataFrame) -> DataFrame:
@@ -336,7 +405,22 @@ def hub_pairs(placed: DataFrame) -> DataFrame:
     met = placed.join(tops, "key").where(F.col("part") != F.col("top.part"))
     best = met.groupBy("id").agg(F.max(F.struct("top.share", "top.back")).alias("best"))
     hub = -F.col("best.back")
-    return saved(best.select(F.col("id").alias("a"), hub.alias("b")), "hub-pairs")
+    out = saved(best.select(F.col("id").alias("a"), hub.alias("b")), "hub-pairs")
+    dropped(tops)
+    return out
+
+
+def listed_pairs(blocks: DataFrame) -> DataFrame:
+    """a < b: the pairs of all blocks, each once."""
+    one = blocks.groupBy("key").agg(F.collect_list("id").alias("ids")).select("ids", F.explode("ids").alias("a"))
+    return saved(one.select("a", F.explode("ids").alias("b")).where("a < b").distinct(), "listed-pairs")
+
+
+def still_apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs (a, b) in different components."""
+    one, two = (linked.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in")) for c in "ab")
+    met = pairs.join(one, "a", "left").join(two, "b", "left")
+    return met.where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
 
 
 def in_parts(blocks: DataFrame, linked: DataFrame) -> DataFrame:
@@ -384,11 +468,15 @@ def tree_join(p: np.ndarray, np_: np.ndarray, q: np.ndarray, nq: np.ndarray, per
     return (np.concatenate(found_p), np.concatenate(found_q)) if found_p else (np.zeros(0, int), np.zeros(0, int))
 
 
-def open_pairs(blocks: DataFrame, linked: DataFrame, outlines: DataFrame, percent: int, best: bool) -> DataFrame:
-    """a, b: pairs of a block in different components that the R-tree does not rule out.
+def open_pairs(
+    blocks: DataFrame, linked: DataFrame, outlines: DataFrame, percent: int, best: bool
+) -> tuple[DataFrame, list[DataFrame]]:
+    """a, b: pairs of a block in different components that the R-tree and their points do not rule out.
+
+    And the tables that are read for them, to be dropped once the pairs are written.
 
-    With `best`, of the pairs that a task finds between two components only the
-    one with the highest bound, which is enough to join components that are near.
+    With `best`, of the pairs that a task finds in a block only those with the
+    highest bound of a component, which are enough to join components that are near.
 
     The largest component of a block needs no pairs inside itself: the other
     members (minor) meet each other and it. A block of up to LEAF members is one
@@ -431,7 +519,8 @@ def open_pairs(blocks: DataFrame, linked: DataFrame, outlines: DataFrame, percen
     cells = F.when(F.col("all") <= LEAF, one).otherwise(F.concat(F.coalesce(first, none), F.coalesce(second, none)))
     dealt = rows.select("key", "id", "part", "before", "point", "n", F.explode(cells).alias("c"))
     together = dealt.select("key", "c.*", "id", "part", "before", "point", "n").repartition("key", "i", "j")
-    return together.sortWithinPartitions("key", "i", "j").mapInArrow(B.tidy(_join_leaves(percent, best)), "a long, b long").distinct()
+    out = together.sortWithinPartitions("key", "i", "j").mapInArrow(B.tidy(_join_leaves(percent, best)), "a long, b long").distinct()
+    return out, [placed, mixed]
 
 
 def _earlier(column: pa.ChunkedArray) -> np.ndarray:
@@ -452,7 +541,8 @@ def _join_leaves(percent: int, best: bool):
         ends = [*starts[1:], rows.num_rows]
         done = len(starts) if last else len(starts) - 1
         ids, parts, n, first, second = (rows.column(c).to_numpy() for c in ("id", "part", "n", "first", "second"))
-        points = np.frombuffer(b"".join(rows.column("point").to_pylist()), dtype=np.int32).reshape(-1, DIMENSIONS)
+        fine = Points(rows.column("point").to_pylist())
+        points = fine.coarse()
         before = _earlier(rows.column("before"))
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for a, b in zip(starts[:done], ends[:done], strict=True):
@@ -463,13 +553,16 @@ def _join_leaves(percent: int, best: bool):
                 # Two that are both first and second meet twice.
                 apart = (parts[i] != parts[j]) & ~(second[i] & first[j] & (i > j))
                 i, j = i[apart], j[apart]
+                most = bounds(fine, i, fine, j)
+                ok = reaches(most, n[i], n[j], percent)
+                i, j, most = i[ok], j[ok], most[ok]
                 if best and len(i) > 1:
-                    bound = np.minimum(points[i], points[j]).sum(axis=1)
-                    low, high = np.minimum(parts[i], parts[j]), np.maximum(parts[i], parts[j])
-                    order = np.lexsort((-bound / (n[i] + n[j] - bound), high, low))
-                    fresh = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
-                    first_of = order[np.concatenate([[True], fresh])]
-                    i, j = i[first_of], j[first_of]
+                    # Of each component, be it the first or the second of a pair.
+                    part, pair = np.concatenate([parts[i], parts[j]]), np.tile(np.arange(len(i)), 2)
+                    order = np.lexsort((pair, -(most / (n[i] + n[j] - most))[pair], part))
+                    fresh = np.concatenate([[True], part[order][1:] != part[order][:-1]])
+                    top = np.unique(pair[order][fresh])
+                    i, j = i[top], j[top]
                 met = np.zeros(len(i), dtype=bool)
                 for back in range(BEFORE):
                     key = before[i, back]
@@ -529,23 +622,34 @@ def link(
     )
     met = nodes.where(F.col("kind") == B.KNOWN).select("key", "id").join(members.select("id", "rep"), "id")
     met = saved(met.select("key", F.col("rep").alias("id")).distinct(), "met")
-    shared = saved(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "shared-keys")
-    blocks = saved(met.join(shared, "key", "left_semi"), "blocks")
-    meets = blocks.groupBy("id").agg(F.count(F.lit(1)).alias("meets"))
-    outlines = outlines_of(wanted_rows(docs, meets.select("id"), id_col, text_col), words)
+    dropped(nodes, classes)
+    shared = saved(met.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared-keys")
+    keyed = saved(met.join(shared, "key"), "blocks")
+    dropped(met, shared)
+    meets = keyed.groupBy("id").agg(F.count(F.lit(1)).alias("meets"))
+    ids = saved(meets.select("id"), "wanted-ids")
+    outlines = outlines_of(wanted_rows(docs, ids, id_col, text_col), words)
     check = lambda pairs: verified(pairs, docs, outlines, words, percent, id_col, text_col)
     share = meets.join(outlines.select("id", "n"), "id").select("id", (F.col("meets") / F.col("n")).alias("share"))
-    blocks = saved(blocks.join(share, "id"), "shared-blocks")
-    tried = hub_pairs(blocks.withColumn("part", F.col("id")))
-    linked = saved(components(check(tried)), "hub-components")
+    blocks = saved(keyed.join(share, "id"), "shared-blocks")
+    dropped(keyed, ids)
+    hubs = hub_pairs(blocks.withColumn("part", F.col("id")))
+    listed = listed_pairs(blocks.where(F.col("m") <= PAIRED))
+    larger = blocks.where(F.col("m") > PAIRED)
+    linked = saved(components(check(hubs)), "hub-components")
     # The trees join near components by their best pairs, then all pairs of those still apart.
-    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = open_pairs(blocks, linked, outlines, percent, best=True).join(tried, ["a", "b"], "left_anti")
+    tried = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found, read = open_pairs(larger, linked, outlines, percent, best=True)
+    near = found.unionByName(still_apart(listed, linked)).distinct().join(tried, ["a", "b"], "left_anti")
     near = _saved_small(near, "near-pairs")
+    dropped(listed, *read)
     linked = joined(linked, check(near))
-    left = open_pairs(blocks, linked, outlines, percent, best=False)
-    left = left.join(tried.unionByName(near), ["a", "b"], "left_anti")
-    linked = joined(linked, check(_saved_small(left, "open-pairs")))
+    # Listed pairs have all been looked at by now.
+    found, read = open_pairs(larger, linked, outlines, percent, best=False)
+    left = _saved_small(found.join(tried.unionByName(near), ["a", "b"], "left_anti"), "open-pairs")
+    dropped(blocks, hubs, near, *read)
+    linked = joined(linked, check(left))
+    dropped(outlines, left)
     placed = members.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", "n", F.coalesce("component", "rep").alias("component")
     )
